@@ -21,11 +21,19 @@ from weekloom import scoring
 KEYS = list(retail.KEYS)
 TS = retail.TS
 LINE = ["l_orderkey", "l_linenumber"]
+# Fridays and weekly features: few rows per series on both sides, so no measuring; the
+# spine comes partitioned by series.
+WEEKLY = {"strategy": "window", "requests_clustered": True}
 FORECAST = ["lag_1", "rolling_mean_4w"]
 
 
+ROUNDING = True
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles to fixed digits, so that both engines agree on the last bits."""
+    if not ROUNDING:
+        return df
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
     return df.select(
         *[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns]
@@ -45,6 +53,7 @@ def feature_store(spark: SparkSession, folder: str, **ttl) -> FeatureStore:
         lambda s: sales_features(s, folder),
         lambda s: warehouse.store_features(s, folder),
         clustered=True,
+        stores_clustered=True,
         **ttl,
     )
     return FeatureStore(spark, objects)
@@ -57,9 +66,8 @@ def shipment_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def training_table(spark: SparkSession, folder: str) -> DataFrame:
-    # Both sides have one row per series and week at most: no measuring of group sizes.
     return feature_store(spark, folder).get_historical_features(
-        warehouse.friday_spine(spark, folder), "training_features", strategy="window"
+        warehouse.friday_spine(spark, folder), "training_features", **WEEKLY
     )
 
 
@@ -186,7 +194,7 @@ def service_projection(spark, folder):
 def inference_features(spark, folder):
     return rounded(
         feature_store(spark, folder).get_historical_features(
-            warehouse.friday_spine(spark, folder), "inference_features", strategy="window"
+            warehouse.friday_spine(spark, folder), "inference_features", **WEEKLY
         )
     )
 
@@ -221,7 +229,7 @@ def feature_matrix(spark, folder):
 def fill_zero(spark, folder):
     short = feature_store(spark, folder, sales_ttl=timedelta(days=30), store_ttl=timedelta(days=365))
     table = short.get_historical_features(
-        warehouse.friday_spine(spark, folder), "training_features", strategy="window"
+        warehouse.friday_spine(spark, folder), "training_features", **WEEKLY
     )
     return rounded(prep.fill_zero(table, prep.numeric_features(table, retail.KEYS)))
 
@@ -292,7 +300,7 @@ def pit_join_ttl_expiry(spark, folder):
     )
     refs = ["sales_features:weekly_sales", "store_features:store_size"]
     return rounded(
-        store.get_historical_features(warehouse.friday_spine(spark, folder), refs, strategy="window")
+        store.get_historical_features(warehouse.friday_spine(spark, folder), refs, **WEEKLY)
     )
 
 
@@ -301,7 +309,7 @@ def pit_join_future_guard(spark, folder):
     spine = warehouse.friday_spine(spark, folder)
     spine = spine.withColumn(TS, F.col(TS) - F.expr("interval 1274 days"))
     refs = ["sales_features:weekly_sales", "store_features:store_type"]
-    return rounded(feature_store(spark, folder).get_historical_features(spine, refs, strategy="window"))
+    return rounded(feature_store(spark, folder).get_historical_features(spine, refs, **WEEKLY))
 
 
 def pit_join_events(spark, folder):

@@ -53,6 +53,7 @@ def point_in_time(
     max_group_rows: int = MAX_GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     bound_time: bool = False,
+    requests_clustered: bool = False,
 ) -> DataFrame:
     """Left as-of join of ``requests`` with every view.
 
@@ -60,6 +61,7 @@ def point_in_time(
     plan, all else the window plan. ``window`` skips the measurement; use it where the
     grain of both sides bounds the rows per key. ``bound_time`` filters features to the
     time range of the requests; for stored views the filter reaches the Parquet scan.
+    ``requests_clustered`` says that the requests come partitioned by the keys.
     """
     taken = list(requests.columns)
     for view in views:
@@ -74,7 +76,10 @@ def point_in_time(
     out = requests
     for keys, group in by_keys.items():
         group = [_prepared(v, requests, ts, bound_time) for v in group]
-        out = _one_key_set(out, keys, group, ts, strategy, max_group_rows, broadcast_rows)
+        out = _one_key_set(
+            out, keys, group, ts, strategy, max_group_rows, broadcast_rows, requests_clustered
+        )
+        requests_clustered = False
     return out.select(*taken)
 
 
@@ -91,20 +96,22 @@ def _prepared(view: AsOf, requests: DataFrame, ts: str, bound_time: bool) -> AsO
     return replace(view, frame=frame, ts=ts)
 
 
-def _one_key_set(requests, keys, views, ts, strategy, max_rows, broadcast_rows) -> DataFrame:
+def _one_key_set(
+    requests, keys, views, ts, strategy, max_rows, broadcast_rows, clustered
+) -> DataFrame:
     unmatched = F.lit(False)
     for c in (*keys, ts):
         unmatched = unmatched | F.col(c).isNull()
     keyed = requests.where(~unmatched)
 
     if strategy == "window":
-        joined = _window(keyed, keys, views, ts)
+        joined = _window(keyed, keys, views, ts, clustered)
     elif strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
     elif _few(keyed, keys, broadcast_rows):
         joined = _broadcast(keyed, keys, views, ts)
     else:
-        joined = _splitting(keyed, keys, views, ts, max_rows)
+        joined = _splitting(keyed, keys, views, ts, max_rows, clustered)
 
     missing = [
         F.lit(None).cast(v.frame.schema[c].dataType).alias(c) for v in views for c in v.columns
@@ -122,7 +129,7 @@ def _packed(view: AsOf, ts: str) -> Column:
     return F.struct(ts, *view.columns)
 
 
-def _window(requests: DataFrame, keys, views, ts) -> DataFrame:
+def _window(requests: DataFrame, keys, views, ts, clustered=False) -> DataFrame:
     own = [c for c in requests.columns if c not in (*keys, ts)]
     row = F.struct(F.lit(1).alias("__kept"), *own)
     packs = [v.frame.select(_packed(v, ts).alias("f")).schema["f"].dataType for v in views]
@@ -136,14 +143,14 @@ def _window(requests: DataFrame, keys, views, ts) -> DataFrame:
         kept = (row if which is None else F.lit(None).cast(row_type)).alias("__row")
         return df.select(*keys, ts, F.lit(order).alias("__side"), kept, *made)
 
-    # Next to a clustered view the other sides are partitioned alike: Spark then sees one
-    # partitioning of the whole union and does not shuffle the clustered view again.
-    alike = any(v.clustered for v in views)
+    # Next to a clustered side the others are partitioned alike: Spark then sees one
+    # partitioning of the whole union and does not shuffle the clustered side again.
+    alike = clustered or any(v.clustered for v in views)
 
     def placed(df: DataFrame, clustered: bool = False) -> DataFrame:
         return df.repartition(*keys) if alike and not clustered else df
 
-    both = side(placed(requests), 1, None)
+    both = side(placed(requests, clustered), 1, None)
     for i, v in enumerate(views):
         both = both.unionByName(side(placed(v.frame, v.clustered), 0, i))
     hits = [f"f{i}" for i in range(len(views))]
@@ -187,13 +194,13 @@ def _broadcast(requests: DataFrame, keys, views, ts) -> DataFrame:
     return requests.join(F.broadcast(grid.select(*keys, ts, *values)), [*keys, ts], "left")
 
 
-def _splitting(requests: DataFrame, keys, views, ts, max_rows) -> DataFrame:
+def _splitting(requests: DataFrame, keys, views, ts, max_rows, clustered) -> DataFrame:
     everything = requests.select(*keys)
     for v in views:
         everything = everything.union(v.frame.select(*keys))
     hot = hot_keys(everything, keys, max_rows)
     if hot is None:
-        return _window(requests, keys, views, ts)
+        return _window(requests, keys, views, ts, clustered)
 
     def part(cut, df):
         return cut(df, hot, keys)
@@ -201,7 +208,7 @@ def _splitting(requests: DataFrame, keys, views, ts, max_rows) -> DataFrame:
     def narrowed(cut):
         return [replace(v, frame=part(cut, v.frame)) for v in views]
 
-    cold = _window(part(without, requests), keys, narrowed(without), ts)
+    cold = _window(part(without, requests), keys, narrowed(without), ts, clustered)
     return cold.unionByName(_split(part(only, requests), keys, narrowed(only), ts, max_rows))
 
 

@@ -52,10 +52,12 @@ def definitions(
     sales_ttl: timedelta | None = SALES_TTL,
     store_ttl: timedelta | None = STORE_TTL,
     clustered: bool = False,
+    stores_clustered: bool = False,
 ) -> list:
     """All objects of the store over two sources, each a Parquet path or a lazy frame.
 
-    ``clustered`` says that the sales frame comes straight from :func:`build_sales_features`.
+    ``clustered`` says that the sales frame comes straight from :func:`build_sales_features`
+    and so is partitioned by series, ``stores_clustered`` the same of the stores.
     """
 
     def source(name: str, given, clustered: bool = False) -> Source:
@@ -77,7 +79,7 @@ def definitions(
         "store_features",
         (store_entity, dept_entity),
         tuple(Field(n, t) for n, t in STORE_FEATURES.items()),
-        source("store_source", stores),
+        source("store_source", stores, stores_clustered),
         store_ttl,
         tags=tags,
         description="Static store attributes",
