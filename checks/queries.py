@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from weekloom import Entity, FeatureService, FeatureStore, FeatureView, Field, Source
 from weekloom.functions import calendar
+from weekloom.functions.literals import moment
 from weekloom.functions.scalar import from_target, to_target
 from weekloom.operators import metrics, online, prep, windows
 from weekloom.operators.pit import AsOf, point_in_time
@@ -140,7 +141,7 @@ def materialize_sales(spark, folder):
     store = feature_store(spark, folder)
     store.materialize(end=datetime(2000, 6, 30), views=["sales_features"])
     store.materialize(views=["sales_features"])
-    return rounded(store.online("sales_features").drop(online.BUCKET))
+    return rounded(store.online("sales_features").drop(online.BUCKETS, online.BUCKET))
 
 
 def scaler_stats(spark, folder):
@@ -505,7 +506,7 @@ def top_runs(spark, folder):
 
 def model_versions(spark, folder):
     """Runs of the first half of the month are registered first, then the others."""
-    early = F.col("start_time") < F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")
+    early = F.col("start_time") < moment("2024-01-15")
     known = metrics.next_versions(runs(spark, folder).where(early))
     added = metrics.next_versions(runs(spark, folder).where(~early), known)
     return known.unionByName(added)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from weekloom.operators import metrics, prep
 from weekloom.operators.skew import left_join
+from weekloom.session import fresh_path
 
 
 @pytest.mark.parametrize("k", [1, 2, 250, 3000, 3999, 4000])
@@ -114,3 +115,27 @@ def test_versions_continue(spark):
     assert {r["run_id"]: r["version"] for r in second.collect()} == {4: 3, 5: 1}
     last = metrics.latest_version(first.unionByName(second), keep=["run_id"])
     assert {r["name"]: r["run_id"] for r in last.collect()} == {"m": 4, "n": 3, "o": 5}
+
+
+def test_params_and_tags(spark):
+    path = fresh_path(spark, "params")
+    metrics.append_params(spark, path, "r1", {"epochs": 5, "rate": 0.1})
+    metrics.append_params(spark, path, "r2", {"epochs": 6})
+    assert spark.read.parquet(path).count() == 3
+    df = spark.createDataFrame([("m", 1, 3.14159)], "name string, version int, mape double")
+    once = metrics.tag_versions(df, {"mape": F.round("mape", 2)})
+    twice = metrics.tag_versions(once, {"mape": F.lit("2.00"), "team": F.lit("a")})
+    assert once.first()["tags"] == {"mape": "3.14"}
+    assert twice.first()["tags"] == {"mape": "2.00", "team": "a"}
+
+
+def test_cut_does_not_depend_on_time_zones(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(100).select(
+            F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("t")
+        )
+        assert prep.ordered_split(df, ["t"]).where("split = 'train'").count() == 80
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

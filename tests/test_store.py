@@ -208,6 +208,43 @@ def test_empty_results_are_not_written(spark):
     assert write_if_any(spark.range(2).toDF("id"), fresh_path(spark, "e")) is True
 
 
+def test_root_outlives_the_session(spark):
+    root = fresh_path(spark, "root")
+    sales = generator.generate_sales(spark, weeks=9, stores=2, departments=2)
+    first = F.lit("2022-01-01").cast("date")
+    built = retail.build_sales_features(sales.select(*KEYS, retail.TS, retail.TARGET), first)
+    objects = retail.definitions(
+        lambda s: built, lambda s: generator.generate_stores(s, stores=2, departments=2)
+    )
+    store = FeatureStore(spark, root=root)
+    assert store.apply(objects) and store.apply(objects) == []
+    store.materialize(end=T0 + timedelta(weeks=4))
+    store.materialize()
+    other = FeatureStore(spark, objects, root=root)
+    times = {r[0] for r in other.online("sales_features").select("event_timestamp").collect()}
+    assert times == {T0 + timedelta(weeks=8)}
+    other.apply([Entity("region_id")])
+    saved = spark.read.parquet(f"{root}/registry")
+    assert saved.count() == 2 + 2 + 2 + 1 + 2 + 1
+    assert saved.select("kind", "name").distinct().count() == saved.count()
+
+
+def test_online_tables_grow_in_buckets(spark):
+    path = fresh_path(spark, "buckets")
+    df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    online.write_online(df, path, ["k"], rows_per_bucket=4)
+    table = online.read_online(spark, path)
+    assert table.select(online.BUCKETS).first()[0] == 25
+    out = online.lookup(spark.createDataFrame([(3,), (500,)], "k int"), table, ["k"], ["v"])
+    assert sorted(map(tuple, out.collect())) == [(3, 6), (500, None)]
+
+
+def test_compact_types(spark):
+    sales = retail.definitions("a", "b", compact=True)[0]
+    kinds = {f.name: f.dtype.simpleString() for f in sales.schema}
+    assert kinds["lag_1"] == "float" and kinds["month"] == "int"
+
+
 def test_metadata_tables(demo, spark):
     assert demo.registry.features_frame(spark).count() == 24
     kinds = {r["kind"]: r["count"] for r in demo.registry.objects_frame(spark).groupBy("kind").count().collect()}

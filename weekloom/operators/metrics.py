@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .skew import left_join
@@ -55,6 +55,24 @@ def append_metrics(log: DataFrame, path: str) -> None:
     log.select("run_id", "step", "metric", "value").write.mode("append").parquet(path)
 
 
+def append_params(spark: SparkSession, path: str, run_id: str, params: dict) -> None:
+    """Parameters of one run as text, one row each."""
+    rows = [(run_id, k, str(v)) for k, v in params.items()]
+    spark.createDataFrame(rows, "run_id string, param string, value string").write.mode(
+        "append"
+    ).parquet(path)
+
+
+def tag_versions(versions: DataFrame, tags: dict[str, Column]) -> DataFrame:
+    """Add or replace entries of the ``tags`` map."""
+    pairs = [p for k, v in tags.items() for p in (F.lit(k), v.cast("string"))]
+    given = F.create_map(*pairs)
+    if "tags" in versions.columns:
+        kept = F.map_filter("tags", lambda k, _: ~k.isin(list(tags)))
+        given = F.map_concat(kept, given)
+    return versions.withColumn("tags", given)
+
+
 def next_versions(
     new: DataFrame,
     current: DataFrame | None = None,

@@ -8,10 +8,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import typed
+from ..session import durable
 from .skew import MAX_GROUP_ROWS, left_join
 
-BUCKET = "key_bucket"
-BUCKETS = 64
+# Partition columns of an online table: how many buckets it has, and the one of a row.
+BUCKETS, BUCKET = "key_buckets", "key_bucket"
+MIN_BUCKETS = 16
+ROWS_PER_BUCKET = 2_000_000
 FEW_REQUESTS = 10_000
 
 
@@ -28,9 +32,9 @@ def latest(
     An aggregate, not a window: each task reduces its rows to one per key before the shuffle.
     """
     if start is not None:
-        df = df.where(F.col(ts) >= F.lit(start).cast(df.schema[ts].dataType))
+        df = df.where(F.col(ts) >= typed(start, df.schema[ts].dataType))
     if end is not None:
-        df = df.where(F.col(ts) <= F.lit(end).cast(df.schema[ts].dataType))
+        df = df.where(F.col(ts) <= typed(end, df.schema[ts].dataType))
     newest = df.dropna(subset=[*keys, ts]).groupBy(*keys).agg(F.max(F.struct(ts, *columns)).alias("r"))
     return newest.select(*keys, *[F.col("r")[c].alias(c) for c in (ts, *columns)])
 
@@ -41,18 +45,26 @@ def merge_latest(current: DataFrame, update: DataFrame, keys: Sequence[str], ts:
     return latest(current.select(update.columns).union(update), keys, columns, ts)
 
 
-def key_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
-    # bigint first, so that int and bigint keys of equal value share a bucket
-    typed = [F.col(k).cast("string") for k in keys]
-    return F.pmod(F.xxhash64(*typed), F.lit(buckets)).cast("int")
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    # Keys as text, so that int and bigint keys of equal value share a bucket.
+    typed_keys = [F.col(k).cast("string") for k in keys]
+    return F.pmod(F.xxhash64(*typed_keys), F.lit(buckets)).cast("int")
 
 
-def write_online(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
-    """One folder per key bucket. Keys are unique, so hashing spreads the rows evenly."""
+def write_online(
+    df: DataFrame, path: str, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+) -> None:
+    """One folder per key bucket, their number growing with the table and kept in the path.
+
+    Keys are unique, so hashing spreads the rows evenly. The frame is computed once: a
+    checkpoint serves both the count and the write.
+    """
+    df = durable(df)
+    buckets = max(MIN_BUCKETS, -(-df.count() // rows_per_bucket))
     (
-        df.withColumn(BUCKET, key_bucket(keys, buckets))
-        .repartition(BUCKET)
-        .write.partitionBy(BUCKET)
+        df.withColumns({BUCKETS: F.lit(buckets), BUCKET: key_bucket(keys, buckets)})
+        .repartition(buckets, BUCKET)
+        .write.partitionBy(BUCKETS, BUCKET)
         .parquet(path)
     )
 
@@ -66,7 +78,6 @@ def lookup(
     online: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
-    buckets: int = BUCKETS,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the online columns to every request; unknown keys get NULL.
@@ -76,14 +87,16 @@ def lookup(
     that sends hot request keys around the shuffle.
     """
     keys = list(keys)
-    wanted = online.select(*keys, *columns, *([BUCKET] if BUCKET in online.columns else []))
+    wanted = online.select(*keys, *columns)
     asked = requests.select(*keys).limit(FEW_REQUESTS + 1)
     if asked.count() > FEW_REQUESTS:
-        return left_join(requests, wanted.drop(BUCKET), keys, max_group_rows)
+        return left_join(requests, wanted, keys, max_group_rows)
     asked = requests.select(*keys).distinct()
-    if BUCKET in wanted.columns:
-        # At most `buckets` numbers come to the driver.
-        hit = [r[0] for r in asked.select(key_bucket(keys, buckets)).distinct().collect()]
-        wanted = wanted.where(F.col(BUCKET).isin(hit)).drop(BUCKET)
+    if BUCKET in online.columns:
+        known = online.select(BUCKETS).first()
+        # At most FEW_REQUESTS bucket numbers come to the driver.
+        number = key_bucket(keys, known[0] if known else 1)
+        hit = [r[0] for r in asked.select(number).distinct().collect()]
+        wanted = online.where(F.col(BUCKET).isin(hit)).select(*keys, *columns)
     hits = wanted.join(F.broadcast(asked), keys, "left_semi")
     return requests.join(F.broadcast(hits), keys, "left")

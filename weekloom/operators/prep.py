@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.literals import typed
 from ..session import durable
 
 NOT_FEATURES = ("store_id", "dept_id", "event_timestamp", "date", "weekly_sales")
@@ -55,7 +56,7 @@ def feature_matrix(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
 
 
 def _value(row: Row, schema: T.StructType) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+    return F.struct(*[typed(v, f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
 
 
 def kth_row(df: DataFrame, order: Sequence[str], k: int, n: int | None = None) -> Row:

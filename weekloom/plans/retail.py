@@ -36,13 +36,13 @@ store_entity = Entity("store_id", description="Retail store identifier")
 dept_entity = Entity("dept_id", description="Department identifier within a store")
 
 
-def sales_schema() -> tuple[Field, ...]:
-    doubles = (TARGET, *LAG_FEATURES, *ROLLING_FEATURES)
-    longs = (*CALENDAR_FEATURES, *FLAG_FEATURES)
+def sales_schema(compact: bool = False) -> tuple[Field, ...]:
+    """``compact`` declares 32 bit types, as the batch job does."""
+    real, whole = (T.FloatType, T.IntegerType) if compact else (T.DoubleType, T.LongType)
     return (
-        *[Field(n, T.DoubleType()) for n in doubles],
-        *[Field(n, T.LongType()) for n in longs],
-        *[Field(n, T.DoubleType()) for n in ECONOMIC_FEATURES],
+        *[Field(n, real()) for n in (TARGET, *LAG_FEATURES, *ROLLING_FEATURES)],
+        *[Field(n, whole()) for n in (*CALENDAR_FEATURES, *FLAG_FEATURES)],
+        *[Field(n, real()) for n in ECONOMIC_FEATURES],
     )
 
 
@@ -53,6 +53,7 @@ def definitions(
     store_ttl: timedelta | None = STORE_TTL,
     clustered: bool = False,
     stores_clustered: bool = False,
+    compact: bool = False,
 ) -> list:
     """All objects of the store over two sources, each a Parquet path or a lazy frame.
 
@@ -69,7 +70,7 @@ def definitions(
     sales_view = FeatureView(
         "sales_features",
         (store_entity, dept_entity),
-        sales_schema(),
+        sales_schema(compact),
         source("sales_source", sales, clustered),
         sales_ttl,
         tags=tags,

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .definitions import Entity, FeatureService, FeatureView, OnDemandView, Projection, Source
+from .session import durable
 
 KINDS = {
     Entity: "entity",
@@ -139,6 +141,17 @@ class Registry:
             rows, "kind string, name string, description string, tags map<string,string>"
         )
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Upsert the objects by (kind, name) into the metadata table at ``path``."""
+        mine = self.objects_frame(spark)
+        try:
+            saved = spark.read.parquet(path)
+        except AnalysisException:
+            saved = None  # nothing there yet
+        if saved is not None:
+            mine = durable(saved.join(mine, ["kind", "name"], "left_anti").unionByName(mine))
+        mine.write.mode("overwrite").parquet(path)
+
     def features_frame(self, spark: SparkSession) -> DataFrame:
         """One row per declared feature."""
         rows = [

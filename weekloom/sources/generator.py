@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, noise, scalar
+from ..functions.literals import moment
 from . import spines
 
 
@@ -71,7 +72,7 @@ def generate_sales(
     """The demonstration data set: stores x departments x weeks."""
     start = datetime.fromisoformat(start_date)
     rows = spines.weeks_from(spines.series_grid(spark, stores, departments), start, weeks)
-    first = F.lit(start).cast("date")
+    first = moment(start).cast("date")
     week = F.datediff(F.col("event_timestamp").cast("date"), first) / 7
     return sales_rows(rows, week, seed, **options)
 
@@ -82,7 +83,7 @@ def generate_stores(
     """One row per series, all at the first date."""
     return store_rows(
         spines.series_grid(spark, stores, departments),
-        F.lit(datetime.fromisoformat(start_date)).cast("timestamp_ntz"),
+        moment(start_date),
     )
 
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import moment
+
 
 def numbers(count: int) -> Column:
     """Array 1..count as bigint."""
@@ -29,7 +31,7 @@ def weekly(series: DataFrame, start: Column, end: Column, ts: str = "event_times
 
 
 def weeks_from(series: DataFrame, start: datetime, weeks: int, ts: str = "event_timestamp") -> DataFrame:
-    first = F.lit(start).cast("timestamp_ntz")
+    first = moment(start)
     return weekly(series, first, first + F.expr(f"interval {7 * (weeks - 1)} days"), ts)
 
 

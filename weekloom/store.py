@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .definitions import FeatureService, FeatureView
 from .operators import online as online_ops
@@ -16,14 +19,24 @@ from .sources.tables import scan_view
 
 
 class FeatureStore:
+    """Definitions plus the online tables made from them.
+
+    With ``root``, a folder all executors share, online tables and registered metadata
+    outlive the session; without it they live in the checkpoint folder.
+    """
+
     def __init__(self, spark: SparkSession, objects: Iterable = (), root: str | None = None):
         self.spark = spark
         self.registry = Registry(objects)
-        self.root = root
+        self.root = root.rstrip("/") if root else None
         self._online: dict[str, str] = {}
 
     def apply(self, objects: Iterable) -> list[tuple[str, str]]:
-        return self.registry.apply(objects)
+        """Register; under a root the metadata table there is brought up to date too."""
+        changed = self.registry.apply(objects)
+        if self.root and changed:
+            self.registry.save(self.spark, f"{self.root}/registry")
+        return changed
 
     # -- training ------------------------------------------------------------
 
@@ -36,9 +49,12 @@ class FeatureStore:
     ) -> DataFrame:
         """Requests plus the selected features as of each request time.
 
-        ``options`` go to :func:`weekloom.operators.pit.point_in_time`.
+        ``options`` go to :func:`weekloom.operators.pit.point_in_time`. Over stored views
+        ``bound_time`` is on unless given.
         """
         selection = self.registry.select(features)
+        stored = all(view.source.path for view, _ in selection.views.values())
+        options.setdefault("bound_time", stored)
         views = [
             AsOf(
                 scan_view(self.spark, view, columns),
@@ -73,23 +89,40 @@ class FeatureStore:
             fresh = online_ops.latest(
                 scan_view(self.spark, view), view.join_keys, view.feature_names, ts, start, end
             )
-            if view.name in self._online:
-                current = online_ops.read_online(self.spark, self._online[view.name])
-                fresh = online_ops.merge_latest(current, fresh, view.join_keys, ts)
+            if self._current(view.name):
+                fresh = online_ops.merge_latest(self.online(view.name), fresh, view.join_keys, ts)
             path = self._path(view)
             online_ops.write_online(fresh, path, view.join_keys)
             written[view.name] = path
-        self._online.update(written)
+            self._online[view.name] = path
+        if self.root and written:
+            now = datetime.now(timezone.utc)
+            rows = [(name, path, now) for name, path in written.items()]
+            log = self.spark.createDataFrame(rows, "view string, path string, at timestamp")
+            log.write.mode("append").parquet(f"{self.root}/materialized")
         return written
 
     def _path(self, view: FeatureView) -> str:
-        path = fresh_path(self.spark, f"online-{view.name}")
-        return f"{self.root.rstrip('/')}/{path.rsplit('/', 1)[1]}" if self.root else path
+        if self.root:
+            return f"{self.root}/online/{view.name}-{uuid.uuid4().hex}"
+        return fresh_path(self.spark, f"online-{view.name}")
+
+    def _current(self, view: str) -> str | None:
+        """Path of the newest online table, also one that another session wrote under the root."""
+        if self.root:
+            try:
+                log = self.spark.read.parquet(f"{self.root}/materialized")
+            except AnalysisException:
+                return self._online.get(view)
+            newest = log.where(F.col("view") == view).agg(F.max_by("path", "at")).first()[0]
+            return newest or self._online.get(view)
+        return self._online.get(view)
 
     def online(self, view: str) -> DataFrame:
-        if view not in self._online:
+        path = self._current(view)
+        if path is None:
             raise LookupError(f"{view} is not materialized")
-        return online_ops.read_online(self.spark, self._online[view])
+        return online_ops.read_online(self.spark, path)
 
     def get_online_features(
         self,
