@@ -9,7 +9,7 @@ import sys
 import time
 
 import duckdb
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 from .oracle import ORACLE
@@ -28,40 +28,29 @@ def connect(folder: str):
     return con
 
 
-def plain(value):
-    if pd.api.types.is_scalar(value) and pd.isna(value):
-        return None
-    if isinstance(value, (pd.Timestamp,)):
-        return value.isoformat()
-    if hasattr(value, "item"):
-        value = value.item()
-    if isinstance(value, float) and value == int(value):
-        return value + 0.0
-    return value
-
-
-def rows_of(frame: pd.DataFrame) -> list[tuple]:
-    frame = frame[sorted(frame.columns)]
-    rows = [tuple(plain(v) for v in r) for r in frame.itertuples(index=False, name=None)]
-    return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))
-
-
-def differences(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
-    if sorted(got.columns) != sorted(want.columns):
-        return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
-    if len(got) != len(want):
-        return f"{len(got)} rows != {len(want)}"
-    pairs = [(a, b) for a, b in zip(rows_of(got), rows_of(want)) if a != b]
-    if pairs:
-        return f"{len(pairs)} of {len(got)} rows differ, first\n    {pairs[0][0]}\n    {pairs[0][1]}"
+def differences(con, got: pa.Table, sql: str) -> str | None:
+    """Compare as bags of rows, columns by name."""
+    con.register("got", got)
+    con.execute(f"CREATE OR REPLACE TEMP TABLE want AS {sql}")
+    names = sorted(r[0] for r in con.execute("DESCRIBE want").fetchall())
+    if sorted(got.column_names) != names:
+        return f"columns {sorted(got.column_names)} != {names}"
+    cols = ", ".join(f'"{n}"' for n in names)
+    extra, missing = (
+        con.execute(f"SELECT {cols} FROM {x} EXCEPT ALL SELECT {cols} FROM {y}").fetchall()
+        for x, y in (("got", "want"), ("want", "got"))
+    )
+    if extra or missing:
+        sample = "\n    ".join(str(r) for r in sorted(extra[:2] + missing[:2], key=str))
+        return f"{len(extra)} rows too many, {len(missing)} missing of {got.num_rows}\n    {sample}"
     return None
 
 
 def check(spark: SparkSession, con, folder: str, name: str) -> str | None:
-    got = QUERIES[name](spark, folder).toPandas()
+    got = QUERIES[name](spark, folder).toArrow()
     if name not in ORACLE:
-        return None if len(got) else "no rows"
-    return differences(got, con.execute(ORACLE[name]).df())
+        return None if got.num_rows else "no rows"
+    return differences(con, got, ORACLE[name])
 
 
 def main(argv: list[str]) -> int:

@@ -219,7 +219,8 @@ def statistics(names: list[str]) -> str:
 def standardized(n: str, of: str, value: str | None = None, alias: str | None = None) -> str:
     value = value or n
     div = f"CASE WHEN s_{n} = 0 THEN 1 ELSE s_{n} END"
-    return f"round(({of}{value} - m_{n}) / {div}, 6) AS {alias or n}"
+    # + 0 turns a negative zero into zero
+    return f"round(({of}{value} - m_{n}) / {div}, 6) + 0 AS {alias or n}"
 
 
 def coverage(view: str, block: str, names: list[str], types: dict[str, str]) -> str:
@@ -241,7 +242,7 @@ DERIVED = """
         AS a, CASE WHEN coalesce(lag_1, 0) = 0 THEN 1 ELSE lag_1 END AS b, weekly_sales"""
 DERIVED_SQL = query(
     f"""SELECT {LINE}, round(a, 12) AS sales_per_sqft,
-      round((coalesce(weekly_sales, 0) - b) / b, 6) AS momentum
+      round((coalesce(weekly_sales, 0) - b) / b, 6) + 0 AS momentum
     FROM (SELECT {LINE}, {DERIVED} FROM
       ({asof('shipped', ['weekly_sales', 'lag_1'], ['store_size'], source='windows')}))""",
     "shipped", "windows", "stores",

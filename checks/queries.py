@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from weekloom.functions.literals import moment
 from weekloom.functions.scalar import from_target, to_target
 from weekloom.operators import metrics, online, prep, windows
 from weekloom.operators.pit import AsOf, point_in_time
-from weekloom.plans import retail, training, warehouse
+from weekloom.plans import retail, training
+from weekloom.plans.warehouse import Warehouse
 from weekloom.session import fresh_path, stored
 from weekloom.sources import generator, tables
 from weekloom import scoring
@@ -44,15 +46,20 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 # -- shared inputs ---------------------------------------------------------
 
 
+@lru_cache(maxsize=None)
+def at(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(spark, folder)
+
+
 def sales_features(spark: SparkSession, folder: str) -> DataFrame:
-    first, _ = warehouse.ship_span(spark, folder)
-    return retail.build_sales_features(warehouse.sales_base(spark, folder), first)
+    first, _ = at(spark, folder).ship_span
+    return retail.build_sales_features(at(spark, folder).sales_base(), first)
 
 
 def feature_store(spark: SparkSession, folder: str, **ttl) -> FeatureStore:
     objects = retail.definitions(
         lambda s: sales_features(s, folder),
-        lambda s: warehouse.store_features(s, folder),
+        lambda s: at(s, folder).store_features(),
         clustered=True,
         stores_clustered=True,
         **ttl,
@@ -62,19 +69,19 @@ def feature_store(spark: SparkSession, folder: str, **ttl) -> FeatureStore:
 
 def shipment_requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per order line: what was known when it shipped."""
-    lines = warehouse.shipments(spark, folder)
+    lines = at(spark, folder).shipments()
     return lines.select(*LINE, *KEYS, F.col("l_shipdate").alias(TS))
 
 
 def training_table(spark: SparkSession, folder: str) -> DataFrame:
     return feature_store(spark, folder).get_historical_features(
-        warehouse.friday_spine(spark, folder), "training_features", **WEEKLY
+        at(spark, folder).friday_spine(), "training_features", **WEEKLY
     )
 
 
 def customer_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Every customer asks for a series; department 7 does not exist."""
-    return warehouse.table(spark, folder, "customer").select(
+    return at(spark, folder).table("customer").select(
         F.col("c_custkey").alias("pos"),
         F.col("c_nationkey").cast("bigint").alias("store_id"),
         (F.col("c_custkey") % 7 + 1).alias("dept_id"),
@@ -82,7 +89,7 @@ def customer_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_windows(spark: SparkSession, folder: str, **options) -> DataFrame:
-    base = warehouse.sales_base(spark, folder)
+    base = at(spark, folder).sales_base()
     options.setdefault("max_group_rows", None)  # at most one row per series and week
     return windows.sales_windows(base, **options)
 
@@ -109,8 +116,8 @@ def cached_training_set(spark, folder):
 
 
 def generate_sales(spark, folder, seed=42):
-    spine = warehouse.weekly_spine(spark, folder)
-    first, _ = warehouse.ship_span(spark, folder)
+    spine = at(spark, folder).weekly_spine()
+    first, _ = at(spark, folder).ship_span
     week = F.datediff(F.col(TS).cast("date"), first) / 7
     return generator.sales_rows(spine, week, seed)
 
@@ -195,7 +202,7 @@ def service_projection(spark, folder):
 def inference_features(spark, folder):
     return rounded(
         feature_store(spark, folder).get_historical_features(
-            warehouse.friday_spine(spark, folder), "inference_features", **WEEKLY
+            at(spark, folder).friday_spine(), "inference_features", **WEEKLY
         )
     )
 
@@ -230,7 +237,7 @@ def feature_matrix(spark, folder):
 def fill_zero(spark, folder):
     short = feature_store(spark, folder, sales_ttl=timedelta(days=30), store_ttl=timedelta(days=365))
     table = short.get_historical_features(
-        warehouse.friday_spine(spark, folder), "training_features", **WEEKLY
+        at(spark, folder).friday_spine(), "training_features", **WEEKLY
     )
     return rounded(prep.fill_zero(table, prep.numeric_features(table, retail.KEYS)))
 
@@ -261,7 +268,7 @@ def sales_vs_avg(spark, folder):
 
 def event_windows(spark, folder):
     """Lag and trailing mean over irregular events; user sizes are measured first."""
-    events = warehouse.table(spark, folder, "events").select("user_id", "ts", "value")
+    events = at(spark, folder).table("events").select("user_id", "ts", "value")
     made = windows.sales_windows(events, ["user_id"], "ts", "value", lags=(1, 2))
     return rounded(made.select("user_id", "ts", "lag_1", "lag_2", "rolling_mean_4w"))
 
@@ -286,8 +293,8 @@ def pit_join_split(spark, folder):
 
 def pit_join_broadcast(spark, folder):
     """Every series on the last eight Fridays."""
-    _, last = warehouse.ship_span(spark, folder)
-    spine = warehouse.friday_spine(spark, folder).where(
+    _, last = at(spark, folder).ship_span
+    spine = at(spark, folder).friday_spine().where(
         F.col(TS) >= last - F.expr("interval 56 days")
     )
     store = feature_store(spark, folder)
@@ -301,13 +308,13 @@ def pit_join_ttl_expiry(spark, folder):
     )
     refs = ["sales_features:weekly_sales", "store_features:store_size"]
     return rounded(
-        store.get_historical_features(warehouse.friday_spine(spark, folder), refs, **WEEKLY)
+        store.get_historical_features(at(spark, folder).friday_spine(), refs, **WEEKLY)
     )
 
 
 def pit_join_future_guard(spark, folder):
     """Requests 182 weeks early: about half of them precede all data."""
-    spine = warehouse.friday_spine(spark, folder)
+    spine = at(spark, folder).friday_spine()
     spine = spine.withColumn(TS, F.col(TS) - F.expr("interval 1274 days"))
     refs = ["sales_features:weekly_sales", "store_features:store_type"]
     return rounded(feature_store(spark, folder).get_historical_features(spine, refs, **WEEKLY))
@@ -315,7 +322,7 @@ def pit_join_future_guard(spark, folder):
 
 def pit_join_events(spark, folder):
     """For every event the user's newest click of the three days up to it."""
-    events = warehouse.table(spark, folder, "events")
+    events = at(spark, folder).table("events")
     clicks = events.where("event_type = 'click'").select(
         "user_id", "ts", F.col("value").alias("click_value"), F.col("event_id").alias("click_id")
     )
@@ -373,13 +380,13 @@ def on_demand_pandas_udf(spark, folder):
 
 
 def calendar_features(spark, folder):
-    lines = warehouse.table(spark, folder, "lineitem")
+    lines = at(spark, folder).table("lineitem")
     made = calendar.calendar_columns(F.col("l_shipdate"))
     return lines.select(*LINE, "l_shipdate", *[c.alias(n) for n, c in made.items()])
 
 
 def days_to_holiday_strict(spark, folder):
-    lines = warehouse.table(spark, folder, "lineitem")
+    lines = at(spark, folder).table("lineitem")
     days = calendar.days_to_holiday(
         F.col("l_shipdate"), calendar.HOLIDAY_WEEKS_NEW_YEAR, mode="strict"
     )
@@ -390,30 +397,30 @@ def days_to_holiday_strict(spark, folder):
 
 
 def sorted_sales(spark, folder):
-    return warehouse.sales_base(spark, folder).orderBy(*KEYS, TS)
+    return at(spark, folder).sales_base().orderBy(*KEYS, TS)
 
 
 def head(spark, folder):
-    return warehouse.sales_base(spark, folder).orderBy(*KEYS, TS).limit(10)
+    return at(spark, folder).sales_base().orderBy(*KEYS, TS).limit(10)
 
 
 def chrono_split(spark, folder):
-    base = stored(warehouse.sales_base(spark, folder), "sales-base")
+    base = stored(at(spark, folder).sales_base(), "sales-base")
     return prep.chrono_split(base)
 
 
 def hash_split(spark, folder):
-    orders = warehouse.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = at(spark, folder).table("orders").select("o_orderkey", "o_custkey")
     return prep.hash_split(orders, ["o_orderkey"])
 
 
 def permutation_split(spark, folder):
-    orders = warehouse.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = at(spark, folder).table("orders").select("o_orderkey", "o_custkey")
     return prep.permutation_split(orders, ["o_orderkey"])
 
 
 def target_transform(spark, folder):
-    base = warehouse.sales_base(spark, folder)
+    base = at(spark, folder).sales_base()
     y = to_target(F.col("weekly_sales"))
     return base.select(
         *KEYS, TS, F.round(y, 8).alias("y"), F.round(from_target(y), 2).alias("back")
@@ -447,12 +454,12 @@ def mse(spark, folder):
 
 
 def profile(spark, folder):
-    return metrics.profile(warehouse.sales_base(spark, folder))
+    return metrics.profile(at(spark, folder).sales_base())
 
 
 def weighted_loss(spark, folder):
     """Tax as loss of a batch, quantity as its size, ship year as epoch."""
-    lines = warehouse.table(spark, folder, "lineitem")
+    lines = at(spark, folder).table("lineitem")
     loss, size = F.col("l_tax").cast("decimal(8,4)"), F.col("l_quantity").cast("decimal(8,2)")
     made = lines.groupBy(F.year("l_shipdate").cast("bigint").alias("epoch")).agg(
         metrics.weighted_mean(loss, size).cast("double").alias("weighted_loss"),
@@ -466,7 +473,7 @@ def epoch_log(spark: SparkSession, folder: str) -> DataFrame:
     value = F.col("value").cast("decimal(18,4)")
     day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
     return (
-        warehouse.table(spark, folder, "events")
+        at(spark, folder).table("events")
         .groupBy(F.col("user_id").alias("run_id"), day.cast("bigint").alias("step"))
         .agg(
             F.round(F.avg(value), 4).cast("double").alias("train_loss"),
@@ -494,7 +501,7 @@ def best_epoch(spark, folder):
 def runs(spark: SparkSession, folder: str) -> DataFrame:
     """One run per user and kind of event, the kind being the model name."""
     return (
-        warehouse.table(spark, folder, "events")
+        at(spark, folder).table("events")
         .groupBy(F.col("event_type").alias("name"), F.col("user_id").alias("run_id"))
         .agg(F.min("ts").alias("start_time"), F.min("value").alias("best_mape"))
     )
@@ -630,11 +637,11 @@ QUERIES = {
     if callable(fn) and getattr(fn, "__module__", "") == __name__ and not name.startswith("_")
 }
 for _helper in (
-    "rounded", "feature_store", "shipment_requests", "training_table", "customer_requests",
+    "at", "rounded", "feature_store", "shipment_requests", "training_table", "customer_requests",
     "sales_windows", "event_view", "epoch_log", "runs", "json_requests",
 ):
     QUERIES.pop(_helper)
 QUERIES["sales_features"] = lambda spark, folder: rounded(sales_features(spark, folder))
-QUERIES["store_features"] = warehouse.store_features
-QUERIES["entity_spine_weekly"] = warehouse.weekly_spine
-QUERIES["entity_spine_friday"] = warehouse.friday_spine
+QUERIES["store_features"] = lambda spark, folder: at(spark, folder).store_features()
+QUERIES["entity_spine_weekly"] = lambda spark, folder: at(spark, folder).weekly_spine()
+QUERIES["entity_spine_friday"] = lambda spark, folder: at(spark, folder).friday_spine()

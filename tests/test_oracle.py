@@ -16,8 +16,8 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, name):
-    got = QUERIES[name](spark, FOLDER).toPandas()
-    assert differences(got, duck.execute(ORACLE[name]).df()) is None
+    got = QUERIES[name](spark, FOLDER).toArrow()
+    assert differences(duck, got, ORACLE[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -113,22 +113,27 @@ def _one_key_set(
     else:
         joined = _splitting(keyed, keys, views, ts, max_rows, clustered)
 
-    missing = [
-        F.lit(None).cast(v.frame.schema[c].dataType).alias(c) for v in views for c in v.columns
-    ]
-    # NULL-key requests, however many, need no shuffle.
-    return joined.unionByName(requests.where(unmatched).select("*", *missing))
+    # NULL-key requests, however many, need no shuffle; their features become NULL.
+    return joined.unionByName(requests.where(unmatched), allowMissingColumns=True)
 
 
-def _hit(view: AsOf, hit: Column, at: Column, ts: str) -> list[Column]:
-    fresh = F.lit(True) if view.ttl is None else hit[ts] >= at - F.lit(view.ttl)
-    return [F.when(fresh, hit[c]).alias(c) for c in view.columns]
+def _carried(view: AsOf, name: str, window: WindowSpec, ts: str) -> Column:
+    """The newest packed feature row up to here, NULL once it is older than the TTL."""
+    hit = F.last(name, ignorenulls=True).over(window)
+    if view.ttl is not None:
+        hit = F.when(hit[ts] >= F.col(ts) - F.lit(view.ttl), hit)
+    return hit.alias(name)
 
 
 def _packed(view: AsOf, ts: str) -> Column:
     return F.struct(ts, *view.columns)
 
 
+def _unpacked(views: Sequence[AsOf], hits: Sequence[str]) -> list[str]:
+    """Names of the packed columns; fields of a NULL row are NULL."""
+    return [f"{h}.`{c}`" for h, v in zip(hits, views) for c in v.columns]
+
+
 def _window(requests: DataFrame, keys, views, ts, clustered=False) -> DataFrame:
     own = [c for c in requests.columns if c not in (*keys, ts)]
     row = F.struct(F.lit(1).alias("__kept"), *own)
@@ -160,12 +165,9 @@ def _window(requests: DataFrame, keys, views, ts, clustered=False) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     filled = both.select(
-        *keys, ts, "__row", *[F.last(h, ignorenulls=True).over(running).alias(h) for h in hits]
-    ).where(F.col("__row").isNotNull())
-    values = [c for h, v in zip(hits, views) for c in _hit(v, F.col(h), F.col(ts), ts)]
-    return filled.select(*keys, ts, *[F.col("__row")[c].alias(c) for c in own], *values).select(
-        *requests.columns, *[c for v in views for c in v.columns]
-    )
+        *keys, ts, "__row", *[_carried(v, h, running, ts) for h, v in zip(hits, views)]
+    ).where("__row IS NOT NULL")
+    return filled.select(*keys, ts, *[f"__row.`{c}`" for c in own], *_unpacked(views, hits))
 
 
 def _few(requests: DataFrame, keys, limit: int) -> bool:
@@ -188,10 +190,10 @@ def _broadcast(requests: DataFrame, keys, views, ts) -> DataFrame:
         found = found.groupBy(*keys, "__slot").agg(F.max(_packed(v, ts)).alias(f"f{i}"))
         grid = grid.join(found.withColumnRenamed("__slot", ts), [*keys, ts], "left")
     running = W.partitionBy(*keys).orderBy(ts).rowsBetween(W.unboundedPreceding, W.currentRow)
-    last = [F.last(f"f{i}", ignorenulls=True).over(running).alias(f"f{i}") for i in range(len(views))]
-    grid = grid.select(*keys, ts, *last)
-    values = [c for i, v in enumerate(views) for c in _hit(v, F.col(f"f{i}"), F.col(ts), ts)]
-    return requests.join(F.broadcast(grid.select(*keys, ts, *values)), [*keys, ts], "left")
+    hits = [f"f{i}" for i in range(len(views))]
+    grid = grid.select(*keys, ts, *[_carried(v, h, running, ts) for h, v in zip(hits, views)])
+    grid = grid.select(*keys, ts, *_unpacked(views, hits))
+    return requests.join(F.broadcast(grid), [*keys, ts], "left")
 
 
 def _splitting(requests: DataFrame, keys, views, ts, max_rows, clustered) -> DataFrame:
@@ -248,8 +250,7 @@ def _split(requests: DataFrame, keys, views, ts, max_rows) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     filled = both.unionByName(carried).select(
-        *moment, "__side", *[F.last(h, ignorenulls=True).over(running).alias(h) for h in hits]
+        *moment, "__side", *[_carried(v, h, running, ts) for h, v in zip(hits, views)]
     )
-    values = [c for h, v in zip(hits, views) for c in _hit(v, F.col(h), F.col(ts), ts)]
-    found = filled.where("__side = 1").select(*moment, *values)
+    found = filled.where("__side = 1").select(*moment, *_unpacked(views, hits))
     return left_join(requests, found, moment, max_rows)

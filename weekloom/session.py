@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "100MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "100MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every column expression makes building large plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

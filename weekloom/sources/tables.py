@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..definitions import FeatureView
 
@@ -24,10 +23,10 @@ def scan_view(
     missing = [c for c in (*view.join_keys, ts, *names) if c not in raw.columns]
     if missing:
         raise ValueError(f"source {view.source.name} of {view.name} lacks {missing}")
-    keys = [
-        F.col(k).cast(e.value_type).alias(k) for e in view.entities for k in e.join_keys
-    ]
-    return raw.select(*keys, ts, *[F.col(c).cast(types[c]).alias(c) for c in names])
+    casts = {k: e.value_type for e in view.entities for k in e.join_keys}
+    casts |= {c: types[c] for c in names}
+    cast = [f"CAST(`{c}` AS {t.simpleString()}) AS `{c}`" for c, t in casts.items()]
+    return raw.selectExpr(*cast, f"`{ts}`").select(*view.join_keys, ts, *names)
 
 
 def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
