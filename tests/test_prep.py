@@ -18,6 +18,17 @@ def test_kth_row(spark, monkeypatch, k):
     assert tuple(prep.kth_row(df, ["a", "b", "c"], k)) == sorted(rows)[k - 1]
 
 
+def test_kth_row_of_a_sorted_table_needs_few_passes(spark, monkeypatch):
+    monkeypatch.setattr(prep, "SELECT_ROWS", 500)
+    monkeypatch.setattr(prep, "SAMPLE_ROWS", 400)
+    passes = []
+    value = prep._value
+    monkeypatch.setattr(prep, "_value", lambda *a: passes.append(1) or value(*a))
+    df = spark.range(0, 200_000, numPartitions=50).toDF("a")
+    assert prep.kth_row(df, ["a"], 160_000)["a"] == 159_999
+    assert len(passes) <= 7 * 6  # seven pivots a pass
+
+
 def test_kth_row_with_one_dominant_value(spark, monkeypatch):
     monkeypatch.setattr(prep, "SELECT_ROWS", 10)
     df = spark.range(5000).select(F.when(F.col("id") < 4000, 5).otherwise(F.col("id")).alias("a"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .skew import MAX_GROUP_ROWS, hot_keys, left_join, only, split_groups, without
 
 BROADCAST_ROWS = 100_000
@@ -232,6 +233,8 @@ def _split(requests: DataFrame, keys, views, ts, max_rows) -> DataFrame:
         newest = v.frame.groupBy(*moment).agg(F.max(_packed(v, ts)).alias("f"))
         both = both.unionByName(side(newest, 0, i))
 
+    # Written once: the time range, the histogram and both passes below read it.
+    both = stored(both, "hot-moments")
     split = split_groups(both.select(*moment), keys, ts, max_rows)
     both = split.attach(both, split.table.select(*keys, "__cell", "__bucket")).drop("__cell")
     # Last feature row of every bucket, then of all earlier buckets: one row per bucket.

@@ -71,8 +71,11 @@ def kth_row(df: DataFrame, order: Sequence[str], k: int, n: int | None = None) -
     n = left.count() if n is None else n
     if not 1 <= k <= n:
         raise ValueError(f"k must be in 1..{n}")
+    seed = 0
     while n > SELECT_ROWS:
-        drawn = left.sample(fraction=min(1.0, 4 * SAMPLE_ROWS / n), seed=k).limit(SAMPLE_ROWS)
+        # About SAMPLE_ROWS rows from all partitions; a limit would favour the first ones.
+        seed += 1
+        drawn = left.sample(fraction=min(1.0, SAMPLE_ROWS / n), seed=seed)
         drawn = drawn.orderBy(*order).collect()
         if not drawn:
             continue
