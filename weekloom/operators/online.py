@@ -73,23 +73,28 @@ def read_online(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def are_few(requests: DataFrame) -> bool:
+    """Whether at most FEW_REQUESTS rows; counts no further than that."""
+    return requests.limit(FEW_REQUESTS + 1).count() <= FEW_REQUESTS
+
+
 def lookup(
     requests: DataFrame,
     online: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
+    few: bool | None = None,
 ) -> DataFrame:
     """Add the online columns to every request; unknown keys get NULL.
 
     Few requests: only their key buckets are read, and a broadcast of their keys filters
     the scan, so the online table never shuffles. Many requests: an equi join on the keys
-    that sends hot request keys around the shuffle.
+    that sends hot request keys around the shuffle. ``few`` saves counting again.
     """
     keys = list(keys)
     wanted = online.select(*keys, *columns)
-    asked = requests.select(*keys).limit(FEW_REQUESTS + 1)
-    if asked.count() > FEW_REQUESTS:
+    if not (are_few(requests) if few is None else few):
         return left_join(requests, wanted, keys, max_group_rows)
     asked = requests.select(*keys).distinct()
     if BUCKET in online.columns:

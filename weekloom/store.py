@@ -135,9 +135,10 @@ class FeatureStore:
         ``order_by`` sorts the answer, for callers that need the order of the requests.
         """
         selection = self.registry.select(features)
-        out = requests
+        out, few = requests, online_ops.are_few(requests)
         for view, columns in selection.views.values():
-            out = online_ops.lookup(out, self.online(view.name), view.join_keys, columns)
+            table = self.online(view.name)
+            out = online_ops.lookup(out, table, view.join_keys, columns, few=few)
         out = finish(out, selection, requests.columns)
         return out.orderBy(order_by) if order_by else out
 
