@@ -7,7 +7,7 @@ Levels. Runs of ``base`` words are looked at first; only windows whose runs repe
 extended to twice that length, and so on up to ``words``, until the length is reached or no
 candidate survives. Below the last level a window is represented by its minimizer, the
 least-hashed run in it: equal windows have equal minimizers, so none is lost, and only about
-one place in six moves. At the last level each surviving window moves under a 128-bit hash.
+one place in six moves. At the last level each surviving window moves under a 96-bit hash.
 
 Hot passages. Within a piece of input a repeated run is known to repeat without any shuffle,
 so only its first place is sent; a passage that stands in a third of all documents costs one
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from .text import (
     covered, inside, lists, longs, mixed, owners, pieces, raw_texts, runs, sampled, signed,
@@ -76,7 +76,7 @@ def _places(words: int, length: int, before: int | None):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            ids = longs(batch, "doc_id")
+            ids = longs(batch, "__doc")
             h, counts = word_hashes([t.split() for t in raw_texts(batch)])
             if len(h) < words:
                 continue
@@ -109,79 +109,84 @@ def _places(words: int, length: int, before: int | None):
                 same = (d == d[head][group]) & (p == p[head][group])
             head = order[new]
             times = np.diff(np.append(np.flatnonzero(new), len(order)))
-            later = order[~new & ~same] if last else order[~new]
-            later.sort()
+            later = np.sort(order[~new & ~same] if last else order[~new])
+            # In the order of the text: ids and places then compress well on their way.
+            by_place = np.argsort(head)
+            head, times = head[by_place], times[by_place]
+            extra = other[head].view(np.uint32)[::2].view(np.int32) if last else times.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(key[head])), pa.array(signed(other[head])), pa.array(ids[doc[head]]),
-                 pa.array(place[head].astype(np.int32)), pa.array(times.astype(np.int32)),
-                 pa.nulls(len(head), pa.list_(pa.int32()))],
+                [pa.array(signed(key[head])), pa.array(extra), pa.array(ids[doc[head]]),
+                 pa.array(place[head].astype(np.int32)), pa.nulls(len(head), pa.list_(pa.int32()))],
                 names=NAMES,
             )
             if len(later):
                 own, places, offsets = _packed(ids, doc[later], place[later].astype(np.int32))
                 salt = signed(mixed(own.astype(np.uint64) ^ SECOND))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(salt), pa.array(own), pa.array(own),
-                     pa.nulls(len(own), pa.int32()), pa.array(np.full(len(own), 2, np.int32)),
-                     lists(places, offsets)],
+                    [pa.array(salt), pa.array(np.full(len(own), 2, np.int32)), pa.array(own),
+                     pa.nulls(len(own), pa.int32()), lists(places, offsets)],
                     names=NAMES,
                 )
 
     return rows
 
 
-NAMES = ["key", "other", "doc_id", "start", "times", "more"]
-PLACES = "key bigint, other bigint, doc_id bigint, start int, times int, more array<int>"
+# ``extra``: how often the run stands in the piece; at the last level more bits of its hash.
+NAMES = ["key", "extra", "__doc", "start", "more"]
+PLACES = "key bigint, extra int, __doc bigint, start int, more array<int>"
 
 
 def _gathered(found: DataFrame) -> DataFrame:
     """One row per document with all its places."""
     one = F.when(F.col("start").isNotNull(), F.array("start")).otherwise(F.col("more"))
-    return found.groupBy("doc_id").agg(F.flatten(F.collect_list(one)).alias("at"))
+    return found.groupBy("__doc").agg(F.flatten(F.collect_list(one)).alias("at"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents with an id, under ``__doc``; every level and the end read them in this one
+    form, so they are shuffled once."""
+    return docs.withColumn("__doc", F.col("doc_id").cast("bigint")).where("__doc IS NOT NULL")
 
 
 def repeated_windows(docs: DataFrame, words: int = 20, base: int | None = None) -> DataFrame:
-    """(doc_id, at): the starts of all windows whose words also start earlier."""
+    """(__doc, at): the starts of all windows whose words also start earlier."""
     base = base or (words // 2 if words % 2 == 0 else words)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.where("doc_id IS NOT NULL")
-    chain, before, left = levels(words, base), None, texts
-    for length in chain:
+    texts = _keyed(docs)
+    before, left = None, texts
+    for length in levels(words, base):
         rows = left.mapInArrow(_places(words, length, before), PLACES)
         if length < words:
-            times = F.sum("times").over(W.partitionBy("key"))
+            times = F.sum("extra").over(W.partitionBy("key"))
             found = rows.withColumn("n", times).where("n > 1 OR more IS NOT NULL")
-            left = texts.join(_gathered(found).hint("shuffle_hash"), "doc_id")
-        else:
-            order = W.partitionBy("key", "other").orderBy("doc_id", "start")
-            rows = rows.withColumn("first", F.struct("doc_id", "start"))
-            earlier = F.min("first").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-            found = rows.withColumn("e", earlier).where("more IS NOT NULL OR e < first")
-            return _gathered(found)
-        before = length
+            left = texts.join(_gathered(found).hint("shuffle_hash"), "__doc")
+            before = length
+    # Rows of one place have one rank: only a truly earlier start makes it greater than 1.
+    rank = F.rank().over(W.partitionBy("key", "extra").orderBy("__doc", "start"))
+    return _gathered(rows.withColumn("rank", rank).where("more IS NOT NULL OR rank > 1"))
 
 
 def without_repeats(docs: DataFrame, words: int = 20, base: int | None = None) -> DataFrame:
     """Every row with its words, the removed spans and the text that is left.
 
     Columns: the input's own, then n_words, n_removed, removed (array of the removed word
-    ranges as [from, to) pairs, flat) and kept_text (kept words joined by one space).
+    ranges as [from, to) pairs, flat) and kept_text (kept words joined by one space). Input
+    columns of these names, or named at or __doc, give way.
     """
-    clash = {"n_words", "n_removed", "removed", "kept_text"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} already exist")
-    found = repeated_windows(docs, words, base).withColumnRenamed("doc_id", "__doc")
-    joined = docs.join(
-        found.hint("shuffle_hash"), F.col("doc_id").cast("bigint") == F.col("__doc"), "left"
-    ).drop("__doc").withColumnRenamed("at", "__at")
+    made = {"n_words": LongType(), "n_removed": LongType(), "removed": ArrayType(IntegerType()), "kept_text": StringType()}
+    docs = docs.drop(*made, "at", "__doc")
     columns = docs.columns
-    schema = joined.drop("__at").schema.add("n_words", LongType()).add("n_removed", LongType())
-    schema = schema.add("removed", ArrayType(IntegerType())).add("kept_text", StringType())
+    given = docs if dict(docs.dtypes)["text"] == "string" else docs.withColumn("text", F.col("text").cast("string"))
+    found = repeated_windows(given, words, base).hint("shuffle_hash")
+    joined = _keyed(given).join(found, "__doc", "left").select(*columns, "at")
+    alone = given.where(F.col("doc_id").cast("bigint").isNull()).withColumn("at", F.lit(None).cast("array<int>"))
+    schema = StructType(list(given.schema.fields))
+    for name, kind in made.items():
+        schema = schema.add(name, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             total, gone, spans, kept = [], [], [], []
-            for text, at in zip(raw_texts(batch), batch.column("__at")):
+            for text, at in zip(raw_texts(batch), batch.column("at")):
                 all_words = text.split()
                 n = len(all_words)
                 edges: list[int] = []
@@ -193,12 +198,10 @@ def without_repeats(docs: DataFrame, words: int = 20, base: int | None = None) -
                 gone.append(n - len(all_words))
                 spans.append(edges)
                 kept.append(b" ".join(all_words))
-            made = [pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                    pa.array(spans, pa.list_(pa.int32())), pa.array(kept, pa.binary()).cast(pa.string())]
+            arrays = [pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                      pa.array(spans, pa.list_(pa.int32())), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), *made],
-                names=[*columns, "n_words", "n_removed", "removed", "kept_text"],
+                [*(batch.column(c) for c in columns), *arrays], names=[*columns, *made]
             )
 
-    return joined.mapInArrow(cut, schema)
-
+    return joined.unionByName(alone).mapInArrow(cut, schema)
