@@ -216,10 +216,11 @@ def links(distinct: DataFrame, threshold: int = 4, blocks: int = 3, chunk: int =
         _spread(threshold, blocks), "anchor bigint, fp bigint, node bigint, home boolean"
     )
     homes = spread.where("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    parts = homes.select("anchor", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("parts"))
-    # An anchor without homes links nothing. Visitors go to all parts, homes to one.
+    parts = F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("parts")
+    large = homes.where(F.col("n") > chunk).select("anchor", parts)
+    # Of a large anchor visitors go to all parts, each home is at home in one.
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    dealt = spread.join(parts, "anchor").select(
+    dealt = spread.join(large, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).select(
         "anchor", "fp", "node",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.col("home"), own.alias("own"),
