@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -178,26 +179,19 @@ def score(
     unigrams = spark.createDataFrame(
         pd.DataFrame({"id": np.arange(len(log_one), dtype=np.int32), "one": log_one, "alone": log_alone})
     )
-    first = F.shiftrightunsigned("pair", 16)
-    second = F.col("pair").bitwiseAND(0xFFFF)
-    counted = exploded.where("pair IS NOT NULL").groupBy("bucket", "pair").agg(F.count(F.lit(1)).alias("c"))
-    # The value of a pair is worked out once; the vocabulary's size bounds what is broadcast.
-    valued = (
-        counted.join(F.broadcast(unigrams.select("id", "one")), first == F.col("id")).drop("id")
-        .join(F.broadcast(unigrams.select("id", "alone")), second == F.col("id")).drop("id")
-        .select(
-            "bucket", "pair",
-            F.when(F.col("c") >= least, F.log10("c") - F.col("one"))
-            .otherwise(F.lit(float(back)) + F.col("alone")).alias("value"),
-        )
+    one, alone = (F.broadcast(unigrams.select(F.col("id").alias(f"{c}_of"), c)) for c in ("one", "alone"))
+    # The table of counts and the exploded pairs meet where both are, in the pair's partition.
+    counted = exploded.withColumn("c", F.count("pair").over(W.partitionBy("bucket", "pair")))
+    # The vocabulary's size bounds what is broadcast.
+    valued = counted.join(one, F.shiftrightunsigned("pair", 16) == F.col("one_of"), "left").join(
+        alone, F.col("pair").bitwiseAND(0xFFFF) == F.col("alone_of"), "left"
     )
+    seen = F.when(F.col("c") >= least, F.log10("c") - F.col("one")).otherwise(F.lit(float(back)) + F.col("alone"))
+    value = F.when(F.col("pair").isNotNull(), seen).otherwise(F.col("base"))
     return (
-        exploded.join(valued, ["bucket", "pair"], "left")
+        valued.select("doc_id", "n", value.alias("value"))
         .groupBy("doc_id")
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"),
-            (F.coalesce(F.sum("base"), F.lit(0.0)) + F.coalesce(F.sum("value"), F.lit(0.0))).alias("log_score"),
-        )
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"), F.sum("value").alias("log_score"))
         .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
     )
 
