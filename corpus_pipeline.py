@@ -19,11 +19,16 @@ from weekloom.session import fresh_path
 WORDS = 20
 
 
+def _columns(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The columns of ``docs``, but for extra ones that gave way to a stage's own."""
+    return found.select(*[c for c in docs.columns if c in found.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts without a letter go."""
     reachable(spark)
     model = langid.learn(docs.where(~langid.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
-    return langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    return _columns(docs, langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +41,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(docs, WORDS)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    return _columns(docs, found.withColumns({"text": text, "n_chars": n_chars}))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -502,3 +502,21 @@ def test_long_words_run_through_the_same_recurrence():
     some = [bytes(rng.integers(97, 101, n).astype(np.uint8)) for n in (1, 3, 10, 60, 61, 62, 63, 64, 65, 150)]
     assert triecount.counts(some, model).tolist() == [brute_tokens(w, scores) for w in some]
     assert [triecount.alone(triecount.MARK + w, model) for w in some] == [brute_tokens(w, scores) for w in some]
+
+
+def test_columns_of_the_same_names_give_way(spark, awkward):
+    names = ["lang_pred", "score", "n_words", "n_tokens", "kept_text", "at", "host", "rule", "fp", "component_id", "shard", "h", "key", "anchor", "draw"]
+    docs = awkward.withColumns({n: F.lit("mine") for n in names})
+    items = spark.createDataFrame([(1, BASE, "mine")], "item_id int, text string, doc_id string")
+    path = queries.vocabulary_file("word_bpe_49k.json")
+    scores = {b"a": -1, b"b": -2}
+    made = [
+        (decontam.without_items(docs, items), "text"), (repeats.without_repeats(docs), "kept_text"),
+        (kdshard.shard(docs, 3), "shard"), (backoff.score(docs), "n_words"), (simhash.near_duplicates(docs), "fp"),
+        (simhash.first_of_groups(docs), "text"), (bpe.digests(docs, path), "n_tokens"),
+        (langid.identify(docs), "score"), (triecount.count_tokens(docs, scores), "n_tokens"),
+        (cascade.judge(docs.withColumn("url", F.lit("http://a.b/c")), queries.RULES, queries.LISTED), "host"),
+    ]
+    for df, name in made:
+        assert df.where(F.col(name).cast("string") == "mine").isEmpty() and not df.isEmpty()
+    assert not decontam.contained(docs, items).isEmpty()

@@ -16,7 +16,8 @@ Decoding. ``Decoder`` takes ids one at a time. Without a decoder in the file the
 the tokens' names by spaces; ``bytes_to_text`` gives the bytes the tokens stand for, with
 incomplete characters held back until their bytes are there.
 
-NULL counts as an empty text. Rows come back as they are, with columns more.
+NULL counts as an empty text. Rows come back as they are, with columns more; input columns of
+their names give way.
 """
 
 from __future__ import annotations
@@ -220,9 +221,7 @@ def load(content: str) -> Bpe:
 
 
 def _with(docs: DataFrame, path: str, fields: list, make) -> DataFrame:
-    clash = {f[0] for f in fields} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} already exist")
+    docs = docs.drop(*(f[0] for f in fields))
     with open(path, encoding="utf-8") as file:  # a vocabulary file, read where the job starts
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
     columns = docs.columns

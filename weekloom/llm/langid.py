@@ -142,10 +142,8 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Every row with ``lang_pred`` and ``score``."""
-    clash = {"lang_pred", "score"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} already exist")
+    """Every row with ``lang_pred`` and ``score``; input columns of these names give way."""
+    docs = docs.drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 

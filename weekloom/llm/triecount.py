@@ -132,10 +132,8 @@ def counts(words: list[bytes], model: Pieces) -> np.ndarray:
 
 
 def count_tokens(docs: DataFrame, scores: dict[bytes, int]) -> DataFrame:
-    """Every row with n_words and n_tokens. ``scores`` are sent to all tasks: a vocabulary."""
-    clash = {"n_words", "n_tokens"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} already exist")
+    """Every row with n_words and n_tokens (input columns so named give way). ``scores`` are sent to all tasks: a vocabulary."""
+    docs = docs.drop("n_words", "n_tokens")
     sent = docs.sparkSession.sparkContext.broadcast(scores)
     columns = docs.columns
 
