@@ -262,7 +262,7 @@ TRAIN_STATS = ", ".join(
 ONE_FEATURE = f"""p AS ({PREPARED}),
 fit AS (SELECT regr_slope(y, rolling_mean_4w) AS b, regr_intercept(y, rolling_mean_4w) AS a,
     avg(y) AS m_y, stddev_pop(y) AS s_y FROM p WHERE split = 'train'),
-scored AS (SELECT p.*, m_y, s_y, a + b * rolling_mean_4w::FLOAT::DOUBLE AS guess FROM p, fit WHERE split = 'val')"""
+scored AS (SELECT p.*, m_y, s_y, a + b * rolling_mean_4w::FLOAT::DOUBLE AS guess FROM p, fit)"""
 
 
 REQUESTED = """SELECT floor(pos / 16)::BIGINT AS request_id, pos % 16 AS pos, a.store_id,
@@ -508,7 +508,7 @@ ORACLE = {
         f"""SELECT round(avg(pow((y - guess) / s_y, 2)), 6) AS val_loss,
         round(avg(CASE WHEN weekly_sales > 1000
           THEN abs((weekly_sales - (exp(guess) - 1)) / weekly_sales) END) * 100, 6) AS mape,
-        count(*) AS n_rows FROM (WITH {ONE_FEATURE} SELECT * FROM scored)""",
+        count(*) AS n_rows FROM (WITH {ONE_FEATURE} SELECT * FROM scored WHERE split = 'val')""",
         "features", "stores", "fridays",
     ),
     "batch_score_one_feature": query(
@@ -516,4 +516,26 @@ ORACLE = {
         FROM (WITH {ONE_FEATURE} SELECT * FROM scored)""",
         "features", "stores", "fridays",
     ),
+    "decode_feature_rows": """SELECT floor(c_custkey / 16)::BIGINT AS request_id,
+        row_number() OVER (PARTITION BY floor(c_custkey / 16) ORDER BY c_custkey) - 1 AS pos,
+        round(c_acctbal::FLOAT::DOUBLE, 1) AS balance, c_nationkey::BIGINT AS nation FROM customer""",
+    "unscaled_features": query(f"SELECT {show([*KEY, *SALES])} FROM features", "features"),
+    "score_requests_one_feature": query(
+        f"""SELECT floor(pos / 16)::BIGINT AS request_id, row_number() OVER (PARTITION BY floor(pos / 16) ORDER BY pos) - 1 AS pos,
+        NULL::VARCHAR AS error, round(a + b * coalesce(n.rolling_mean_4w, 0)::FLOAT::DOUBLE, 4) AS log_prediction
+        FROM asked LEFT JOIN newest n ON asked.store_id = n.store_id AND asked.dept_id = n.dept_id,
+        (WITH {ONE_FEATURE} SELECT a, b FROM fit)""",
+        "asked", "newest", "features", "stores", "fridays",
+    ),
+    "train_stump": query(
+        f"""SELECT * FROM (WITH p AS MATERIALIZED ({PREPARED}),
+        s AS (SELECT avg(y) AS m_y, stddev_pop(y) AS s_y FROM p WHERE split = 'train'),
+        leaf AS (SELECT is_holiday, avg(y) AS guess FROM p WHERE split = 'train' GROUP BY is_holiday)
+        SELECT round(avg(pow((y - guess) / s_y, 2)), 4) AS val_loss,
+        round(avg(CASE WHEN weekly_sales > 1000 THEN abs((weekly_sales - (exp(guess) - 1)) / weekly_sales) END) * 100, 4) AS mape,
+        count(*) AS n_rows FROM p JOIN leaf USING (is_holiday), s WHERE split = 'val')""",
+        "features", "stores", "fridays",
+    ),
 }
+ORACLE["event_windows_split"] = ORACLE["event_windows"]
+ORACLE["online_lookup_join"] = ORACLE["online_lookup"]

@@ -111,8 +111,14 @@ def scan_feature_view(spark, folder):
 
 
 def cached_training_set(spark, folder):
+    """The second read finds the table and builds nothing."""
     path = fresh_path(spark, "training-set")
-    return rounded(tables.cached_table(spark, path, lambda: training_table(spark, folder)))
+    tables.cached_table(spark, path, lambda: training_table(spark, folder))
+
+    def again():
+        raise AssertionError("built twice")
+
+    return rounded(tables.cached_table(spark, path, again))
 
 
 def generate_sales(spark, folder, seed=42):
@@ -266,13 +272,18 @@ def sales_vs_avg(spark, folder):
     return rounded(sales_windows(spark, folder).select(*KEYS, TS, "sales_vs_avg"))
 
 
-def event_windows(spark, folder):
+def event_windows(spark, folder, **options):
     """Lag and trailing mean over irregular events; user sizes are measured first."""
     events = at(spark, folder).table("events").select("user_id", "ts", "value")
-    made = windows.sales_windows(events, ["user_id"], "ts", "value", lags=(1, 2))
+    made = windows.sales_windows(events, ["user_id"], "ts", "value", lags=(1, 2), **options)
     return rounded(made.select("user_id", "ts", "lag_1", "lag_2", "rolling_mean_4w"))
 
 
+def event_windows_split(spark, folder):
+    """The same with every user of more than forty events cut into buckets."""
+    return event_windows(spark, folder, max_group_rows=40)
+
+
 # -- point-in-time joins ---------------------------------------------------
 
 
@@ -288,7 +299,7 @@ def pit_join(spark, folder):
 
 
 def pit_join_split(spark, folder):
-    return rounded(_shipment_join(spark, folder, max_group_rows=60, broadcast_rows=0))
+    return rounded(_shipment_join(spark, folder, max_group_rows=60))
 
 
 def pit_join_broadcast(spark, folder):
@@ -299,7 +310,7 @@ def pit_join_broadcast(spark, folder):
     )
     store = feature_store(spark, folder)
     refs = ["sales_features:weekly_sales", "sales_features:lag_1", "store_features:region"]
-    return rounded(store.get_historical_features(spine, refs))
+    return rounded(store.get_historical_features(spine, refs, strategy="broadcast"))
 
 
 def pit_join_ttl_expiry(spark, folder):
@@ -338,13 +349,18 @@ def training_features(spark, folder):
 # -- online reads ----------------------------------------------------------
 
 
-def online_lookup(spark, folder):
+def online_lookup(spark, folder, strategy="buckets"):
     columns = ["weekly_sales", "lag_1"]
     now = online.latest(sales_windows(spark, folder), KEYS, columns)
     path = fresh_path(spark, "online")
     online.write_online(now, path, KEYS)
     table = online.read_online(spark, path)
-    return rounded(online.lookup(customer_requests(spark, folder), table, KEYS, columns))
+    asked = customer_requests(spark, folder)
+    return rounded(online.lookup(asked, table, KEYS, columns, strategy=strategy))
+
+
+def online_lookup_join(spark, folder):
+    return online_lookup(spark, folder, strategy="join")
 
 
 def online_service(spark, folder):
@@ -360,9 +376,7 @@ def _derived(spark, folder, make):
     store = feature_store(spark, folder)
     sales, stores = (store.registry.view(v) for v in ("sales_features", "store_features"))
     service = FeatureService("derived_only", (make(sales, stores),))
-    made = store.get_historical_features(
-        shipment_requests(spark, folder), service, strategy="window"
-    )
+    made = store.get_historical_features(shipment_requests(spark, folder), service)
     return made.withColumns(
         {"sales_per_sqft": F.round("sales_per_sqft", 12), "momentum": F.round("momentum", 6)}
     )
@@ -434,6 +448,13 @@ def scaled_features(spark, folder):
     return rounded(scaler.transform(features), 6)
 
 
+def unscaled_features(spark, folder):
+    """Scaled and scaled back."""
+    features = stored(sales_features(spark, folder), "sales-features")
+    scaler = prep.Scaler.fit(features, prep.numeric_features(features, retail.KEYS))
+    return rounded(scaler.inverse(scaler.transform(features)))
+
+
 def training_matrix(spark, folder):
     table = stored(training_table(spark, folder), "training-set")
     return rounded(training.training_matrix(table).rows, 6)
@@ -550,6 +571,23 @@ def decode_requests(spark, folder):
     return scoring.request_rows(decoded).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def decode_feature_rows(spark, folder):
+    """Feature arrays in place of entities: account balance and nation of sixteen customers."""
+    asked = at(spark, folder).table("customer").select(
+        F.floor(F.col("c_custkey") / 16).alias("request_id"), "c_custkey",
+        F.array(F.col("c_acctbal").cast("float"), F.col("c_nationkey").cast("float")).alias("row"),
+    )
+    rows = F.array_sort(F.collect_list(F.struct("c_custkey", "row")))
+    given = F.struct(F.lit("features").alias("name"), F.transform(rows, lambda r: r["row"]).alias("data"))
+    payload = F.to_json(F.struct(F.array(given).alias("inputs"))).alias("payload")
+    decoded = scoring.decode_requests(asked.groupBy("request_id").agg(payload))
+    made = scoring.feature_rows(decoded, ["balance", "nation"])
+    return made.select(
+        "request_id", F.col("pos").cast("bigint").alias("pos"),
+        F.round(F.col("balance").cast("double"), 1).alias("balance"), F.col("nation").cast("bigint").alias("nation"),
+    )
+
+
 def _mean_as_prediction(spark, folder):
     asked = scoring.request_rows(scoring.decode_requests(json_requests(spark, folder)))
     now = stored(online.latest(sales_windows(spark, folder), KEYS, ["rolling_mean_4w"]), "online")
@@ -584,7 +622,7 @@ def train_eval_one_feature(spark, folder):
 
 def batch_score_one_feature(spark, folder):
     rows, model = _fit_one(spark, folder)
-    asked = rows.where("split = 'val'").select(*KEYS, TS, "rolling_mean_4w")
+    asked = rows.select(*KEYS, TS, "rolling_mean_4w")
     return rounded(model.predict(asked).select(*KEYS, TS, "prediction"), 2)
 
 
@@ -617,7 +655,31 @@ def _fit_all(spark, folder):
 
 def batch_score(spark, folder):
     rows, model = _fit_all(spark, folder)
-    return rounded(model.predict(rows.where("split = 'val'")).select(*KEYS, TS, "prediction"), 2)
+    return rounded(model.predict(rows).select(*KEYS, TS, "prediction"), 2)
+
+
+def train_stump(spark, folder):
+    """One boosting round of depth one on one feature that has two values."""
+    rows = _training_rows(spark, folder)
+    model = scoring.train(rows.where("split = 'train'"), ["is_holiday"], "gbt", maxIter=1, maxDepth=1, seed=42)
+    return rounded(scoring.evaluate(model, rows.where("split = 'val'")), 4)
+
+
+def score_requests_one_feature(spark, folder):
+    """Whole request documents scored on one feature; answers taken apart again."""
+    _, model = _fit_one(spark, folder)
+    now = stored(online.latest(sales_windows(spark, folder), KEYS, ["rolling_mean_4w"]), "online")
+    answers = scoring.score_requests(
+        json_requests(spark, folder), model,
+        lambda asked: online.lookup(asked, now, KEYS, ["rolling_mean_4w"]),
+    )
+    data = F.from_json("response", "outputs array<struct<data array<double>>>")["outputs"][0]["data"]
+    made = answers.select("request_id", "error", F.posexplode(data).alias("pos", "prediction"))
+    # 32 bit floats keep seven digits.
+    return made.select(
+        "request_id", F.col("pos").cast("bigint").alias("pos"), "error",
+        F.round(F.log(F.col("prediction") + 1), 4).alias("log_prediction"),
+    )
 
 
 def score_requests(spark, folder):

@@ -37,9 +37,10 @@ def run(spark, requests, features, ttl=None, **options):
 
 PLANS = {
     "window": {"strategy": "window"},
-    "broadcast": {},
-    "split": {"max_group_rows": 12, "broadcast_rows": 0},
-    "split fine": {"max_group_rows": 2, "broadcast_rows": 0},
+    "auto": {},
+    "broadcast": {"strategy": "broadcast"},
+    "split": {"max_group_rows": 12},
+    "split fine": {"max_group_rows": 2},
     "bounded": {"strategy": "window", "bound_time": True},
 }
 
@@ -141,14 +142,22 @@ def test_clustered_sides_of_unequal_size_stay_aligned(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_few_requests_bound(spark):
-    requests = spark.createDataFrame([(i, 1, T0) for i in range(300)], REQ)
-    assert pit._few(requests, ["k"], 1000) is False  # more than 256 of one key
-    assert pit._few(requests.where("id < 200"), ["k"], 1000) is True
-    assert pit._few(requests.where("id < 200"), ["k"], 100) is False
-
-
 def test_columns_must_not_collide(spark):
     feats = spark.createDataFrame([(1, T0, 1)], "k long, event_timestamp timestamp_ntz, id long")
     with pytest.raises(ValueError):
         point_in_time(spark.createDataFrame([(1, 1, T0)], REQ), [AsOf(feats, ("k",), ("id",))])
+
+
+def test_broadcast_beyond_its_limit_fails(spark):
+    with pytest.raises(ValueError, match="bytes to broadcast"):
+        run(spark, [(1, 1, T0)], [(1, T0, 1, "a")], strategy="broadcast", broadcast_bytes=3)
+
+
+def test_times_far_out_leave_no_large_bucket(spark):
+    from weekloom.operators.skew import split_groups
+
+    rows = spark.range(5000).selectExpr("1 AS k", "timestamp_ntz'2023-01-01' + make_interval(0,0,0,0,0,0,id) AS t")
+    far = spark.sql("SELECT 1 AS k, timestamp_ntz'1900-01-01' AS t UNION ALL SELECT 1, timestamp_ntz'9999-12-31'")
+    split = split_groups(rows.union(far), ["k"], "t", 100)
+    sizes = split.table.groupBy("__bucket").agg(F.sum("n").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    assert sizes[0] <= 200 and sizes[1] == 5002

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The constants of the demonstration sales model, in the formulas below.
 def seasonality(woy: Column) -> Column:
     return F.lit(1.0) + F.lit(0.3) * F.sin(F.lit(2 * math.pi) * woy / F.lit(52.0))
 

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.literals import typed
 from ..session import durable
@@ -16,7 +17,7 @@ from .skew import MAX_GROUP_ROWS, left_join
 BUCKETS, BUCKET = "key_buckets", "key_bucket"
 MIN_BUCKETS = 16
 ROWS_PER_BUCKET = 2_000_000
-FEW_REQUESTS = 10_000
+MAX_ASKED = 100_000
 
 
 def latest(
@@ -30,6 +31,7 @@ def latest(
     """Newest row per key with a time in [start, end]; of equal times the greatest row.
 
     An aggregate, not a window: each task reduces its rows to one per key before the shuffle.
+    Spark sorts for it, as the greatest of structs has no hash aggregate.
     """
     if start is not None:
         df = df.where(F.col(ts) >= typed(start, df.schema[ts].dataType))
@@ -63,19 +65,18 @@ def write_online(
     buckets = max(MIN_BUCKETS, -(-df.count() // rows_per_bucket))
     (
         df.withColumns({BUCKETS: F.lit(buckets), BUCKET: key_bucket(keys, buckets)})
-        .repartition(buckets, BUCKET)
+        .repartitionById(buckets, BUCKET)
         .write.partitionBy(BUCKETS, BUCKET)
         .parquet(path)
     )
 
 
-def read_online(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def are_few(requests: DataFrame) -> bool:
-    """Whether at most FEW_REQUESTS rows; counts no further than that."""
-    return requests.limit(FEW_REQUESTS + 1).count() <= FEW_REQUESTS
+def read_online(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """``schema``, that of the view, makes a table without rows readable too."""
+    if schema is None:
+        return spark.read.parquet(path)
+    whole = T.StructType([*schema.fields, T.StructField(BUCKETS, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(whole).parquet(path)
 
 
 def lookup(
@@ -84,23 +85,28 @@ def lookup(
     keys: Sequence[str],
     columns: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
-    few: bool | None = None,
+    strategy: str = "join",
 ) -> DataFrame:
     """Add the online columns to every request; unknown keys get NULL.
 
-    Few requests: only their key buckets are read, and a broadcast of their keys filters
-    the scan, so the online table never shuffles. Many requests: an equi join on the keys
-    that sends hot request keys around the shuffle. ``few`` saves counting again.
+    ``join``, for any number of requests: an equi join on the keys that sends hot request
+    keys around the shuffle. ``buckets``, for a few: only their key buckets are read, and a
+    broadcast of their keys filters the scan, so the online table never shuffles; more than
+    MAX_ASKED distinct keys are an error.
     """
     keys = list(keys)
     wanted = online.select(*keys, *columns)
-    if not (are_few(requests) if few is None else few):
+    if strategy == "join":
         return left_join(requests, wanted, keys, max_group_rows)
-    asked = requests.select(*keys).distinct()
+    if strategy != "buckets":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    asked = durable(requests.select(*keys).distinct())
+    if asked.count() > MAX_ASKED:
+        raise ValueError(f"more than {MAX_ASKED} keys: use strategy='join'")
     if BUCKET in online.columns:
         known = online.select(BUCKETS).first()
-        # At most FEW_REQUESTS bucket numbers come to the driver.
         number = key_bucket(keys, known[0] if known else 1)
+        # At most MAX_ASKED bucket numbers come to the driver.
         hit = [r[0] for r in asked.select(number).distinct().collect()]
         wanted = online.where(F.col(BUCKET).isin(hit)).select(*keys, *columns)
     hits = wanted.join(F.broadcast(asked), keys, "left_semi")

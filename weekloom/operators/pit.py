@@ -8,8 +8,9 @@ Three plans give the same result:
 
 * window: union both sides, sort by key and time, carry the last feature row forward.
   One shuffle per key set, linear in the rows, whatever the number of views.
-* broadcast: for few requests. Feature rows find their next request time in a broadcast
-  table and are reduced per (key, time) before the shuffle. The features never shuffle.
+* broadcast: on demand only, for few requests. Feature rows find their next request time in
+  a broadcast table and are reduced per (key, time) before the shuffle. The features never
+  shuffle. What is sent is measured in bytes first; too much fails the job.
 * split: window in time buckets for keys with too many rows for one task.
 """
 
@@ -23,11 +24,10 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import durable, stored
 from .skew import MAX_GROUP_ROWS, hot_keys, left_join, only, split_groups, without
 
-BROADCAST_ROWS = 100_000
-BROADCAST_ROWS_PER_KEY = 256
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -52,15 +52,16 @@ def point_in_time(
     ts: str = "event_timestamp",
     strategy: str = "auto",
     max_group_rows: int = MAX_GROUP_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     bound_time: bool = False,
     requests_clustered: bool = False,
 ) -> DataFrame:
     """Left as-of join of ``requests`` with every view.
 
-    ``auto`` measures first: few requests take the broadcast plan, long groups the split
-    plan, all else the window plan. ``window`` skips the measurement; use it where the
-    grain of both sides bounds the rows per key. ``bound_time`` filters features to the
+    ``auto`` is the window plan at every size, with the keys of more than
+    ``max_group_rows`` rows cut along time. ``window`` skips the measurement; use it where
+    the grain of both sides bounds the rows per key. ``broadcast`` asks for that plan; it
+    raises beyond ``broadcast_bytes``. ``bound_time`` filters features to the
     time range of the requests; for stored views the filter reaches the Parquet scan.
     ``requests_clustered`` says that the requests come partitioned by the keys.
     """
@@ -78,7 +79,7 @@ def point_in_time(
     for keys, group in by_keys.items():
         group = [_prepared(v, requests, ts, bound_time) for v in group]
         out = _one_key_set(
-            out, keys, group, ts, strategy, max_group_rows, broadcast_rows, requests_clustered
+            out, keys, group, ts, strategy, max_group_rows, broadcast_bytes, requests_clustered
         )
         requests_clustered = False
     return out.select(*taken)
@@ -98,7 +99,7 @@ def _prepared(view: AsOf, requests: DataFrame, ts: str, bound_time: bool) -> AsO
 
 
 def _one_key_set(
-    requests, keys, views, ts, strategy, max_rows, broadcast_rows, clustered
+    requests, keys, views, ts, strategy, max_rows, broadcast_bytes, clustered
 ) -> DataFrame:
     unmatched = F.lit(False)
     for c in (*keys, ts):
@@ -107,10 +108,10 @@ def _one_key_set(
 
     if strategy == "window":
         joined = _window(keyed, keys, views, ts, clustered)
+    elif strategy == "broadcast":
+        joined = _broadcast(keyed, keys, views, ts, broadcast_bytes)
     elif strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    elif _few(keyed, keys, broadcast_rows):
-        joined = _broadcast(keyed, keys, views, ts)
     else:
         joined = _splitting(keyed, keys, views, ts, max_rows, clustered)
 
@@ -171,20 +172,23 @@ def _window(requests: DataFrame, keys, views, ts, clustered=False) -> DataFrame:
     return filled.select(*keys, ts, *[f"__row.`{c}`" for c in own], *_unpacked(views, hits))
 
 
-def _few(requests: DataFrame, keys, limit: int) -> bool:
-    """At most ``limit`` requests and few per key; stops reading past the limit."""
-    per_key = requests.select(*keys).limit(limit + 1).groupBy(*keys).count()
-    total, longest = per_key.agg(F.sum("count"), F.max("count")).first()
-    return (total or 0) <= limit and (longest or 0) <= BROADCAST_ROWS_PER_KEY
+def _sized(df: DataFrame, limit: int) -> DataFrame:
+    """Mark a stored table for broadcast if its rows, as text, stay under the limit."""
+    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"{size} bytes to broadcast, at most {limit}: use strategy='auto'")
+    return F.broadcast(df)
 
 
-def _broadcast(requests: DataFrame, keys, views, ts) -> DataFrame:
-    # One array of distinct request times per key; `_few` bounds rows and array length.
-    moments = requests.groupBy(*keys).agg(F.array_sort(F.collect_set(ts)).alias("__at"))
+def _broadcast(requests: DataFrame, keys, views, ts, limit) -> DataFrame:
+    requests = stored(requests, "requests")
+    # One array of distinct request times per key.
+    moments = durable(requests.groupBy(*keys).agg(F.array_sort(F.collect_set(ts)).alias("__at")))
+    sent_moments = _sized(moments, limit)
     grid = moments.select(*keys, F.explode("__at").alias(ts))
     for i, v in enumerate(views):
         slot = F.array_min(F.filter("__at", lambda at: at >= F.col(ts)))
-        found = v.frame.join(F.broadcast(moments), list(keys)).withColumn("__slot", slot)
+        found = v.frame.join(sent_moments, list(keys)).withColumn("__slot", slot)
         found = found.where(F.col("__slot").isNotNull())
         if v.ttl is not None:
             found = found.where(F.col(ts) >= F.col("__slot") - F.lit(v.ttl))
@@ -194,10 +198,11 @@ def _broadcast(requests: DataFrame, keys, views, ts) -> DataFrame:
     hits = [f"f{i}" for i in range(len(views))]
     grid = grid.select(*keys, ts, *[_carried(v, h, running, ts) for h, v in zip(hits, views)])
     grid = grid.select(*keys, ts, *_unpacked(views, hits))
-    return requests.join(F.broadcast(grid), [*keys, ts], "left")
+    return requests.join(_sized(durable(grid), limit), [*keys, ts], "left")
 
 
 def _splitting(requests: DataFrame, keys, views, ts, max_rows, clustered) -> DataFrame:
+    # Only keys are read here; Spark prunes the features from the plans of lazy views.
     everything = requests.select(*keys)
     for v in views:
         everything = everything.union(v.frame.select(*keys))

@@ -63,8 +63,8 @@ def kth_row(df: DataFrame, order: Sequence[str], k: int, n: int | None = None) -
     """The k-th smallest (from 1) tuple of ``order`` without sorting the table.
 
     Each pass samples the remaining candidates, counts them around sampled pivots and keeps
-    the interval that holds the k-th. What is left when small is sorted. Exact; only
-    pivots and counts reach the driver.
+    the interval that holds the k-th. What is left when small is sorted. Exact; counts and at
+    most about SAMPLE_ROWS sampled keys a pass reach the driver.
     """
     left = df.select(*order)
     key = F.struct(*order)
@@ -110,14 +110,17 @@ def ordered_split(
     order: Sequence[str],
     fraction: float = 0.8,
     label: str = "split",
+    rows: int | None = None,
 ) -> DataFrame:
     """Mark the first ``int(n * fraction)`` rows in ``order`` as train, the others as val.
 
+    ``rows`` gives their number instead.
+
     The cut row is selected first; marking is then a projection. Only if copies of the cut
     row lie on both sides of the cut are these copies numbered.
     """
     n = df.count()
-    k = int(n * fraction)
+    k = int(n * fraction) if rows is None else rows
     train, val = F.lit("train"), F.lit("val")
     if k == 0 or k == n:
         return df.withColumn(label, train if k else val)
@@ -152,8 +155,47 @@ def chrono_split(
     keys: Sequence[str] = ("store_id", "dept_id"),
     fraction: float = 0.8,
 ) -> DataFrame:
-    """Chronological split by row position; ties of one time are ordered by key."""
-    return ordered_split(df, [ts, *keys], fraction)
+    """Chronological split by row position; ties of one time are ordered by key.
+
+    Rows are counted per time, one small table; the running sum over it gives the time that
+    holds the cut. Only rows of that time are then ordered by key.
+    """
+    per_time = durable(df.groupBy(ts).agg(F.count(F.lit(1)).alias("n")))
+    n = per_time.agg(F.sum("n")).first()[0] or 0
+    k = int(n * fraction)
+    if k == 0 or k == n:
+        return df.withColumn("split", F.lit("train" if k else "val"))
+    cut, before, there = _time_of(per_time, ts, k)
+    at = typed(cut, df.schema[ts].dataType)
+    time = F.col(ts)
+    early = time.isNull() if cut is None else time.isNull() | (time < at)
+    here = time.isNull() if cut is None else time == at
+    if cut is None:
+        early = F.lit(False)
+    if before + there == k:
+        return df.withColumn("split", F.when(early | here, F.lit("train")).otherwise(F.lit("val")))
+    side = F.when(F.coalesce(early, F.lit(False)), F.lit("train")).otherwise(F.lit("val"))
+    rest = df.where(~F.coalesce(here, F.lit(False))).withColumn("split", side)
+    tied = ordered_split(df.where(here), list(keys), rows=k - before)
+    return rest.unionByName(tied)
+
+
+def _time_of(per_time: DataFrame, ts: str, k: int) -> tuple:
+    """(time, rows before it, rows at it) of the k-th row in time order, NULL first.
+
+    Days are added up first, then the times of one day, so no sum runs over all times.
+    """
+    day = F.col(ts).cast("date") if dict(per_time.dtypes)[ts] != "date" else F.trunc(ts, "month")
+    before = 0
+    left = per_time
+    for group in (day, F.col(ts)):
+        sums = left.groupBy(group.alias("g")).agg(F.sum("n").alias("n"))
+        running = F.sum("n").over(W.orderBy(F.col("g").asc_nulls_first()))
+        found = sums.withColumn("upto", running).where(F.col("upto") >= k - before)
+        row = found.orderBy(F.col("upto")).first()
+        before += row["upto"] - row["n"]
+        left = left.where(group.eqNullSafe(F.lit(row["g"])))
+    return row["g"], before, row["n"]
 
 
 def hash_percent(keys: Sequence[str], seed: str = "") -> Column:

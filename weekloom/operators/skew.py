@@ -18,78 +18,115 @@ from pyspark.sql import types as T
 from ..session import durable
 
 MAX_GROUP_ROWS = 2_000_000
-TIME_CELLS = 4096
-BROADCAST_TABLE_ROWS = 1_000_000
+CELLS = 1024
+MAX_BROADCAST_BYTES = 256 << 20
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows, or None.
+def sent(df: DataFrame) -> DataFrame:
+    """A stored table of few rows, marked for broadcast after its size was counted.
 
-    At most rows / max_rows keys qualify, so the result is safe to broadcast.
+    What is sent lists groups of more than some number of rows, so it is that many times
+    smaller than the data; should it still be too large, the job fails here.
     """
+    width = sum(f.dataType.defaultSize() if hasattr(f.dataType, "defaultSize") else 32 for f in df.schema)
+    size = df.count() * (width + 16)
+    if size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"about {size} bytes to broadcast, at most {MAX_BROADCAST_BYTES}: raise max_group_rows")
+    return F.broadcast(df)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows, stored, or None. Counted once."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") > max_rows).select(*keys)
-    return None if hot.isEmpty() else durable(hot)
+    hot = durable(counts.where(F.col("n") > max_rows).select(*keys))
+    return None if hot.isEmpty() else hot
 
 
 def only(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot), list(keys), "left_semi")
+    return df.join(sent(hot), list(keys), "left_semi")
 
 
 def without(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot), list(keys), "left_anti")
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_TABLE_ROWS) -> DataFrame:
-    """Mark for broadcast if counted to be small; otherwise leave the join to Spark."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return df.join(sent(hot), list(keys), "left_anti")
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
-    """Whole seconds for times, the value itself for numbers; never decreases with the column."""
+    """Microseconds for times, the value itself for numbers; never decreases with the column."""
     dtype, c = df.schema[column].dataType, F.col(column)
     if isinstance(dtype, T.TimestampType):
-        return F.unix_seconds(c)
+        return F.unix_micros(c)
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
         if isinstance(dtype, T.DateType):
             return days
-        return days + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+        seconds = days + F.hour(c) * 3600 + F.minute(c) * 60
+        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
     if isinstance(dtype, T.NumericType):
-        return F.floor(c)
+        return F.floor(c).cast("bigint")
     raise TypeError(f"cannot split a series ordered by {dtype.simpleString()}")
 
 
 @dataclass
 class Split:
-    """Histogram of hot groups: (keys, __cell) -> __bucket, rows ``n``, rows ``before``."""
+    """Cells of hot groups: (keys, __cell) -> __bucket, rows ``n``, rows ``before``.
+
+    A cell is an interval of the order column, named by its least value.
+    """
 
     keys: tuple[str, ...]
     table: DataFrame
-    cell_of: Callable[[DataFrame], Column]
+    place: Callable[[DataFrame], DataFrame]
 
     def attach(self, df: DataFrame, columns: DataFrame) -> DataFrame:
         """Join columns known per (keys, __cell) to the rows of ``df``."""
-        on = [*self.keys, "__cell"]
-        return df.withColumn("__cell", self.cell_of(df)).join(small(columns), on)
+        return self.place(df).join(columns, [*self.keys, "__cell"])
 
 
 def split_groups(
-    df: DataFrame, keys: Sequence[str], ts: str, max_rows: int, cells: int = TIME_CELLS
+    df: DataFrame, keys: Sequence[str], ts: str, max_rows: int, cells: int = CELLS
 ) -> Split:
-    """Cut every group of ``df`` along ``ts`` into buckets of about ``max_rows`` rows."""
-    low, high = df.select(ordinal(df, ts).alias("o")).agg(F.min("o"), F.max("o")).first()
-    width = (high - low) // cells + 1
-
-    def cell_of(frame: DataFrame) -> Column:
-        return F.floor((ordinal(frame, ts) - F.lit(low)) / F.lit(width))
+    """Cut every group of ``df`` along ``ts`` into buckets of about ``max_rows`` rows.
 
-    counted = df.groupBy(*keys, cell_of(df).alias("__cell")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per (hot key, cell): no more than `cells` rows in any of these windows.
+    Each group's own range is cut into cells and counted; a cell with more than ``max_rows``
+    rows is cut and counted again, until it fits or holds a single time. So neither a burst
+    nor a time far out leaves a large bucket, whatever the range.
+    """
+    keys = list(keys)
+    whole = df.groupBy(*keys).agg(F.min(ordinal(df, ts)).alias("__low"), F.max(ordinal(df, ts)).alias("__high"))
+    span = F.col("__high") - F.col("__low") + 1
+    finer = [durable(whole.select(*keys, "__low", F.ceil(span / F.lit(cells)).cast("bigint").alias("__step")))]
+
+    def within(start: str, step: str) -> Column:
+        return F.col(start) + F.expr(f"(__at - {start}) DIV {step}") * F.col(step)
+
+    def place(frame: DataFrame) -> DataFrame:
+        out = frame.join(sent(finer[0]), keys)
+        # A row without a time sorts first.
+        out = out.withColumn("__at", F.coalesce(ordinal(frame, ts), F.col("__low")))
+        out = out.withColumn("__cell", within("__low", "__step")).drop("__low")
+        for table in finer[1:]:
+            out = out.join(sent(table), [*keys, "__cell"], "left")
+            cut = F.col("__finer").isNotNull()
+            out = out.withColumns({
+                "__cell": F.when(cut, within("__cell", "__finer")).otherwise(F.col("__cell")),
+                "__step": F.coalesce("__finer", "__step"),
+            }).drop("__finer")
+        return out.drop("__at")
+
+    while True:
+        counted = durable(
+            place(df).groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("n"), F.min("__step").alias("__step"))
+        )
+        full = counted.where((F.col("n") > max_rows) & (F.col("__step") > 1))
+        if full.isEmpty():
+            break
+        step = F.ceil(F.col("__step") / F.lit(cells)).cast("bigint")
+        finer.append(durable(full.select(*keys, "__cell", step.alias("__finer"))))
+    # One row per cell of a hot key that holds rows.
     before = F.sum("n").over(W.partitionBy(*keys).orderBy("__cell")) - F.col("n")
-    table = counted.withColumn("before", before)
+    table = counted.select(*keys, "__cell", "n", before.alias("before"))
     table = table.withColumn("__bucket", F.floor(F.col("before") / F.lit(max_rows)))
-    return Split(tuple(keys), durable(table), cell_of)
+    return Split(tuple(keys), durable(table), lambda frame: place(frame).drop("__step"))
 
 
 def left_join(
@@ -115,10 +152,10 @@ def left_join(
     hot = hot_keys(keyed, keys, max_rows)
     if hot is None:
         return keyed.join(right, keys, "left").unionByName(unmatched)
-    hot_right = F.broadcast(only(right, hot, keys))
+    hot_right = durable(only(right, hot, keys))
     return (
         only(keyed, hot, keys)
-        .join(hot_right, keys, "left")
+        .join(sent(hot_right), keys, "left")
         .unionByName(without(keyed, hot, keys).join(right, keys, "left"))
         .unionByName(unmatched)
     )

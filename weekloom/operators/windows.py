@@ -83,7 +83,8 @@ def positions(
 ) -> DataFrame:
     """Place of each row in its group, from 1. Long groups are numbered bucket by bucket.
 
-    The first order column is a time or number; the others break ties.
+    The first order column is a time or number; the others break ties. More rows of one
+    value than fit a group are numbered by the next column.
     """
 
     def place(*by: str) -> Column:
@@ -99,8 +100,18 @@ def positions(
     starts = split.table.select(
         *keys, "__cell", "__bucket", F.min("before").over(bucket).alias("__start")
     )
-    long = split.attach(long, starts).withColumn(name, F.col("__start") + place(*keys, "__bucket"))
-    return cold.unionByName(long.select(*df.columns, name))
+    tied = split.table.where((F.col("n") > max_group_rows) & F.lit(len(order) > 1))
+    starts = starts.join(tied.select(*keys, "__cell", F.col("before").alias("__tied")), [*keys, "__cell"], "left")
+    long = split.attach(long, starts)
+    # Rows of a bucket that lie before a tied cell are numbered with it, so it starts there.
+    apart = long.where("__tied IS NOT NULL").drop("__bucket", "__cell", "__start")
+    rest = long.withColumn(name, F.col("__start") + place(*keys, "__bucket")).where("__tied IS NULL")
+    out = cold.unionByName(rest.select(*df.columns, name))
+    if tied.isEmpty():
+        return out
+    more = positions(apart, [*keys, order[0]], order[1:], "__more", max_group_rows)
+    more = more.withColumn(name, F.col("__tied") + F.col("__more"))
+    return out.unionByName(more.select(*df.columns, name))
 
 
 def sales_windows(

@@ -32,8 +32,8 @@ STORE_TTL = timedelta(days=365 * 10)
 SHORT_SALES_TTL = timedelta(days=90)
 SHORT_STORE_TTL = timedelta(days=365)
 
-store_entity = Entity("store_id", description="Retail store identifier")
-dept_entity = Entity("dept_id", description="Department identifier within a store")
+store_entity = Entity("store_id", description="Number of a shop")
+dept_entity = Entity("dept_id", description="Number of a department, the same in every shop")
 
 
 def sales_schema(compact: bool = False) -> tuple[Field, ...]:
@@ -66,7 +66,7 @@ def definitions(
             return Source(name, path=given)
         return Source(name, frame=given, clustered=clustered)
 
-    tags = {"team": "ml-platform", "component": "sales-forecasting"}
+    tags = {"owner": "forecasting", "data": "weekly sales"}
     sales_view = FeatureView(
         "sales_features",
         (store_entity, dept_entity),

@@ -22,7 +22,9 @@ def department(part_type: Column) -> Column:
     number = F.when(part_type == DEPARTMENTS[0], F.lit(1).cast("bigint"))
     for i, name in enumerate(DEPARTMENTS[1:], start=2):
         number = number.when(part_type == name, F.lit(i).cast("bigint"))
-    return number
+    # A type that is not listed would lose its sales without a word.
+    unknown = F.raise_error(F.concat(F.lit("part type without a department: "), part_type))
+    return number.when(part_type.isNotNull(), unknown.cast("bigint"))
 
 
 class Warehouse:

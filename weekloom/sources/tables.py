@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..definitions import FeatureView
@@ -29,11 +30,32 @@ def scan_view(
     return raw.selectExpr(*cast, f"`{ts}`").select(*view.join_keys, ts, *names)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"), "_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where nothing lies; other failures are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read the table at ``path``; compute and write it first if it is not there."""
-    df = build()
-    df.write.mode("ignore").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Read the table at ``path``; build and write it only if no finished one is there.
+
+    What a broken write left behind is written over.
+    """
+    if not is_written(spark, path):
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_if_any(df: DataFrame, path: str) -> bool:
