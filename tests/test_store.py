@@ -10,6 +10,7 @@ from weekloom import Entity, FeatureService, FeatureStore, FeatureView, Field, R
 from weekloom.definitions import OnDemandView
 from weekloom.operators import online
 from weekloom.plans import retail
+from weekloom.registry import saved_objects
 from weekloom.session import fresh_path
 from weekloom.sources import generator, spines
 from weekloom.sources.tables import cached_table, scan_view, write_if_any
@@ -122,14 +123,13 @@ def test_later_materialization_wins_and_older_rows_stay(spark):
         store.online("h")
 
 
-@pytest.mark.parametrize("few", [10_000, 0])
-def test_online_lookup(demo, spark, monkeypatch, few):
-    monkeypatch.setattr(online, "FEW_REQUESTS", few)
+@pytest.mark.parametrize("strategy", ["join", "buckets"])
+def test_online_lookup(demo, spark, strategy):
     demo.materialize()
     asked = spark.createDataFrame(
         [(0, 4, 3), (1, 1, 1), (2, 77, 1), (3, None, 1), (4, 1, 1)], "pos long, store_id long, dept_id long"
     )
-    rows = demo.get_online_features(asked, "inference_features", order_by="pos").collect()
+    rows = demo.get_online_features(asked, "inference_features", "pos", strategy).collect()
     assert [r["pos"] for r in rows] == [0, 1, 2, 3, 4]
     assert [r["store_size"] for r in rows] == [140000, 110000, None, None, 110000]
     assert "weekly_sales" not in rows[0].asDict()
@@ -139,7 +139,8 @@ def test_few_requests_read_few_buckets(demo, spark):
     demo.materialize()
     table = demo.online("sales_features")
     out = online.lookup(
-        spark.createDataFrame([(1, 1)], "store_id long, dept_id long"), table, KEYS, ["lag_1"]
+        spark.createDataFrame([(1, 1)], "store_id long, dept_id long"), table, KEYS, ["lag_1"],
+        strategy="buckets",
     )
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull({online.BUCKET}" in plan
@@ -224,7 +225,7 @@ def test_root_outlives_the_session(spark):
     times = {r[0] for r in other.online("sales_features").select("event_timestamp").collect()}
     assert times == {T0 + timedelta(weeks=8)}
     other.apply([Entity("region_id")])
-    saved = spark.read.parquet(f"{root}/registry")
+    saved = saved_objects(spark, f"{root}/registry")
     assert saved.count() == 2 + 2 + 2 + 1 + 2 + 1
     assert saved.select("kind", "name").distinct().count() == saved.count()
 
@@ -250,3 +251,50 @@ def test_metadata_tables(demo, spark):
     kinds = {r["kind"]: r["count"] for r in demo.registry.objects_frame(spark).groupBy("kind").count().collect()}
     assert kinds == {"entity": 2, "source": 2, "feature_view": 2, "on_demand_view": 1, "feature_service": 2}
     assert demo.registry.lineage_frame(spark).count() == 12
+
+
+def _view(name="v", ttl=None, **extra):
+    source = Source("src", path="p")
+    return FeatureView(name, (Entity("k"),), (Field("x", T.DoubleType()),), source, ttl, **extra)
+
+
+def test_a_new_definition_takes_effect():
+    view = _view(ttl=timedelta(days=1))
+    old = OnDemandView("d", (view,), (Field("y", T.DoubleType()),), lambda c: {"y": c["x"]})
+    registry = Registry([view, old, FeatureService("svc", (view, old))])
+    newer, other = _view(ttl=timedelta(days=9)), OnDemandView("d", (view,), old.schema, lambda c: {"y": -c["x"]})
+    assert registry.apply([newer, other]) == [("feature_view", "v"), ("on_demand_view", "d")]
+    for asked in ("svc", ["v:x", "d:y"]):
+        selection = registry.select(asked)
+        assert selection.views["v"][0].ttl == timedelta(days=9)
+        assert selection.on_demand == [other]
+    assert registry.apply([_view(ttl=timedelta(days=9), tags={"a": "b"})]) == [("feature_view", "v")]
+
+
+def test_saved_registry_declares_everything(spark):
+    path = fresh_path(spark, "registry")
+    assert saved_objects(spark, path) is None
+    Registry([_view(ttl=timedelta(days=1))]).save(spark, path)
+    Registry([_view(ttl=timedelta(days=2)), _view("w")]).save(spark, path)
+    spark.range(1).write.parquet(f"{path}/9-broken")
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/9-broken/_SUCCESS")
+    done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, False)
+    rows = {(r["kind"], r["name"]): r["declared"] for r in saved_objects(spark, path).collect()}
+    assert set(rows) == {("entity", "k"), ("source", "src"), ("feature_view", "v"), ("feature_view", "w")}
+    assert '"ttl_seconds": 172800.0' in rows["feature_view", "v"] and '"x": "double"' in rows["feature_view", "v"]
+
+
+def test_materialization_without_rows_is_readable(demo, spark):
+    store = FeatureStore(spark, [*demo.registry.views()])
+    store.materialize(end=T0 - timedelta(days=365))
+    assert store.online("sales_features").isEmpty()
+    store.materialize()
+    assert store.online("sales_features").count() == 12
+
+
+def test_a_broken_write_is_not_a_cached_table(spark):
+    path = fresh_path(spark, "cache")
+    spark.range(3).write.parquet(f"{path}/_temporary/0")
+    assert cached_table(spark, path, lambda: spark.range(5)).count() == 5
+    assert cached_table(spark, path, lambda: 1 / 0).count() == 5

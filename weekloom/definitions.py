@@ -38,7 +38,7 @@ class Source:
     name: str
     path: str | None = None
     timestamp_field: str = "event_timestamp"
-    frame: Callable[[SparkSession], DataFrame] | None = field(default=None, compare=False)
+    frame: Callable[[SparkSession], DataFrame] | None = None
     clustered: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -78,7 +78,7 @@ class FeatureView(_Selectable):
     source: Source
     ttl: timedelta | None = None
     online: bool = True
-    tags: dict = field(default_factory=dict, compare=False)
+    tags: dict = field(default_factory=dict, hash=False)
     description: str = ""
 
     def __post_init__(self):
@@ -101,9 +101,9 @@ class OnDemandView(_Selectable):
     name: str
     sources: tuple[FeatureView | Projection, ...]
     schema: tuple[Field, ...]
-    fn: Callable = field(compare=False)
+    fn: Callable
     mode: str = "column"
-    tags: dict = field(default_factory=dict, compare=False)
+    tags: dict = field(default_factory=dict, hash=False)
     description: str = ""
 
     def __post_init__(self):
@@ -156,7 +156,7 @@ class FeatureService:
 
     name: str
     features: tuple[FeatureView | OnDemandView | Projection, ...]
-    tags: dict = field(default_factory=dict, compare=False)
+    tags: dict = field(default_factory=dict, hash=False)
     description: str = ""
 
     def __post_init__(self):

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .definitions import Entity, FeatureService, FeatureView, OnDemandView, Projection, Source
-from .session import durable
+from .sources.tables import is_written
 
 KINDS = {
     Entity: "entity",
@@ -38,7 +40,10 @@ class Registry:
         self.apply(objects)
 
     def apply(self, objects: Iterable) -> list[tuple[str, str]]:
-        """Upsert by (kind, name); registering the same definition twice changes nothing."""
+        """Upsert by (kind, name); registering the same definition twice changes nothing.
+
+        A definition differs if any part does: a function, a frame or a tag too.
+        """
         changed = []
         for obj in objects:
             if isinstance(obj, FeatureView):
@@ -99,6 +104,7 @@ class Registry:
 
         for item in features:
             owner, columns = self._expand(item)
+            owner = self._newest(owner)
             for column in columns:
                 if wanted.setdefault(column, owner.name) != owner.name:
                     raise ValueError(f"{column} comes from both {wanted[column]} and {owner.name}")
@@ -110,7 +116,7 @@ class Registry:
         output = list(wanted)
         for derived in on_demand:
             for view, columns in derived.inputs:
-                fetch(view, columns)
+                fetch(self._newest(view), columns)
         fetched: dict[str, str] = {}
         for view, columns in views.values():
             for column in columns:
@@ -118,6 +124,10 @@ class Registry:
                     raise ValueError(f"{column} comes from both {fetched[column]} and {view.name}")
         return Selection(views, on_demand, output)
 
+    def _newest(self, owner):
+        """The registered view of that name, so that a new definition reaches every service."""
+        return self._objects.get((KINDS[type(owner)], owner.name), owner)
+
     def _expand(self, item):
         if isinstance(item, Projection):
             return item.view, item.columns
@@ -133,24 +143,27 @@ class Registry:
     # -- metadata tables ---------------------------------------------------
 
     def objects_frame(self, spark: SparkSession) -> DataFrame:
+        """One row per object with what it declares; ``declared`` is JSON by kind."""
         rows = [
-            (kind, name, getattr(o, "description", ""), dict(getattr(o, "tags", {}) or {}))
+            (kind, name, getattr(o, "description", ""), dict(getattr(o, "tags", {}) or {}),
+             json.dumps(_declared(o), sort_keys=True))
             for (kind, name), o in sorted(self._objects.items(), key=lambda e: e[0])
         ]
         return spark.createDataFrame(
-            rows, "kind string, name string, description string, tags map<string,string>"
+            rows, "kind string, name string, description string, tags map<string,string>, declared string"
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Upsert the objects by (kind, name) into the metadata table at ``path``."""
+        """Upsert the objects by (kind, name) into the metadata table at ``path``.
+
+        Every save is a new folder of its own; the newest finished one counts, so a broken
+        save leaves the one before.
+        """
         mine = self.objects_frame(spark)
-        try:
-            saved = spark.read.parquet(path)
-        except AnalysisException:
-            saved = None  # nothing there yet
+        saved = saved_objects(spark, path)
         if saved is not None:
-            mine = durable(saved.join(mine, ["kind", "name"], "left_anti").unionByName(mine))
-        mine.write.mode("overwrite").parquet(path)
+            mine = saved.join(mine, ["kind", "name"], "left_anti").unionByName(mine)
+        mine.write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
 
     def features_frame(self, spark: SparkSession) -> DataFrame:
         """One row per declared feature."""
@@ -176,3 +189,40 @@ class Registry:
         return spark.createDataFrame(
             sorted(edges), "from_kind string, from_name string, to_kind string, to_name string"
         )
+
+
+def saved_objects(spark: SparkSession, path: str) -> DataFrame | None:
+    """The registry saved last at ``path``, or None."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    folders = sorted((str(f.getPath().toString()) for f in fs.listStatus(root)), reverse=True)
+    newest = next((f for f in folders if is_written(spark, f)), None)
+    return None if newest is None else spark.read.parquet(newest)
+
+
+def _declared(obj) -> dict:
+    """Schema, keys, TTL and origin, as far as the kind has them."""
+    out: dict = {}
+    if isinstance(obj, Entity):
+        out = {"join_keys": list(obj.join_keys), "value_type": obj.value_type.simpleString()}
+    elif isinstance(obj, Source):
+        out = {"path": obj.path, "timestamp_field": obj.timestamp_field, "frame": obj.frame is not None}
+    elif isinstance(obj, FeatureView):
+        out = {
+            "keys": list(obj.join_keys), "source": obj.source.name, "online": obj.online,
+            "ttl_seconds": None if obj.ttl is None else obj.ttl.total_seconds(),
+        }
+    elif isinstance(obj, OnDemandView):
+        out = {"inputs": {v.name: list(c) for v, c in obj.inputs}, "mode": obj.mode}
+    if isinstance(obj, (FeatureView, OnDemandView)):
+        out["schema"] = {f.name: f.dtype.simpleString() for f in obj.schema}
+    if isinstance(obj, FeatureService):
+        out["features"] = {
+            i.view.name if isinstance(i, Projection) else i.name:
+            list(i.columns if isinstance(i, Projection) else i.feature_names)
+            for i in obj.features
+        }
+    return out

@@ -6,16 +6,16 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .definitions import FeatureService, FeatureView
 from .operators import online as online_ops
 from .operators.pit import AsOf, point_in_time
 from .registry import Registry, Selection
 from .session import fresh_path
-from .sources.tables import scan_view
+from .sources.tables import read_if_there, scan_view
 
 
 class FeatureStore:
@@ -110,9 +110,8 @@ class FeatureStore:
     def _current(self, view: str) -> str | None:
         """Path of the newest online table, also one that another session wrote under the root."""
         if self.root:
-            try:
-                log = self.spark.read.parquet(f"{self.root}/materialized")
-            except AnalysisException:
+            log = read_if_there(self.spark, f"{self.root}/materialized")
+            if log is None:
                 return self._online.get(view)
             newest = log.where(F.col("view") == view).agg(F.max_by("path", "at")).first()[0]
             return newest or self._online.get(view)
@@ -122,23 +121,32 @@ class FeatureStore:
         path = self._current(view)
         if path is None:
             raise LookupError(f"{view} is not materialized")
-        return online_ops.read_online(self.spark, path)
+        declared = self.registry.view(view)
+        ts = declared.source.timestamp_field
+        kinds = {f.name: f.dtype for f in declared.schema}
+        kinds |= {k: e.value_type for e in declared.entities for k in e.join_keys}
+        kinds[ts] = declared.source.read(self.spark).schema[ts].dataType
+        names = [*declared.join_keys, ts, *declared.feature_names]
+        schema = T.StructType([T.StructField(n, kinds[n]) for n in names])
+        return online_ops.read_online(self.spark, path, schema)
 
     def get_online_features(
         self,
         requests: DataFrame,
         features: FeatureService | str | Iterable,
         order_by: str | None = None,
+        strategy: str = "join",
     ) -> DataFrame:
         """Requests plus the latest materialized values; unknown keys get NULL.
 
         ``order_by`` sorts the answer, for callers that need the order of the requests.
+        ``strategy`` goes to :func:`weekloom.operators.online.lookup`.
         """
         selection = self.registry.select(features)
-        out, few = requests, online_ops.are_few(requests)
+        out = requests
         for view, columns in selection.views.values():
             table = self.online(view.name)
-            out = online_ops.lookup(out, table, view.join_keys, columns, few=few)
+            out = online_ops.lookup(out, table, view.join_keys, columns, strategy=strategy)
         out = finish(out, selection, requests.columns)
         return out.orderBy(order_by) if order_by else out
 
