@@ -95,3 +95,30 @@ def test_score_requests_from_entities_and_features(spark, rows):
 def test_report(spark):
     df = spark.createDataFrame([(1, 3, 96763.45)], "store_id long, dept_id long, prediction double")
     assert tuple(scoring.prediction_report(df, ["store_id", "dept_id"]).first()) == (1, 3, "$96,763")
+
+
+def test_every_request_has_one_answer(spark, rows):
+    model = scoring.train(rows, COLUMNS)
+    online = rows.select("store_id", *COLUMNS)
+    payloads = [
+        (1, json.dumps(request("entities", [{"store_id": 5, "dept_id": 1}]))),
+        (2, json.dumps(request("features", []))),
+        (3, json.dumps(request("entities", [{"store_id": "abc", "dept_id": 1}]))),
+        (4, json.dumps(request("features", [[2050.0, 5.0]]))),
+        (4, json.dumps(request("features", [[2050.0, 5.0]]))),
+        (5, "not json"),
+    ]
+    out = scoring.score_requests(
+        spark.createDataFrame(payloads, "request_id long, payload string"), model,
+        lambda asked: asked.join(online, "store_id", "left"),
+    ).collect()
+    assert sorted(r["request_id"] for r in out) == [1, 2, 3, 4, 4, 5]
+    by_id = {r["request_id"]: r for r in out}
+    assert json.loads(by_id[2]["response"])["outputs"][0]["shape"] == [0] and by_id[2]["error"] is None
+    assert "keys" in by_id[3]["error"] and "unique" in by_id[4]["error"] and by_id[5]["response"] is None
+
+
+def test_other_keys(spark):
+    df = spark.createDataFrame([(1, json.dumps(request("entities", [{"sku": "x"}])))], "request_id long, payload string")
+    decoded = scoring.decode_requests(df, keys={"sku": "string"})
+    assert [tuple(r) for r in scoring.request_rows(decoded).collect()] == [(1, 0, "x")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from .functions.scalar import from_target, to_target
 from .operators import metrics
 from .operators.prep import Scaler, feature_matrix, fill_zero
+from .operators.skew import left_join
+from .session import stored
 
 TARGET = "weekly_sales"
 MODELS = {"linear": LinearRegressionModel, "gbt": GBTRegressionModel}
@@ -124,16 +127,21 @@ def loss_by_iteration(model: SalesModel, validation: DataFrame, target: str = TA
 # -- JSON requests -----------------------------------------------------------
 
 REQUEST = "inputs array<struct<name string, shape array<int>, datatype string, data string>>"
-ENTITY_ROWS = "array<struct<store_id bigint, dept_id bigint>>"
+KEYS = {"store_id": "bigint", "dept_id": "bigint"}
 FEATURE_ROWS = "array<array<float>>"
 
 
-def decode_requests(df: DataFrame, payload: str = "payload", on_error: str = "raise") -> DataFrame:
+def decode_requests(
+    df: DataFrame, payload: str = "payload", on_error: str = "raise", keys: dict[str, str] | None = None
+) -> DataFrame:
     """Parse payloads into ``entities`` or ``features``; the other one is NULL.
 
-    Non-empty entities win over features. A payload with neither fails the job, or with
-    ``on_error="column"`` fills ``error``.
+    ``keys`` gives the names and types of an entity's keys. Non-empty entities win over
+    features. A payload with neither, or with an entity that lacks a key or whose key is of
+    another type, fails the job, or with ``on_error="column"`` fills ``error``.
     """
+    keys = keys or KEYS
+    entity_rows = f"array<struct<{', '.join(f'`{k}`: {t}' for k, t in keys.items())}>>"
     inputs = F.from_json(payload, REQUEST)["inputs"]
 
     def named(name: str, schema: str) -> Column:
@@ -141,11 +149,17 @@ def decode_requests(df: DataFrame, payload: str = "payload", on_error: str = "ra
         return F.from_json(data, schema)
 
     out = df.withColumns(
-        {"entities": named("entities", ENTITY_ROWS), "features": named("features", FEATURE_ROWS)}
+        {"entities": named("entities", entity_rows), "features": named("features", FEATURE_ROWS)}
     )
     given = F.coalesce(F.size("entities") > 0, F.lit(False))
-    message = F.lit("Input must have 'entities' or 'features'")
-    failed = ~given & F.col("features").isNull()
+    nothing = ~given & F.col("features").isNull()
+    unkeyed = given & F.exists(
+        "entities", lambda e: reduce(lambda a, b: a | b, (e[k].isNull() for k in keys), e.isNull())
+    )
+    message = F.when(nothing, F.lit("request holds no rows of entities and no features")).otherwise(
+        F.lit("request holds an entity without usable keys")
+    )
+    failed = nothing | unkeyed
     if on_error == "raise":
         error = F.when(failed, F.raise_error(message))
     else:
@@ -180,7 +194,8 @@ def encode_responses(
 
     A group holds the rows of one request document, so it is as small as that document.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.col(value).cast("float").alias("p"))))
+    row = F.when(F.col("pos").isNotNull(), F.struct("pos", F.col(value).cast("float").alias("p")))
+    ordered = F.array_sort(F.collect_list(row))
     data = F.transform(ordered, lambda r: r["p"])
     grouped = df.groupBy(request_id).agg(data.alias("data"))
     output = F.struct(
@@ -200,8 +215,16 @@ def encode_responses(
 def score_requests(
     requests: DataFrame, model: SalesModel, online: Callable[[DataFrame], DataFrame], on_error: str = "column"
 ) -> DataFrame:
-    """Decode, look up or take features, predict, encode. Failed requests keep their error."""
-    decoded = decode_requests(requests, on_error=on_error)
+    """Decode, look up or take features, predict, encode: one answer for every request.
+
+    A failed request has its error, one without rows an empty list of predictions. A
+    request id that stands for several documents is an error of each of them.
+    """
+    repeats = requests.groupBy("request_id").agg(F.count(F.lit(1)).alias("__times"))
+    decoded = left_join(decode_requests(requests, on_error=on_error), repeats, ["request_id"])
+    twice = F.when(F.col("__times") > 1, F.lit("request id is not unique"))
+    # Parsed once: everything below reads this table.
+    decoded = stored(decoded.withColumn("error", F.coalesce(twice, "error")).drop("__times"), "decoded")
     looked_up = online(request_rows(decoded))
     given = feature_rows(decoded, model.feature_columns)
     keep = ["request_id", "pos"]
@@ -211,8 +234,11 @@ def score_requests(
         )
     )
     answers = encode_responses(scored)
-    failed = decoded.where(F.col("error").isNotNull()).select("request_id", "error")
-    return answers.unionByName(failed, allowMissingColumns=True)
+    right = decoded.where("error IS NULL").select("request_id")
+    empty = F.lit(None).cast("int").alias("pos"), F.lit(None).cast("float").alias("prediction")
+    bare = right.join(answers.select("request_id"), "request_id", "left_anti").select("request_id", *empty)
+    failed = decoded.where("error IS NOT NULL").select("request_id", "error")
+    return answers.unionByName(encode_responses(bare)).unionByName(failed, allowMissingColumns=True)
 
 
 def prediction_report(scored: DataFrame, keys: Sequence[str], value: str = "prediction") -> DataFrame:
