@@ -29,6 +29,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import batched
 
 import pyarrow as pa
 import regex
@@ -38,7 +39,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from .text import pieces
 
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+BATCH = 4096
 SHORT = 48
 
 
@@ -73,7 +75,9 @@ class Bpe:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
         self.reach = self.lookahead()
+        # Pre-tokens known, and those known before the table was last full.
         self.table: dict[str, tuple[bytes, bytes, int]] = {}
+        self.older: dict[str, tuple[bytes, bytes, int]] = {}
 
     def lookahead(self) -> int:
         """Most bytes a change at the right end can reach back."""
@@ -88,19 +92,18 @@ class Bpe:
         if len(ids) > SHORT:
             return self._merged_long(ids)
         merges = self.merges
-        while len(ids) > 1:
-            best = min((merges.get(p, NONE) for p in zip(ids, ids[1:])))
-            if best is NONE:
+        ranks = [merges.get(p, NONE)[0] for p in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NONE[0]:
                 break
-            out, i, n = [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and merges.get((ids[i], ids[i + 1]), NONE)[0] == best[0]:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(best)
+            ids[i : i + 2] = [merges[ids[i], ids[i + 1]][1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = merges.get((ids[i - 1], ids[i]), NONE)[0]
+            if i < len(ranks):
+                ranks[i] = merges.get((ids[i], ids[i + 1]), NONE)[0]
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
@@ -161,10 +164,12 @@ class Bpe:
         """(ids as little-endian words, names joined by spaces, number) of a pre-token."""
         found = self.table.get(word)
         if found is None:
-            ids = list(self.stream(word.encode()))
-            found = pack(ids), " ".join([self.names[t] for t in ids]).encode(), len(ids)
+            found = self.older.get(word)
+            if found is None:
+                ids = list(self.stream(word.encode()))
+                found = pack(ids), " ".join([self.names[t] for t in ids]).encode(), len(ids)
             if len(self.table) >= REMEMBERED:
-                self.table.clear()
+                self.table, self.older = {}, self.table
             if len(word) <= SHORT:
                 self.table[word] = found
         return found
@@ -261,25 +266,14 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def make(model: Bpe, text: str):
-        ids, names, n = hashlib.sha256(), hashlib.sha256(), 0
-        packed: list[bytes] = []
-        named: list[bytes] = []
-        first = True
-        for word in model.pretokens(text):
-            if isinstance(word, int):
-                found = pack([word]), model.names[word].encode(), 1
-            else:
-                found = model.known(word)
-            packed.append(found[0])
-            named.append(found[1])
-            n += found[2]
-            if len(packed) >= 4096:
-                ids.update(b"".join(packed))
-                names.update((b"" if first else b" ") + b" ".join(named))
-                packed, named, first = [], [], False
-        ids.update(b"".join(packed))
-        if named:
-            names.update((b"" if first else b" ") + b" ".join(named))
+        ids, names, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
+        known = model.known
+        for some in batched(model.pretokens(text), BATCH):
+            found = [known(w) if isinstance(w, str) else (pack([w]), model.names[w].encode(), 1) for w in some]
+            ids.update(b"".join([f[0] for f in found]))
+            names.update((b"" if first else b" ") + b" ".join([f[1] for f in found]))
+            n += sum([f[2] for f in found])
+            first = False
         return n, ids.hexdigest(), names.hexdigest()
 
     return _with(docs, path, [("n_tokens", LongType()), ("ids_sha256", StringType()), ("decoded_sha256", StringType())], make)
