@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -52,6 +53,7 @@ def main() -> None:
         spark__driver__memory="16g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries.ROUNDING = False
