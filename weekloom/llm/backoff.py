@@ -1,23 +1,26 @@
 """Stupid-backoff scores of documents under a bigram model of the whole corpus.
 
-Vocabulary: the words of greatest count in all documents, as many as fit into
-``vocabulary`` without splitting a tie; every other word is one unknown word. Score of a word
-after another: c(ab) / c(a) if the pair was counted ``least`` times or more, otherwise
-``alpha`` c(b) / N; the first word of a document scores c(b) / N. A document's score is the
-sum of log10 over its words.
+The vocabulary is open: every word of every document counts. Score of a word after another:
+c(ab) / c(a) if the pair was counted ``least`` times or more, otherwise ``alpha`` c(b) / N; the
+first word of a document scores c(b) / N. A document's score is the sum of log10 over its words.
 
 Relational form. Each document's pairs are exploded and meet the table of pair counts on the
 pair; scores are summed per document. Pairs and counts are partitioned by the pair's hash, so
 counting and joining share one exchange, in which a document's pairs for one partition travel
 as one row.
 
+Frequent and other words. The counts of the ``size`` most frequent words are a table of fixed
+size that is sent to all tasks. What a pair needs of another word's count is joined from the
+distributed table of word counts; such a word holds less than one part in ``size`` of all words, so
+no key of that join is hot. ``size`` changes what moves, never a score.
+
 Frequent pairs. A pair counted more than N / ``dense`` times consists of two words of such
 counts, of which there are at most ``dense``. The counts of all pairs of the ``dense`` most
 frequent words fit a small square, which is sent to all tasks; these pairs are scored where
 they stand and never move. So no pair that moves holds more than one part in ``dense``.
 
-Sizes sent to tasks are fixed: the vocabulary's hashes and counts, and the square. The pair
-counts grow with the corpus and stay distributed.
+Words and pairs are told apart by 63 bits of a hash. Word and pair counts grow with the corpus
+and stay distributed.
 
 Tables. NULL and empty texts have no words and score 0 with a NULL mean. Rows that share a
 doc_id are one document made of their texts; a NULL id is an id.
@@ -38,35 +41,45 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .text import lists, mixed, owners, pieces, raw_texts, signed, word_hashes
 
-VOCABULARY = 65_535
+_TOP = np.uint64(1 << 63)
+_SHIFT = np.uint64(0x9E3779B97F4A7C15)
+
+FREQUENT = 65_535
 DENSE = 256
 ALPHA = 0.4
 LEAST = 2
 
 
 @dataclass
-class Vocabulary:
-    """Word hashes in ascending order with their ids; ids 1, 2, ... by falling count, 0 unknown."""
+class Frequent:
+    """Hashes of the most frequent words in ascending order with their ids 1, 2, ... by falling
+    count, and their counts by id."""
 
     hashes: np.ndarray
     ids: np.ndarray
-    counts: np.ndarray  # by id
+    counts: np.ndarray
     total: int
 
     def of(self, h: np.ndarray) -> np.ndarray:
+        """Ids of words; 0 for a word that is not in the table."""
         if not len(self.hashes):
             return np.zeros(len(h), np.int64)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         return np.where(self.hashes[at] == h, self.ids[at], 0)
 
 
+def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, the top bit set (negative as a long, unlike ids), and words a text."""
+    h, counts = word_hashes([t.split() for t in raw_texts(batch)])
+    return h | _TOP, counts
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(h, n): how often each word stands in all documents, by its hash."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, limit=16 << 20):
-            h, _ = word_hashes([t.split() for t in raw_texts(batch)])
-            words, n = np.unique(h, return_counts=True)
+            words, n = np.unique(_words(batch)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(signed(words)), pa.array(n)], names=["h", "n"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(rows, "h bigint, n bigint").groupBy(
@@ -74,37 +87,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
     ).agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    if not 1 <= size <= VOCABULARY:
-        raise ValueError(f"a vocabulary holds 1 to {VOCABULARY} words")
-    counts = stored(word_counts(docs), "words")
+def frequent(counts: DataFrame, size: int = FREQUENT) -> Frequent:
+    if not 1 <= size <= FREQUENT:
+        raise ValueError(f"the table holds 1 to {FREQUENT} words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "h").limit(size + 1).toPandas()
-    if len(top) > size:
-        top = top[top["n"] > top["n"].iloc[-1]]
+    top = counts.orderBy(F.desc("n"), "h").limit(size).toPandas()
     h = top["h"].to_numpy(np.int64).view(np.uint64)
     n = top["n"].to_numpy(np.int64)
     order = np.argsort(h)
-    return Vocabulary(h[order], order + 1, np.concatenate([[total - n.sum()], n]), int(total))
+    return Frequent(h[order], order + 1, np.concatenate([[0], n]), int(total))
 
 
-def _pairs(batch: pa.RecordBatch, words: Vocabulary):
-    """Ids of all words, the text of each, and the pairs as (first, second, text)."""
-    h, counts = word_hashes([t.split() for t in raw_texts(batch)])
-    ids, owner = words.of(h), owners(counts)
-    one = owner[1:] == owner[:-1]
-    return ids, counts, ids[:-1][one], ids[1:][one], owner[1:][one]
+def _pairs(batch: pa.RecordBatch, words: Frequent):
+    """Ids and hashes of all words, words a text, places of each pair's first word, their texts."""
+    h, counts = _words(batch)
+    owner = owners(counts)
+    at = np.flatnonzero(owner[1:] == owner[:-1])
+    return words.of(h), h, counts, at, owner[at]
+
 
+def _near(a: np.ndarray, b: np.ndarray, dense: int) -> np.ndarray:
+    return (a > 0) & (b > 0) & (a < dense) & (b < dense)
 
-def square(docs: DataFrame, words: Vocabulary, dense: int) -> np.ndarray:
-    """Counts of all pairs of the ``dense`` most frequent words (and the unknown one)."""
+
+def square(docs: DataFrame, words: Frequent, dense: int) -> np.ndarray:
+    """Counts of all pairs of the words with ids below ``dense``."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(dense * dense, np.int64)
         for batch in pieces(batches):
-            _, _, a, b, _ = _pairs(batch, sent.value)
-            hot = (a < dense) & (b < dense)
+            ids, _, _, at, _ = _pairs(batch, sent.value)
+            a, b = ids[at], ids[at + 1]
+            hot = _near(a, b, dense)
             n += np.bincount(a[hot] * dense + b[hot], minlength=dense * dense)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["pair", "n"])
@@ -126,74 +141,114 @@ def bucket_names(spark: SparkSession) -> np.ndarray:
 
 
 def score(
-    docs: DataFrame, size: int = VOCABULARY, alpha: float = ALPHA, least: int = LEAST, dense: int = DENSE
+    docs: DataFrame, size: int = FREQUENT, alpha: float = ALPHA, least: int = LEAST, dense: int = DENSE
 ) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score)."""
     spark = docs.sparkSession
-    words = vocabulary(docs, size)
+    every = stored(word_counts(docs), "words")
+    words = frequent(every, size)
     hot = square(docs, words, dense)
     buckets = bucket_names(spark)
-    total = max(words.total, 1)
     log_one = np.log10(np.maximum(words.counts, 1))
-    log_alone = log_one - np.log10(total)
-    back = np.log10(alpha)
+    log_total = float(np.log10(max(words.total, 1)))
+    back = float(np.log10(alpha))
     sent = spark.sparkContext.broadcast((words, hot))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hot = sent.value
         for batch in pieces(batches):
-            ids, counts, a, b, owner = _pairs(batch, words)
+            ids, h, counts, at, owner = _pairs(batch, words)
             doc = batch.column("doc_id")
+            a, b = ids[at], ids[at + 1]
             base = np.zeros(len(counts))
-            full = counts > 0
-            base[full] = log_alone[ids[(np.cumsum(counts) - counts)[full]]]
-            near = (a < dense) & (b < dense)
+            full = np.flatnonzero(counts > 0)
+            begin = (np.cumsum(counts) - counts)[full]
+            base[full] = np.where(ids[begin] > 0, log_one[ids[begin]] - log_total, 0.0)
+            near = _near(a, b, dense)
             x, y = a[near], b[near]
             n = hot[x * dense + y]
-            known = np.where(n >= least, np.log10(np.maximum(n, 1)) - log_one[x], back + log_alone[y])
-            base += np.bincount(owner[near], known, len(counts))
-            spread = buckets[np.arange(len(counts)) % len(buckets)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(spread), doc, pa.nulls(len(counts), pa.list_(pa.int32())), pa.array(base), pa.array(counts)],
-                names=NAMES,
+            base += np.bincount(
+                owner[near],
+                np.where(n >= least, np.log10(np.maximum(n, 1)) - log_one[x], back + log_one[y] - log_total),
+                len(counts),
             )
-            pair = (a[~near] << 16 | b[~near]).astype(np.uint32)
+            yield _rows(buckets[np.arange(len(counts)) % len(buckets)], doc, base=pa.array(base), n=pa.array(counts))
+            # Pairs of two words of the table: in lists, one for each document and bucket.
+            known = ~near & (a > 0) & (b > 0)
+            pair = (a[known] << 16 | b[known]).astype(np.uint32)
             to = (mixed(pair.astype(np.uint64)) % np.uint64(len(buckets))).astype(np.int64)
-            group = owner[~near] * len(buckets) + to
+            group = owner[known] * len(buckets) + to
             order = np.argsort(group, kind="stable")
             group = group[order]
-            begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else []
-            if len(begin):
-                where = group[begin]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(buckets[where % len(buckets)]), doc.take(pa.array(where // len(buckets))),
-                     lists(pair[order].view(np.int32), np.append(begin, len(group))),
-                     pa.nulls(len(begin), pa.float64()), pa.nulls(len(begin), pa.int64())],
-                    names=NAMES,
+            if len(group):
+                head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+                where = group[head]
+                yield _rows(
+                    buckets[where % len(buckets)], doc.take(pa.array(where // len(buckets))),
+                    pairs=lists(pair[order].view(np.int32), np.append(head, len(group))),
+                )
+            # Pairs with another word, and first words that are not in the table.
+            rare = np.flatnonzero((a == 0) | (b == 0))
+            first = begin[ids[begin] == 0]
+            name = np.where(ids > 0, ids, signed(h))
+            if len(rare):
+                i = at[rare]
+                key = mixed(h[i] * _SHIFT + h[i + 1]) | _TOP
+                yield _rows(
+                    buckets[(key % np.uint64(len(buckets))).astype(np.int64)], doc.take(pa.array(owner[rare])),
+                    key=pa.array(signed(key)), a=pa.array(name[i]), b=pa.array(name[i + 1]),
                 )
+            if len(first):
+                to = buckets[(h[first] % np.uint64(len(buckets))).astype(np.int64)]
+                yield _rows(to, doc.take(pa.array(full[ids[begin] == 0])), b=pa.array(name[first]))
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    packed = given.mapInArrow(rows, "bucket int, doc_id bigint, pairs array<int>, base double, n bigint")
-    packed = packed.repartition("bucket")
-    exploded = packed.select("bucket", "doc_id", "base", "n", F.explode_outer("pairs").alias("pair"))
-    unigrams = spark.createDataFrame(
-        pd.DataFrame({"id": np.arange(len(log_one), dtype=np.int32), "one": log_one, "alone": log_alone})
-    )
-    one, alone = (F.broadcast(unigrams.select(F.col("id").alias(f"{c}_of"), c)) for c in ("one", "alone"))
+    packed = given.mapInArrow(rows, ", ".join(f"{k} {v}" for k, v in ROW.items())).repartition("bucket")
+    pairs = packed.select("bucket", "doc_id", "base", "n", "key", "a", "b", F.explode_outer("pairs").alias("pair"))
+    pairs = pairs.withColumn("key", F.coalesce(F.col("pair").cast("bigint").bitwiseAND(0xFFFFFFFF), "key")).drop("pair")
     # The table of counts and the exploded pairs meet where both are, in the pair's partition.
-    counted = exploded.withColumn("c", F.count("pair").over(W.partitionBy("bucket", "pair")))
-    # The vocabulary's size bounds what is broadcast.
-    valued = counted.join(one, F.shiftrightunsigned("pair", 16) == F.col("one_of"), "left").join(
-        alone, F.col("pair").bitwiseAND(0xFFFF) == F.col("alone_of"), "left"
+    counted = pairs.withColumn("c", F.count("key").over(W.partitionBy("key", "bucket")))
+    seen = F.col("c") >= least
+    # The one word whose count the score needs: the first if the pair was seen, else the second.
+    first, second = F.shiftrightunsigned("key", 16), F.col("key").bitwiseAND(0xFFFF)
+    counted = counted.withColumns({
+        "look": F.when(seen, F.coalesce("a", first)).otherwise(F.coalesce("b", second)),
+        "known": F.when(F.col("base").isNotNull(), F.col("base")).when(seen, F.log10("c")).otherwise(
+            F.when(F.col("key").isNull(), 0.0).otherwise(back) - F.lit(log_total)
+        ),
+        "sign": F.when(seen, -1).otherwise(1),
+    })
+    table = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(log_one), dtype=np.int64), "one": log_one}))
+    value = F.col("known") + F.when(F.col("one").isNotNull(), F.col("sign") * F.col("one")).otherwise(0.0)
+    # ``size`` bounds what is broadcast. Summing needs no exchange: buckets are in place.
+    sums = (
+        counted.join(F.broadcast(table), F.col("look") == F.col("id"), "left")
+        .select("bucket", "doc_id", "n", value.alias("value"), F.when(F.col("look") < 0, F.col("look")).alias("look"), "sign")
+        .groupBy("bucket", "doc_id", "look")
+        .agg(F.sum("n").alias("n"), F.sum("value").alias("value"), F.sum("sign").alias("times"))
+        .drop("bucket")
     )
-    seen = F.when(F.col("c") >= least, F.log10("c") - F.col("one")).otherwise(F.lit(float(back)) + F.col("alone"))
-    value = F.when(F.col("pair").isNotNull(), seen).otherwise(F.col("base"))
+    sums = stored(sums, "sums")
+    rest = sums.where("look IS NOT NULL").join(every.withColumnRenamed("n", "count"), F.col("look") == F.col("h"))
+    rest = rest.select("doc_id", "n", (F.col("value") + F.col("times") * F.log10("count")).alias("value"))
     return (
-        valued.select("doc_id", "n", value.alias("value"))
+        sums.where("look IS NULL").select("doc_id", "n", "value").unionByName(rest)
         .groupBy("doc_id")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"), F.sum("value").alias("log_score"))
         .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
     )
 
 
-NAMES = ["bucket", "doc_id", "pairs", "base", "n"]
+# A document's own row has base and n; other rows hold a list of pairs, one pair, or a first word.
+ROW = {
+    "bucket": "int", "doc_id": "bigint", "pairs": "array<int>", "key": "bigint", "a": "bigint", "b": "bigint",
+    "base": "double", "n": "bigint",
+}
+_EMPTY = {"pairs": pa.list_(pa.int32()), "base": pa.float64()}
+
+
+def _rows(bucket: np.ndarray, doc: pa.Array, **columns: pa.Array) -> pa.RecordBatch:
+    given = {"bucket": pa.array(bucket), "doc_id": doc, **columns}
+    return pa.RecordBatch.from_arrays(
+        [given[c] if c in given else pa.nulls(len(bucket), _EMPTY.get(c, pa.int64())) for c in ROW], names=list(ROW)
+    )

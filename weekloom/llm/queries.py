@@ -160,12 +160,9 @@ FROM h LEFT JOIN m USING (page_id)""",
     "op5_backoff_scores": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
-c AS MATERIALIZED (SELECT x, count(*) AS n FROM word GROUP BY x),
-cut AS (SELECT n FROM c ORDER BY n DESC LIMIT 1 OFFSET 65535),
-v AS MATERIALIZED (SELECT x, n FROM c WHERE n > coalesce((SELECT n FROM cut), 0)),
-known AS MATERIALIZED (SELECT doc_id, p, coalesce(v.x, '') AS x FROM word LEFT JOIN v USING (x)),
-uni AS MATERIALIZED (SELECT x, count(*) AS n FROM known GROUP BY x),
-pair AS MATERIALIZED (SELECT doc_id, p, x AS b, lag(x) OVER (PARTITION BY doc_id ORDER BY p) AS a FROM known),
+uni AS MATERIALIZED (SELECT x, count(*) AS n FROM word GROUP BY x),
+c AS MATERIALIZED (SELECT sum(n) AS n FROM uni),
+pair AS MATERIALIZED (SELECT doc_id, p, x AS b, lag(x) OVER (PARTITION BY doc_id ORDER BY p) AS a FROM word),
 bi AS MATERIALIZED (SELECT a, b, count(*) AS n FROM pair WHERE a IS NOT NULL GROUP BY a, b),
 s AS (
   SELECT doc_id, CASE WHEN pair.a IS NULL THEN log10(ub.n) - log10((SELECT sum(n) FROM c))
