@@ -5,14 +5,16 @@ c(ab) / c(a) if the pair was counted ``least`` times or more, otherwise ``alpha`
 first word of a document scores c(b) / N. A document's score is the sum of log10 over its words.
 
 Relational form. Each document's pairs are exploded and meet the table of pair counts on the
-pair; scores are summed per document. Pairs and counts are partitioned by the pair's hash, so
+pair; scores are summed per document. Pairs and counts are partitioned by hash, so
 counting and joining share one exchange, in which a document's pairs for one partition travel
 as one row.
 
 Frequent and other words. The counts of the ``size`` most frequent words are a table of fixed
-size that is sent to all tasks. What a pair needs of another word's count is joined from the
-distributed table of word counts; such a word holds less than one part in ``size`` of all words, so
-no key of that join is hot. ``size`` changes what moves, never a score.
+size that is sent to all tasks. A pair with another word goes where that word is counted (the
+second of two), so its counts meet it there too; only a pair of two such words that was seen
+needs the first one's count joined from the distributed table of word counts. Such a word
+holds less than one part in ``size`` of all words, so no key is hot. ``size`` changes what
+moves, never a score.
 
 Frequent pairs. A pair counted more than N / ``dense`` times consists of two words of such
 counts, of which there are at most ``dense``. The counts of all pairs of the ``dense`` most
@@ -42,7 +44,6 @@ from ..session import stored
 from .text import lists, mixed, owners, pieces, raw_texts, signed, word_hashes
 
 _TOP = np.uint64(1 << 63)
-_SHIFT = np.uint64(0x9E3779B97F4A7C15)
 
 FREQUENT = 65_535
 DENSE = 256
@@ -193,37 +194,44 @@ def score(
             name = np.where(ids > 0, ids, signed(h))
             if len(rare):
                 i = at[rare]
-                key = mixed(h[i] * _SHIFT + h[i + 1]) | _TOP
-                yield _rows(
-                    buckets[(key % np.uint64(len(buckets))).astype(np.int64)], doc.take(pa.array(owner[rare])),
-                    key=pa.array(signed(key)), a=pa.array(name[i]), b=pa.array(name[i + 1]),
-                )
+                by = np.where(b[rare] == 0, h[i + 1], h[i])
+                to = buckets[(mixed(by) % np.uint64(len(buckets))).astype(np.int64)]
+                yield _rows(to, doc.take(pa.array(owner[rare])), a=pa.array(name[i]), b=pa.array(name[i + 1]))
             if len(first):
-                to = buckets[(h[first] % np.uint64(len(buckets))).astype(np.int64)]
+                to = buckets[(mixed(h[first]) % np.uint64(len(buckets))).astype(np.int64)]
                 yield _rows(to, doc.take(pa.array(full[ids[begin] == 0])), b=pa.array(name[first]))
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     packed = given.mapInArrow(rows, ", ".join(f"{k} {v}" for k, v in ROW.items())).repartition("bucket")
-    pairs = packed.select("bucket", "doc_id", "base", "n", "key", "a", "b", F.explode_outer("pairs").alias("pair"))
-    pairs = pairs.withColumn("key", F.coalesce(F.col("pair").cast("bigint").bitwiseAND(0xFFFFFFFF), "key")).drop("pair")
-    # The table of counts and the exploded pairs meet where both are, in the pair's partition.
-    counted = pairs.withColumn("c", F.count("key").over(W.partitionBy("key", "bucket")))
-    seen = F.col("c") >= least
+    pairs = packed.select("bucket", "doc_id", "base", "n", "a", "b", F.explode_outer("pairs").alias("pair"))
+    # What a row is counted under: a pair of two words of the table (a number from 0), or else the
+    # word that is not in the table (a negative number), the second of two. Each place of
+    # such a word has one row that ends in it, so those rows are the word's count.
+    pair = F.col("pair").cast("bigint").bitwiseAND(0xFFFFFFFF)
+    under = F.coalesce(pair, F.when(F.col("b") < 0, F.col("b")).otherwise(F.col("a")))
+    # The tables of counts and the exploded pairs meet where both are, in one partition.
+    counted = pairs.withColumn("word", under).drop("pair").withColumn(
+        "c", F.count("word").over(W.partitionBy("word", "bucket", "a", "b"))
+    ).withColumn("alone", F.count(F.when(F.col("b") < 0, 1)).over(W.partitionBy("word", "bucket")))
+    begins = F.col("b").isNotNull() & F.col("a").isNull()
+    seen = (F.col("c") >= least) & ~begins
     # The one word whose count the score needs: the first if the pair was seen, else the second.
-    first, second = F.shiftrightunsigned("key", 16), F.col("key").bitwiseAND(0xFFFF)
+    first, second = F.shiftrightunsigned("word", 16), F.col("word").bitwiseAND(0xFFFF)
     counted = counted.withColumns({
         "look": F.when(seen, F.coalesce("a", first)).otherwise(F.coalesce("b", second)),
         "known": F.when(F.col("base").isNotNull(), F.col("base")).when(seen, F.log10("c")).otherwise(
-            F.when(F.col("key").isNull(), 0.0).otherwise(back) - F.lit(log_total)
+            F.when(begins, 0.0).otherwise(back) - F.lit(log_total)
         ),
         "sign": F.when(seen, -1).otherwise(1),
     })
     table = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(log_one), dtype=np.int64), "one": log_one}))
-    value = F.col("known") + F.when(F.col("one").isNotNull(), F.col("sign") * F.col("one")).otherwise(0.0)
+    here = F.col("look") == F.col("word")
+    count = F.when(here, F.log10("alone")).otherwise(F.coalesce("one", F.lit(0.0)))
+    value = F.col("known") + F.col("sign") * count
     # ``size`` bounds what is broadcast. Summing needs no exchange: buckets are in place.
     sums = (
         counted.join(F.broadcast(table), F.col("look") == F.col("id"), "left")
-        .select("bucket", "doc_id", "n", value.alias("value"), F.when(F.col("look") < 0, F.col("look")).alias("look"), "sign")
+        .select("bucket", "doc_id", "n", value.alias("value"), F.when((F.col("look") < 0) & ~here, F.col("look")).alias("look"), "sign")
         .groupBy("bucket", "doc_id", "look")
         .agg(F.sum("n").alias("n"), F.sum("value").alias("value"), F.sum("sign").alias("times"))
         .drop("bucket")
@@ -241,7 +249,7 @@ def score(
 
 # A document's own row has base and n; other rows hold a list of pairs, one pair, or a first word.
 ROW = {
-    "bucket": "int", "doc_id": "bigint", "pairs": "array<int>", "key": "bigint", "a": "bigint", "b": "bigint",
+    "bucket": "int", "doc_id": "bigint", "pairs": "array<int>", "a": "bigint", "b": "bigint",
     "base": "double", "n": "bigint",
 }
 _EMPTY = {"pairs": pa.list_(pa.int32()), "base": pa.float64()}
