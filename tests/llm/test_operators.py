@@ -103,6 +103,31 @@ def test_decontamination_of_awkward_rows(spark, awkward, empty):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r[0]) for r in AWKWARD if r[0] not in dirty)
 
 
+def test_decontamination_of_accented_words_in_upper_case(spark, tmp_path):
+    passage = "La canción del niño está aquí, señor; ΟΔΟΣ İzmir Ünïcode mañana después también Straße"
+    docs = spark.createDataFrame([(1, f"x {passage.upper()} y"), (2, passage.lower()), (3, "otra cosa")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, passage), (8, "ΟΔΟΣ")], "item_id int, text string")
+    con = connect(FOLDER)
+    for name, rows in (("documents", docs), ("benchmark", items)):
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = queries.op1_decontamination(spark, str(tmp_path)).toArrow()
+    assert got.num_rows == 2 and differences(con, got, queries.ORACLE["op1_decontamination"]) is None
+    short = "Canción Mañana Ñandú Él Ésta Ó"
+    docs = spark.createDataFrame([(1, short.upper()), (2, "nada")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, short)], "item_id int, text string")
+    assert [r["doc_id"] for r in decontam.contained(docs, items).collect()] == [1]
+    assert [r["doc_id"] for r in decontam.without_items(docs, items).collect()] == [2]
+
+
+def test_letters_are_lowered_as_in_sql():
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    con = connect(FOLDER)
+    want = con.execute("SELECT lower(chr(c::INT)) FROM range(1, 1114112) t(c) WHERE NOT c BETWEEN 55296 AND 57343 ORDER BY c").fetchall()
+    assert [decontam.lower(c.encode()).decode() for c in every] == [r[0] for r in want]
+    assert decontam.lower(b"\xffA\xc3\x89") == b"\xffa\xc3\xa9"
+
+
 def test_items_too_large_to_send_are_refused(spark, awkward, monkeypatch):
     monkeypatch.setattr(decontam, "MAX_ITEM_BYTES", 3)
     with pytest.raises(ValueError, match="bytes of items"):
