@@ -476,6 +476,21 @@ def test_language_of_awkward_rows(awkward, empty):
     assert {r["lang_pred"] for r in nothing} == {"und"}
 
 
+def test_language_sample_is_bounded_where_one_id_holds_many_rows(spark):
+    rows = [(5, f"text number {i}", "en") for i in range(3000)] + [(i, f"texte {i}", "fr") for i in range(6, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    # One id has one draw by id, all rows or none; by id and text about a tenth is drawn.
+    share = F.lit((1 << 30) // 10)
+    wide = langid.sample(docs, share, 10**6).groupBy("lang").count().collect()
+    assert 200 < {r["lang"]: r["count"] for r in wide}["en"] < 400
+    cut = langid.sample(docs, F.lit(1 << 30), 20)
+    assert {r["lang"]: r["count"] for r in cut.groupBy("lang").count().collect()} == {"en": 20, "fr": 20}
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # before and after the exchange
+    copies = docs.limit(1).crossJoin(spark.range(500)).select("doc_id", "text", "lang")
+    assert langid.sample(copies, F.lit(1 << 30), 20).count() == 20
+
+
 def test_presence_of_long_texts_in_slices(monkeypatch):
     text = bytes(np.random.default_rng(0).integers(97, 105, 5000).astype(np.uint8))
     whole = langid.presence(text)

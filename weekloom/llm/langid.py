@@ -10,7 +10,8 @@ and -1) is solved. Scores are one matrix product for a batch: presence times wei
 landmarks multiplied into the weights beforehand.
 
 Learning uses a bounded sample of labelled rows, ``per_language`` of each language at most,
-drawn by a hash of the id; n-gram sets are made in tasks, and only those reach the driver.
+drawn by a hash of id and text and cut to that bound in Spark, in every task before rows move;
+n-gram sets are made in tasks, and only those of the sample reach the driver.
 Prediction covers every row and whole texts, in slices of bounded size.
 
 A NULL text, or one without a letter, is ``und`` with score 0; so is every text if nothing
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
@@ -113,31 +115,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def sample(rows: DataFrame, share: Column, per_language: int) -> DataFrame:
+    """(text, lang, draw, place): rows whose draw is below ``share``, at most ``per_language`` a language."""
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1 << 30))
+    drawn = rows.select("text", "lang", draw.alias("draw")).where(F.col("draw") < share)
+    # A bounded rank (up to 1000): Spark cuts each task's rows to it before the exchange.
+    place = F.row_number().over(W.partitionBy("lang").orderBy("draw", "text"))
+    return drawn.withColumn("place", place).where(F.col("place") <= per_language)
+
+
 def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model | None:
     """Model from (doc_id, text, lang), all rows allowed for learning."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # Shares a little above the bound; the rest is cut off by the order of the hash.
+    # Shares a little above the bound; the rest is cut off by the order of the hash. Equal rows draw alike.
     share = F.lit(0)
     for lang, n in counts.items():
         wide = min(1.0, (per_language + 4 * per_language**0.5) / n)
         share = F.when(F.col("lang") == lang, int(wide * (1 << 30))).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30))
-    drawn = rows.select("text", "lang", draw.alias("draw")).where(F.col("draw") < share)
+    drawn = sample(rows, share, per_language)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             made = [presence(t.lower().encode()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), batch.column("draw"), pa.array(made, pa.list_(pa.int32()))],
-                names=["lang", "draw", "grams"],
+                [*(batch.column(c) for c in ("lang", "draw", "place")), pa.array(made, pa.list_(pa.int32()))],
+                names=["lang", "draw", "place", "grams"],
             )
 
-    found = drawn.mapInArrow(sets, "lang string, draw bigint, grams array<int>").toPandas()
+    found = drawn.mapInArrow(sets, "lang string, draw bigint, place int, grams array<int>").toPandas()
     found["grams"] = [np.asarray(g, np.int32) for g in found["grams"]]
-    found = found.sort_values(["draw", "lang"], kind="stable").groupby("lang", sort=True).head(per_language)
+    found = found.sort_values(["draw", "lang", "place"], kind="stable")
     return fit(list(found["grams"]), list(found["lang"]), landmarks)
 
 
