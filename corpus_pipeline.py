@@ -25,9 +25,14 @@ def _columns(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter go."""
+    """Documents whose language can be told; texts without a letter go.
+
+    If no language could be learned, every text with a letter stays.
+    """
     reachable(spark)
     model = langid.learn(docs.where(~langid.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    if model is None:
+        return langid.lettered(docs)
     return _columns(docs, langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN))
 
 

@@ -56,6 +56,13 @@ def test_stages(spark):
     assert set(after) == {r["doc_id"] for r in queries.QUERIES["pipeline"](spark, FOLDER).collect()}
 
 
+def test_language_stage_keeps_texts_when_nothing_can_be_learned(spark):
+    docs = spark.createDataFrame([(d, t, None, s, n) for d, t, _, s, n in AWKWARD], SCHEMA)
+    kept = corpus_pipeline.language(spark, docs, FOLDER)
+    want = [str(r[0]) for r in AWKWARD if r[1] and any(map(str.isalpha, r[1]))]
+    assert kept.columns == COLUMNS and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("rows", [AWKWARD, []])
 def test_stages_of_awkward_rows(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)

@@ -151,6 +151,17 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
     return fit(list(found["grams"]), list(found["lang"]), landmarks)
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The rows whose text has a letter, unchanged."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            keep = [bool(t) and any(map(str.isalpha, t)) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """Every row with ``lang_pred`` and ``score``; input columns of these names give way."""
     docs = docs.drop("lang_pred", "score")
