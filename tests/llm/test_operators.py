@@ -330,6 +330,21 @@ def test_links_of_dense_clusters(spark, threshold, blocks, chunk):
     assert {d: got.get(d, d) for d in distinct.values()} == brute_groups({d: x for x, d in distinct.items()}, threshold)
 
 
+@pytest.mark.parametrize("blocks", [0, 1, 5, 64])
+def test_blocks_narrower_than_the_code_are_refused(spark, blocks):
+    distinct = spark.createDataFrame([(0, 1), (1, 2)], "fp bigint, node bigint")
+    with pytest.raises(ValueError, match="blocks"):
+        simhash.links(distinct, threshold=4, blocks=blocks)
+
+
+def test_every_home_is_among_the_visited_anchors():
+    fp = np.random.default_rng(3).integers(0, 2**64, 3000, np.uint64)
+    for blocks in (2, 3, 4):
+        for first, width in simhash.cuts(blocks):
+            row, anchor, home = simhash.anchors(fp, first, width, 1)
+            assert set(row[anchor == home[row]].tolist()) == set(range(len(fp)))
+
+
 def test_first_of_groups(awkward, empty):
     kept = simhash.first_of_groups(awkward)
     assert kept.columns == awkward.columns

@@ -77,7 +77,9 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 
 
 def cuts(blocks: int) -> list[tuple[int, int]]:
-    """First bit and width of each block."""
+    """First bit and width of each block; none is narrower than the code."""
+    if not 2 <= blocks <= 64 // HAMMING:
+        raise ValueError(f"2 to {64 // HAMMING} blocks; the code covers {HAMMING} bits of each")
     edges = [64 * i // blocks for i in range(blocks + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
@@ -212,6 +214,7 @@ def longs_(batch: pa.RecordBatch, column: str) -> np.ndarray:
 
 def links(distinct: DataFrame, threshold: int = 4, blocks: int = 3, chunk: int = CHUNK) -> DataFrame:
     """(a, b): links that connect all fingerprints of (fp, node) within the threshold."""
+    cuts(blocks)  # refuses a wrong number here, not in a task
     spread = distinct.mapInArrow(
         _spread(threshold, blocks), "anchor bigint, fp bigint, node bigint, home boolean"
     )
