@@ -92,7 +92,9 @@ def split_groups(
     nor a time far out leaves a large bucket, whatever the range.
     """
     keys = list(keys)
-    whole = df.groupBy(*keys).agg(F.min(ordinal(df, ts)).alias("__low"), F.max(ordinal(df, ts)).alias("__high"))
+    # A row without a time sorts first, in a cell of its own below the least time.
+    low, high = F.coalesce(F.min(ordinal(df, ts)) - 1, F.lit(0)), F.coalesce(F.max(ordinal(df, ts)), F.lit(0))
+    whole = df.groupBy(*keys).agg(low.alias("__low"), high.alias("__high"))
     span = F.col("__high") - F.col("__low") + 1
     finer = [durable(whole.select(*keys, "__low", F.ceil(span / F.lit(cells)).cast("bigint").alias("__step")))]
 
@@ -101,7 +103,6 @@ def split_groups(
 
     def place(frame: DataFrame) -> DataFrame:
         out = frame.join(sent(finer[0]), keys)
-        # A row without a time sorts first.
         out = out.withColumn("__at", F.coalesce(ordinal(frame, ts), F.col("__low")))
         out = out.withColumn("__cell", within("__low", "__step")).drop("__low")
         for table in finer[1:]:

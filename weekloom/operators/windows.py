@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .skew import MAX_GROUP_ROWS, hot_keys, only, split_groups, without
 
@@ -83,8 +84,8 @@ def positions(
 ) -> DataFrame:
     """Place of each row in its group, from 1. Long groups are numbered bucket by bucket.
 
-    The first order column is a time or number; the others break ties. More rows of one
-    value than fit a group are numbered by the next column.
+    The first order column is a time or number, NULL first; the others break ties. More rows of
+    one whole number or time than fit a group are numbered by the next column.
     """
 
     def place(*by: str) -> Column:
@@ -100,17 +101,21 @@ def positions(
     starts = split.table.select(
         *keys, "__cell", "__bucket", F.min("before").over(bucket).alias("__start")
     )
-    tied = split.table.where((F.col("n") > max_group_rows) & F.lit(len(order) > 1))
-    starts = starts.join(tied.select(*keys, "__cell", F.col("before").alias("__tied")), [*keys, "__cell"], "left")
+    # A cell of fractions may hold several values, which the next column does not order.
+    whole = not isinstance(df.schema[order[0]].dataType, (T.FractionalType,))
+    tied = split.table.where((F.col("n") > max_group_rows) & F.lit(len(order) > 1 and whole))
+    # Each level of ties saves its offset under a name of its own, as it may split again.
+    tie = f"__tied{len(order)}"
+    starts = starts.join(tied.select(*keys, "__cell", F.col("before").alias(tie)), [*keys, "__cell"], "left")
     long = split.attach(long, starts)
-    # Rows of a bucket that lie before a tied cell are numbered with it, so it starts there.
-    apart = long.where("__tied IS NOT NULL").drop("__bucket", "__cell", "__start")
-    rest = long.withColumn(name, F.col("__start") + place(*keys, "__bucket")).where("__tied IS NULL")
+    # A cell over the limit is the last one of its bucket: the others of the bucket come before it.
+    rest = long.where(F.col(tie).isNull()).withColumn(name, F.col("__start") + place(*keys, "__bucket"))
     out = cold.unionByName(rest.select(*df.columns, name))
     if tied.isEmpty():
         return out
-    more = positions(apart, [*keys, order[0]], order[1:], "__more", max_group_rows)
-    more = more.withColumn(name, F.col("__tied") + F.col("__more"))
+    apart = long.where(F.col(tie).isNotNull()).select(*df.columns, tie)
+    more = positions(apart, [*keys, order[0]], order[1:], f"{tie}_place", max_group_rows)
+    more = more.withColumn(name, F.col(tie) + F.col(f"{tie}_place"))
     return out.unionByName(more.select(*df.columns, name))
 
 
