@@ -450,8 +450,8 @@ def test_multi_index(spark):
 def test_multi_index_of_awkward_vectors(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=6).round(3).tolist()) for i in range(200)]
-    rows += [(i, [1.0, 0, 0, 0, 0, 0.5]) for i in range(200, 400)]  # many copies: ties
-    rows += [(400, None), (420, [0.0] * 6), (440, [1.0, None, 0, 0, 0, 0]), (460, [float("nan")] * 6), (480, [float("inf")] * 6),
+    rows += [(i, [1.0, 0.0, 0.0, 0.0, 0.0, 0.5]) for i in range(200, 400)]  # many copies: ties
+    rows += [(400, None), (420, [0.0] * 6), (440, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (460, [float("nan")] * 6), (480, [float("inf")] * 6),
              (None, [1.0] * 6), (500, [1.0, 2.0]), (20, rows[20][1]), (520, [])]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("score", F.lit(1)).repartition(5)
     usable = [(i, np.float32(v).astype(float).tolist()) for i, v in rows if v and len(v) == 6 and None not in v]
