@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, bpe, cascade, decontam, kdshard, langid, multiindex, repeats, simhash, triecount
+from . import backoff, bpe, cascade, decontam, kdshard, langid, linedup, multiindex, repeats, simhash, triecount
 
 SHARDS = 24
 
@@ -100,6 +100,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triecount.count_tokens(docs, scores).select("doc_id", "n_words", "n_tokens")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.drop_common_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,7 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_substring_dedup, op3_kd_sharding, op4_url_cascade, op5_backoff_scores,
-        op6_simhash, op7_bpe, op8_multi_index, op9_language, op10_token_counts, pipeline,
+        op6_simhash, op7_bpe, op8_multi_index, op9_language, op10_token_counts,
+        op13_line_dedup, pipeline,
     )
 }
 
@@ -172,4 +180,15 @@ s AS (
 t AS (SELECT doc_id, sum(l) AS l, count(*) AS n FROM s GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(l, 0), 4) AS log_score, round(l / n, 4) AS mean_log_score
 FROM (SELECT DISTINCT doc_id FROM d) LEFT JOIN t USING (doc_id)""",
+    "op13_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+l AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS MATERIALIZED (
+  SELECT *, translate(regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+c AS MATERIALIZED (
+  SELECT k, max(doc_id) AS last FROM k WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id < last) AS n_dropped,
+  sha256(coalesce(string_agg(x, chr(10) ORDER BY p) FILTER (last IS NULL OR doc_id >= last), '')) AS kept_sha256
+FROM k LEFT JOIN c USING (k) GROUP BY doc_id""",
 }
