@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, bpe, cascade, decontam, kdshard, langid, linedup, multiindex, repeats, simhash, triecount
+from . import backoff, bpe, cascade, decontam, divergence, kdshard, langid, linedup, multiindex, repeats, simhash, triecount
 
 SHARDS = 24
 
@@ -100,6 +100,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triecount.count_tokens(docs, scores).select("doc_id", "n_words", "n_tokens")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linedup.drop_common_lines(docs).select(
@@ -118,7 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination, op2_substring_dedup, op3_kd_sharding, op4_url_cascade, op5_backoff_scores,
         op6_simhash, op7_bpe, op8_multi_index, op9_language, op10_token_counts,
-        op13_line_dedup, pipeline,
+        op12_source_divergence, op13_line_dedup, pipeline,
     )
 }
 
@@ -180,6 +184,36 @@ s AS (
 t AS (SELECT doc_id, sum(l) AS l, count(*) AS n FROM s GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(l, 0), 4) AS log_score, round(l / n, 4) AS mean_log_score
 FROM (SELECT DISTINCT doc_id FROM d) LEFT JOIN t USING (doc_id)""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS MATERIALIZED (
+  SELECT id, lang, source, term, count(*) AS n FROM (SELECT id, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, sum(n)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(*) >= 30),
+c AS MATERIALIZED (
+  SELECT lang, source, term, sum(w.n)::HUGEINT AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS MATERIALIZED (
+  SELECT lang, source, v, coalesce(t.n, 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang) USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source) t USING (lang, source)),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) AS p,
+    1 + (1000000000::HUGEINT * (kept.n + 5)) // (sum(kept.n) OVER (PARTITION BY g.lang, g.source) + 5 * g.v) AS q
+  FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM f QUALIFY part = 'pair' OR rank <= 50""",
     "op13_line_dedup": r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
 l AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
