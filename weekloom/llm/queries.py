@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, bpe, cascade, decontam, divergence, kdshard, langid, linedup, multiindex, repeats, simhash, triecount
+from . import backoff, bpe, cascade, convtrie, decontam, divergence, kdshard, langid, linedup, multiindex, repeats, simhash, triecount
 
 SHARDS = 24
 
@@ -100,6 +100,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triecount.count_tokens(docs, scores).select("doc_id", "n_words", "n_tokens")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -122,7 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination, op2_substring_dedup, op3_kd_sharding, op4_url_cascade, op5_backoff_scores,
         op6_simhash, op7_bpe, op8_multi_index, op9_language, op10_token_counts,
-        op12_source_divergence, op13_line_dedup, pipeline,
+        op11_prefix_trie, op12_source_divergence, op13_line_dedup, pipeline,
     )
 }
 
@@ -184,6 +188,37 @@ s AS (
 t AS (SELECT doc_id, sum(l) AS l, count(*) AS n FROM s GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(l, 0), 4) AS log_score, round(l / n, 4) AS mean_log_score
 FROM (SELECT DISTINCT doc_id FROM d) LEFT JOIN t USING (doc_id)""",
+    "op11_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (
+  SELECT conv_id AS c, xor(list_reduce(list_prepend(4294967295, list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b:
+      list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i:
+        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c, 0 AS k, p, role, text FROM c JOIN t ON t.conv_id = c - c % 5 AND p <= h
+  UNION ALL SELECT c, 1, p, role, text FROM c JOIN t ON t.conv_id = c AND p > h),
+n AS MATERIALIZED (
+  SELECT c, row_number() OVER w AS d, strlen(text) AS b,
+    string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER w AS s FROM r WINDOW w AS (PARTITION BY c ORDER BY k, p)
+  UNION ALL SELECT c, 0, 0, '' FROM c),
+e AS (SELECT c, max(d) AS d FROM n GROUP BY c),
+node AS MATERIALIZED (SELECT d, s, min(c) AS conv_id, count(*) AS n, max(b) AS b FROM n GROUP BY d, s),
+up AS MATERIALIZED (
+  SELECT node.d, node.s, n.d AS ad, n.s AS a_s, node.n, node.b FROM node JOIN n ON n.c = node.conv_id AND n.d <= node.d),
+kids AS MATERIALIZED (SELECT ad AS d, a_s AS s, count(*) AS k FROM up WHERE ad = d - 1 GROUP BY ALL),
+total AS (
+  SELECT ad AS d, a_s AS s, count(*) FILTER (k IS NULL) AS leaves, sum((n - 1) * b) AS saved
+  FROM up LEFT JOIN kids USING (d, s) GROUP BY ALL),
+ends AS (SELECT d, s, string_agg(c::VARCHAR, ',' ORDER BY c) AS x FROM n SEMI JOIN e USING (c, d) GROUP BY ALL),
+parent AS (SELECT up.d, up.s, node.conv_id AS parent FROM up JOIN node ON node.d = ad AND node.s = a_s WHERE ad = up.d - 1)
+SELECT conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves,
+  saved::BIGINT AS saved_tokens, sha256(coalesce(x, '')) AS ends_sha256
+FROM node JOIN total USING (d, s) LEFT JOIN kids USING (d, s) LEFT JOIN parent USING (d, s) LEFT JOIN ends USING (d, s)""",
     "op12_source_divergence": r"""
 WITH d AS (
   SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
