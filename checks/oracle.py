@@ -539,3 +539,6 @@ ORACLE = {
 }
 ORACLE["event_windows_split"] = ORACLE["event_windows"]
 ORACLE["online_lookup_join"] = ORACLE["online_lookup"]
+ORACLE["sales_features_incremental"] = ORACLE["sales_features"]
+ORACLE["scaler_incremental"] = ORACLE["scaler_stats"]
+ORACLE["materialize_incremental"] = ORACLE["materialize_sales"]

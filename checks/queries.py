@@ -16,6 +16,7 @@ from weekloom.functions.scalar import from_target, to_target
 from weekloom.operators import metrics, online, prep, windows
 from weekloom.operators.pit import AsOf, point_in_time
 from weekloom.plans import retail, training
+from weekloom.plans.incremental import FeatureLog
 from weekloom.plans.warehouse import Warehouse
 from weekloom.session import fresh_path, stored
 from weekloom.sources import generator, tables
@@ -157,6 +158,39 @@ def materialize_sales(spark, folder):
     return rounded(store.online("sales_features").drop(online.BUCKETS, online.BUCKET))
 
 
+# Weeks at which incremental jobs stop in between.
+STEPS = (datetime(1998, 1, 5), datetime(2000, 7, 3), None)
+
+
+def _feature_log(spark, folder, steps=STEPS):
+    log = FeatureLog(spark, fresh_path(spark, "feature-log"))
+    for until in steps:
+        log.advance(at(spark, folder), until)
+    return log
+
+
+def sales_features_incremental(spark, folder):
+    """Three steps; each continues the series from their tails and reads its own weeks only."""
+    return rounded(_feature_log(spark, folder).read())
+
+
+def scaler_incremental(spark, folder):
+    """Statistics merged from those of each step."""
+    return rounded(_feature_log(spark, folder).scaler().scaler().frame(spark))
+
+
+def materialize_incremental(spark, folder):
+    """After each step only rows since the last one are read and only touched buckets written."""
+    log = _feature_log(spark, folder, STEPS[:1])
+    objects = retail.definitions(lambda s: log.read(), lambda s: at(s, folder).store_features())
+    store = FeatureStore(spark, objects, root=fresh_path(spark, "store"))
+    for until in STEPS[1:]:
+        store.materialize_incremental(views=["sales_features"])
+        log.advance(at(spark, folder), until)
+    store.materialize_incremental(views=["sales_features"])
+    return rounded(store.online("sales_features").drop(online.BUCKETS, online.BUCKET))
+
+
 def scaler_stats(spark, folder):
     features = sales_features(spark, folder)
     return rounded(prep.scaler_stats(features, prep.numeric_features(features, retail.KEYS)))

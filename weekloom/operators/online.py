@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.literals import typed
-from ..session import durable
+from ..session import durable, fresh_path, stored
 from .skew import MAX_GROUP_ROWS, left_join
 
 # Partition columns of an online table: how many buckets it has, and the one of a row.
 BUCKETS, BUCKET = "key_buckets", "key_bucket"
+BUCKET_FIELDS = (T.StructField(BUCKETS, T.IntegerType()), T.StructField(BUCKET, T.IntegerType()))
 MIN_BUCKETS = 16
 ROWS_PER_BUCKET = 2_000_000
 MAX_ASKED = 100_000
@@ -54,28 +55,60 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
 
 
 def write_online(
-    df: DataFrame, path: str, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> None:
+    df: DataFrame, path: str, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None
+) -> int:
     """One folder per key bucket, their number growing with the table and kept in the path.
 
-    Keys are unique, so hashing spreads the rows evenly. The frame is computed once: a
-    checkpoint serves both the count and the write.
+    Keys are unique, so hashing spreads the rows evenly; buckets are sorted by key. ``rows`` is
+    about how many there will be, as counted when the table was last written; only a table that
+    was never counted is written to the shared folder first. Returns the number of rows.
     """
-    df = durable(df)
-    buckets = max(MIN_BUCKETS, -(-df.count() // rows_per_bucket))
-    (
-        df.withColumns({BUCKETS: F.lit(buckets), BUCKET: key_bucket(keys, buckets)})
-        .repartitionById(buckets, BUCKET)
-        .write.partitionBy(BUCKETS, BUCKET)
-        .parquet(path)
-    )
+    if rows is None:
+        df = stored(df, "online-rows")
+        rows = df.count()
+    buckets = max(MIN_BUCKETS, -(-rows // rows_per_bucket))
+    _bucketed(df, keys, buckets).write.partitionBy(BUCKETS, BUCKET).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the footers
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    placed = df.withColumns({BUCKETS: F.lit(buckets), BUCKET: key_bucket(keys, buckets)})
+    return placed.repartitionById(buckets, BUCKET).sortWithinPartitions(BUCKET, *keys)
+
+
+def stage_upsert(current: DataFrame, fresh: DataFrame, keys: Sequence[str], ts: str) -> tuple[str, int]:
+    """Write the new content of the buckets that ``fresh`` touches; (path, rows of ``fresh``).
+
+    ``fresh`` holds the newest row of each key it has. Only the touched buckets of the online
+    table ``current`` are read; bucket numbers reach the driver. ``current`` must have rows.
+    """
+    buckets = current.select(BUCKETS).first()[0]
+    fresh = stored(fresh.withColumn(BUCKET, key_bucket(keys, buckets)), "fresh-rows")
+    touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
+    fresh = fresh.drop(BUCKET)
+    old = current.where(F.col(BUCKET).isin(touched)).select(fresh.columns)
+    path = fresh_path(current.sparkSession, "upsert")
+    _bucketed(merge_latest(old, fresh, keys, ts), keys, buckets).write.partitionBy(BUCKETS, BUCKET).parquet(path)
+    return path, fresh.count()
+
+
+def apply_upsert(staged: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Put staged buckets in place of those of the online table; others are left alone.
+
+    Doing it again changes nothing, so a broken run is mended by repeating it.
+    """
+    known = staged.select(BUCKETS).first()
+    if known is None:
+        return
+    placed = _bucketed(staged.drop(BUCKETS, BUCKET), keys, known[0])
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKETS, BUCKET).parquet(path)
 
 
 def read_online(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """``schema``, that of the view, makes a table without rows readable too."""
     if schema is None:
         return spark.read.parquet(path)
-    whole = T.StructType([*schema.fields, T.StructField(BUCKETS, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
+    whole = T.StructType([*schema.fields, *BUCKET_FIELDS])
     return spark.read.schema(whole).parquet(path)
 
 

@@ -272,6 +272,58 @@ class Scaler:
         return cls(*(tuple(got[k]) for k in ("columns", "means", "stds")))
 
 
+@dataclass(frozen=True)
+class ScalerState:
+    """Count, mean and sum of squared deviations of each column; two states merge into one.
+
+    So new rows are fitted without reading the old ones: their own state is merged in.
+    """
+
+    columns: tuple[str, ...]
+    counts: tuple[int, ...]
+    means: tuple[float, ...]
+    squares: tuple[float, ...]
+
+    def merged(self, other: "ScalerState") -> "ScalerState":
+        """The state of both sets of rows together, by the pairwise formula."""
+        if self.columns != other.columns:
+            raise ValueError(f"states of {self.columns} and {other.columns}")
+        counts, means, squares = [], [], []
+        for n, m, s, k, o, t in zip(self.counts, self.means, self.squares, other.counts, other.means, other.squares):
+            both, apart = n + k, o - m
+            counts.append(both)
+            means.append(m + apart * k / both if both else 0.0)
+            squares.append(s + t + (apart * apart * n * k / both if both else 0.0))
+        return ScalerState(self.columns, tuple(counts), tuple(means), tuple(squares))
+
+    def scaler(self) -> Scaler:
+        """Population deviation; a column that is constant or empty divides by 1."""
+        stds = ((s / n) ** 0.5 if n else 0.0 for s, n in zip(self.squares, self.counts))
+        return Scaler(self.columns, self.means, tuple(d or 1.0 for d in stds))
+
+    def to_json(self) -> str:
+        return json.dumps({"columns": self.columns, "counts": self.counts, "means": self.means, "squares": self.squares})
+
+    @classmethod
+    def from_json(cls, text: str) -> "ScalerState":
+        got = json.loads(text)
+        return cls(*(tuple(got[k]) for k in ("columns", "counts", "means", "squares")))
+
+
+def scaler_state(df: DataFrame, columns: Sequence[str]) -> ScalerState:
+    """The state of a frame: one pass, combined before the shuffle; one row comes back."""
+    row = df.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.avg(c).cast("double").alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(columns)],
+    ).first()
+    size = range(len(columns))
+    return ScalerState(
+        tuple(columns), tuple(row[f"n{i}"] for i in size), tuple(row[f"m{i}"] or 0.0 for i in size),
+        tuple((row[f"v{i}"] or 0.0) * row[f"n{i}"] for i in size),
+    )
+
+
 def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The fitted statistics as a lazy table, one row per column."""
     wide = df.agg(

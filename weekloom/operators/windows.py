@@ -153,3 +153,31 @@ def sales_windows(
         F.coalesce(std, zero).alias(f"rolling_std_{window}w"),
         F.coalesce(ratio, F.lit(1.0)).alias("sales_vs_avg"),
     )
+
+
+def tails(df: DataFrame, keys: Sequence[str], order: str, depth: int) -> DataFrame:
+    """The last ``depth`` rows of every series: all that windows of that look-back need later.
+
+    Tasks cut their rows down before the shuffle, so a long series costs no more than others.
+    """
+    newest = W.partitionBy(*keys).orderBy(F.col(order).desc())
+    return df.withColumn("__from_end", F.row_number().over(newest)).where(F.col("__from_end") <= depth).drop("__from_end")
+
+
+def continued(
+    tail: DataFrame | None, fresh: DataFrame, keys: Sequence[str], order: str, windows: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``windows`` over fresh rows that go on from stored tails; rows of the tails are not returned.
+
+    Fresh rows come after the tail of their series. A row at or before its end is an error: what
+    was computed from the rows after it would change.
+    """
+    if tail is None:
+        return windows(fresh)
+    marked = fresh.withColumn("__fresh", F.lit(True)).unionByName(tail.select(fresh.columns).withColumn("__fresh", F.lit(False)))
+    over = W.partitionBy(*keys)
+    ended = F.max(F.when(~F.col("__fresh"), F.col(order))).over(over)
+    made = windows(marked.withColumn("__end", ended)).where("__fresh")
+    late = F.raise_error(F.concat(F.lit("a row not after the end of its series at "), F.col("__end").cast("string")))
+    checked = F.when(F.col(order) <= F.col("__end"), late.cast("boolean")).otherwise(F.lit(True))
+    return made.where(checked).drop("__fresh", "__end")

@@ -163,12 +163,18 @@ def build_sales_features(
     ``first_week`` is the date (column) that week 0 starts on. With one row per series and
     week the calendar bounds a series, hence no measurement by default.
     """
-    at = F.col(TS)
     out = sales_windows(base, KEYS, TS, TARGET, max_group_rows=max_group_rows)
-    out = out.withColumn("__week", F.floor(F.datediff(at.cast("date"), first_week) / 7))
-    columns = {
+    names = (*KEYS, TS, *[f.name for f in sales_schema()])
+    return with_calendar(out, first_week, seed, holidays, mode).select(*names)
+
+
+def with_calendar(
+    df: DataFrame, first_week, seed: int | None = 42, holidays=HOLIDAY_WEEKS, mode: str = "nearest"
+) -> DataFrame:
+    """Add the calendar and economic features, which depend on a row's own time only."""
+    at = F.col(TS)
+    df = df.withColumn("__week", F.floor(F.datediff(at.cast("date"), first_week) / 7))
+    return df.withColumns({
         **calendar_columns(at, holidays, mode),
         **economy(F.weekofyear(at), F.col("__week"), seed),
-    }
-    names = (*KEYS, TS, *[f.name for f in sales_schema()])
-    return out.withColumns(columns).select(*names)
+    })

@@ -5,12 +5,14 @@ Suppliers are the stores, part types the departments, shipped revenue per week t
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_start
+from ..functions.literals import moment
 from ..sources.generator import store_rows
 from ..sources.spines import anchored, numbers, weekly
 
@@ -51,9 +53,11 @@ class Warehouse:
         lines = self.table("lineitem").join(parts, "l_partkey")
         return lines.withColumnRenamed("l_suppkey", "store_id")
 
-    def sales_base(self) -> DataFrame:
+    def sales_base(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Weekly revenue per series: at most one row per series and week.
 
+        ``start`` (inclusive) and ``end`` are starts of weeks; the scan then reads only their rows.
+
         Money is summed in whole dollars and rest, both bigint: exact, independent of the
         order of the rows, and without the slow wide decimals. Partial sums before the
         shuffle take the weight out of heavy series.
@@ -64,9 +68,13 @@ class Warehouse:
         rest = units % 10000
         dollars = ((units - rest) / 10000).cast("bigint")
         sales = F.sum(dollars).cast("decimal(20,4)") + F.sum(rest).cast("decimal(20,4)") / 10000
+        lines = self.shipments()
+        if start is not None:
+            lines = lines.where(F.col("l_shipdate") >= moment(start))
+        if end is not None:
+            lines = lines.where(F.col("l_shipdate") < moment(end))
         return (
-            self.shipments()
-            .groupBy("store_id", "dept_id", week_start(F.col("l_shipdate")).alias("event_timestamp"))
+            lines.groupBy("store_id", "dept_id", week_start(F.col("l_shipdate")).alias("event_timestamp"))
             .agg(F.round(sales, 2).cast("double").alias("weekly_sales"))
         )
 

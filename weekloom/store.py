@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from .operators import online as online_ops
 from .operators.pit import AsOf, point_in_time
 from .registry import Registry, Selection
 from .session import fresh_path
-from .sources.tables import read_if_there, scan_view
+from .sources.commits import CommitLog
+from .sources.tables import scan_view
 
 
 class FeatureStore:
@@ -29,7 +30,7 @@ class FeatureStore:
         self.spark = spark
         self.registry = Registry(objects)
         self.root = root.rstrip("/") if root else None
-        self._online: dict[str, str] = {}
+        self._online: dict[str, dict] = {}
 
     def apply(self, objects: Iterable) -> list[tuple[str, str]]:
         """Register; under a root the metadata table there is brought up to date too."""
@@ -82,53 +83,111 @@ class FeatureStore:
         Earlier materialized rows stay unless newer ones come. Returns path by view.
         """
         written = {}
-        for view in self.registry.views():
-            if not view.online or (views is not None and view.name not in views):
-                continue
+        for view in self._online_views(views):
             ts = view.source.timestamp_field
             fresh = online_ops.latest(
                 scan_view(self.spark, view), view.join_keys, view.feature_names, ts, start, end
             )
-            if self._current(view.name):
+            entry = self._entry(view.name)
+            if entry:
                 fresh = online_ops.merge_latest(self.online(view.name), fresh, view.join_keys, ts)
             path = self._path(view)
-            online_ops.write_online(fresh, path, view.join_keys)
+            rows = online_ops.write_online(fresh, path, view.join_keys, rows=entry["rows"] if entry else None)
+            self._commit(view.name, {"path": path, "rows": rows, "mark": self._newest(view, path), "staged": None})
             written[view.name] = path
-            self._online[view.name] = path
-        if self.root and written:
-            now = datetime.now(timezone.utc)
-            rows = [(name, path, now) for name, path in written.items()]
-            log = self.spark.createDataFrame(rows, "view string, path string, at timestamp")
-            log.write.mode("append").parquet(f"{self.root}/materialized")
         return written
 
+    def materialize_incremental(
+        self,
+        end: datetime | None = None,
+        views: Sequence[str] | None = None,
+        late: timedelta = timedelta(0),
+    ) -> dict[str, int]:
+        """Bring online tables up to ``end``, reading what came since the last time only.
+
+        The newest time of a table is its mark; source rows from the mark on (``late`` earlier,
+        for rows that come late) are reduced to one per key, and only the key buckets these fall
+        into are written anew. The log names the staged buckets before they are put in place, so
+        the next run finishes what a broken one began. A view that was never materialized, or
+        has outgrown its buckets, is written whole. Returns fresh keys by view.
+        """
+        done = {}
+        for view in self._online_views(views):
+            entry = self._entry(view.name)
+            if entry is None or not entry["rows"] or self._outgrown(entry):
+                self.materialize(end=end, views=[view.name])
+                done[view.name] = self._entry(view.name)["rows"]
+                continue
+            ts = view.source.timestamp_field
+            since = datetime.fromisoformat(entry["mark"]) - late
+            fresh = online_ops.latest(scan_view(self.spark, view), view.join_keys, view.feature_names, ts, since, end)
+            staged, done[view.name] = online_ops.stage_upsert(self.online(view.name), fresh, view.join_keys, ts)
+            if done[view.name]:
+                newest = self._newest(view, staged)
+                begun = {**entry, "mark": max(newest, entry["mark"], key=datetime.fromisoformat), "staged": staged}
+                self._finish(view.name, self._commit(view.name, begun))
+        return done
+
+    def _online_views(self, names: Sequence[str] | None) -> list[FeatureView]:
+        return [v for v in self.registry.views() if v.online and (names is None or v.name in names)]
+
+    def _newest(self, view: FeatureView, path: str) -> str | None:
+        """Greatest time of a written online table; with its zone if it has one."""
+        ts = view.source.timestamp_field
+        schema = self._online_schema(view)
+        newest = F.max(ts)
+        if isinstance(schema[ts].dataType, T.TimestampType):
+            newest = F.date_format(newest, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
+        found = online_ops.read_online(self.spark, path, schema).agg(newest.cast("string")).first()[0]
+        return datetime.fromisoformat(found).isoformat() if found else None
+
+    def _outgrown(self, entry: dict) -> bool:
+        return entry["rows"] > 2 * entry["counted"] + online_ops.ROWS_PER_BUCKET * online_ops.MIN_BUCKETS
+
+    def _finish(self, view: str, entry: dict) -> dict:
+        """Put staged buckets in place and say so."""
+        declared = self.registry.view(view)
+        schema = self._online_schema(declared)
+        online_ops.apply_upsert(
+            online_ops.read_online(self.spark, entry["staged"], schema), entry["path"], declared.join_keys
+        )
+        rows = online_ops.read_online(self.spark, entry["path"], schema).count()
+        return self._commit(view, {**entry, "staged": None, "rows": rows})
+
+    def _log(self, view: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/materialized/{view}")
+
+    def _commit(self, view: str, entry: dict) -> dict:
+        entry = {"counted": entry["rows"], **entry, "at": datetime.now(timezone.utc).isoformat()}
+        self._online[view] = entry
+        if self.root:
+            self._log(view).append(entry)
+        return entry
+
+    def _entry(self, view: str) -> dict | None:
+        """The newest entry of a view, also one that another session wrote under the root."""
+        entry = self._log(view).last()[1] if self.root else None
+        entry = entry or self._online.get(view)
+        return self._finish(view, entry) if entry and entry["staged"] else entry
+
     def _path(self, view: FeatureView) -> str:
         if self.root:
             return f"{self.root}/online/{view.name}-{uuid.uuid4().hex}"
         return fresh_path(self.spark, f"online-{view.name}")
 
-    def _current(self, view: str) -> str | None:
-        """Path of the newest online table, also one that another session wrote under the root."""
-        if self.root:
-            log = read_if_there(self.spark, f"{self.root}/materialized")
-            if log is None:
-                return self._online.get(view)
-            newest = log.where(F.col("view") == view).agg(F.max_by("path", "at")).first()[0]
-            return newest or self._online.get(view)
-        return self._online.get(view)
-
-    def online(self, view: str) -> DataFrame:
-        path = self._current(view)
-        if path is None:
-            raise LookupError(f"{view} is not materialized")
-        declared = self.registry.view(view)
+    def _online_schema(self, declared: FeatureView) -> T.StructType:
         ts = declared.source.timestamp_field
         kinds = {f.name: f.dtype for f in declared.schema}
         kinds |= {k: e.value_type for e in declared.entities for k in e.join_keys}
         kinds[ts] = declared.source.read(self.spark).schema[ts].dataType
         names = [*declared.join_keys, ts, *declared.feature_names]
-        schema = T.StructType([T.StructField(n, kinds[n]) for n in names])
-        return online_ops.read_online(self.spark, path, schema)
+        return T.StructType([T.StructField(n, kinds[n]) for n in names])
+
+    def online(self, view: str) -> DataFrame:
+        entry = self._entry(view)
+        if entry is None:
+            raise LookupError(f"{view} is not materialized")
+        return online_ops.read_online(self.spark, entry["path"], self._online_schema(self.registry.view(view)))
 
     def get_online_features(
         self,
