@@ -542,3 +542,34 @@ ORACLE["online_lookup_join"] = ORACLE["online_lookup"]
 ORACLE["sales_features_incremental"] = ORACLE["sales_features"]
 ORACLE["scaler_incremental"] = ORACLE["scaler_stats"]
 ORACLE["materialize_incremental"] = ORACLE["materialize_sales"]
+
+
+def _edges() -> str:
+    """Feature-level edges of the retail definitions, as VALUES."""
+    made = [("source:sales_source", f"feature:sales_features.{c}") for c in SALES]
+    made += [("source:store_source", f"feature:store_features.{c}") for c in STORE]
+    inputs = [f"sales_features.{c}" for c in ("weekly_sales", "lag_1")] + ["store_features.store_size"]
+    made += [(f"feature:{i}", f"feature:derived_features.{o}") for i in inputs for o in ("sales_per_sqft", "momentum")]
+    for service, sales in (("training_features", SALES), ("inference_features", SALES[1:])):
+        made += [(f"feature:sales_features.{c}", f"service:{service}") for c in sales]
+        made += [(f"feature:store_features.{c}", f"service:{service}") for c in STORE]
+    return ", ".join(str(e) for e in made)
+
+
+ORACLE["lineage_closure"] = query(
+    f"""SELECT from_node, to_node, hops, n_rows FROM (
+      WITH RECURSIVE e(from_node, to_node) AS (VALUES {_edges()}),
+      walk(from_node, to_node, hops) AS (
+        SELECT from_node, to_node, 1 FROM e
+        UNION SELECT w.from_node, e.to_node, w.hops + 1 FROM walk w JOIN e ON e.from_node = w.to_node)
+      SELECT from_node, to_node, min(hops) AS hops FROM walk GROUP BY ALL)
+    LEFT JOIN (SELECT 'source:sales_source' AS from_node, count(*) AS n_rows FROM base
+      UNION ALL SELECT 'source:store_source', count(*) FROM series) USING (from_node)""",
+    "base", "series",
+)
+ORACLE["chrono_split_three"] = query(
+    """SELECT *, CASE WHEN r <= floor(n * 0.7) THEN 'train' WHEN r <= floor(n * 0.7) + floor(n * 0.15) THEN 'val'
+      ELSE 'test' END AS split FROM (SELECT *, count(*) OVER () AS n,
+      row_number() OVER (ORDER BY event_timestamp, store_id, dept_id) AS r FROM base)""",
+    "base",
+).replace("SELECT *, CASE", "SELECT * EXCLUDE (n, r), CASE", 1)

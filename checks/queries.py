@@ -18,6 +18,7 @@ from weekloom.operators.pit import AsOf, point_in_time
 from weekloom.plans import retail, training
 from weekloom.plans.incremental import FeatureLog
 from weekloom.plans.warehouse import Warehouse
+from weekloom.registry import closure
 from weekloom.session import fresh_path, stored
 from weekloom.sources import generator, tables
 from weekloom import scoring
@@ -112,14 +113,13 @@ def scan_feature_view(spark, folder):
 
 
 def cached_training_set(spark, folder):
-    """The second read finds the table and builds nothing."""
-    path = fresh_path(spark, "training-set")
-    tables.cached_table(spark, path, lambda: training_table(spark, folder))
-
-    def again():
+    """The second read finds the table by its fingerprint and builds nothing."""
+    where = fresh_path(spark, "training-sets")
+    first = tables.cached(training_table(spark, folder), where)
+    again = tables.cached(training_table(spark, folder), where)
+    if sorted(first.inputFiles()) != sorted(again.inputFiles()):
         raise AssertionError("built twice")
-
-    return rounded(tables.cached_table(spark, path, again))
+    return rounded(again)
 
 
 def generate_sales(spark, folder, seed=42):
@@ -230,6 +230,17 @@ def registry_lineage(spark, folder):
     return registry.lineage_frame(spark).join(counts, ["from_kind", "from_name"], "left")
 
 
+def lineage_closure(spark, folder):
+    """Every feature and service that depends on a source, however far, with the source's rows."""
+    registry = feature_store(spark, folder).registry
+    counts = None
+    for view in registry.views():
+        n = view.source.read(spark).agg(F.count(F.lit(1)).alias("n_rows"))
+        n = n.select(F.lit(f"source:{view.source.name}").alias("from_node"), "n_rows")
+        counts = n if counts is None else counts.unionByName(n)
+    return closure(registry.feature_edges_frame(spark)).join(counts, "from_node", "left")
+
+
 # -- projections and fills -------------------------------------------------
 
 
@@ -457,6 +468,12 @@ def chrono_split(spark, folder):
     return prep.chrono_split(base)
 
 
+def chrono_split_three(spark, folder):
+    """Train, validation and test by time: both cuts are found in the same rounds."""
+    base = stored(at(spark, folder).sales_base(), "sales-base")
+    return prep.chrono_splits(base, {"train": 0.7, "val": 0.15, "test": 0.15})
+
+
 def hash_split(spark, folder):
     orders = at(spark, folder).table("orders").select("o_orderkey", "o_custkey")
     return prep.hash_split(orders, ["o_orderkey"])

@@ -1,4 +1,6 @@
 import random
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,32 +10,84 @@ from weekloom.operators.skew import left_join
 from weekloom.session import fresh_path
 
 
-@pytest.mark.parametrize("k", [1, 2, 250, 3000, 3999, 4000])
+@pytest.mark.parametrize("k", [1, 250, 4000])
 def test_kth_row(spark, monkeypatch, k):
-    monkeypatch.setattr(prep, "SELECT_ROWS", 50)
-    monkeypatch.setattr(prep, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(prep, "SLOTS", 8)
     rng = random.Random(3)
     rows = [(rng.randint(0, 40), rng.choice("xyz"), i) for i in range(4000)]
     df = spark.createDataFrame(rows, "a long, b string, c long")
     assert tuple(prep.kth_row(df, ["a", "b", "c"], k)) == sorted(rows)[k - 1]
 
 
-def test_kth_row_of_a_sorted_table_needs_few_passes(spark, monkeypatch):
-    monkeypatch.setattr(prep, "SELECT_ROWS", 500)
-    monkeypatch.setattr(prep, "SAMPLE_ROWS", 400)
-    passes = []
-    value = prep._value
-    monkeypatch.setattr(prep, "_value", lambda *a: passes.append(1) or value(*a))
-    df = spark.range(0, 200_000, numPartitions=50).toDF("a")
-    assert prep.kth_row(df, ["a"], 160_000)["a"] == 159_999
-    assert len(passes) <= 7 * 6  # seven pivots a pass
-
-
-def test_kth_row_with_one_dominant_value(spark, monkeypatch):
-    monkeypatch.setattr(prep, "SELECT_ROWS", 10)
-    df = spark.range(5000).select(F.when(F.col("id") < 4000, 5).otherwise(F.col("id")).alias("a"))
-    assert prep.kth_row(df, ["a"], 2500)["a"] == 5
-    assert prep.kth_row(df, ["a"], 4500)["a"] == 4499
+KINDS = {
+    "bigint": [-(2**63), 2**63 - 1, 0, 1, 5, 5, 5, None, *range(100, 200)],
+    "double": [float("-inf"), float("inf"), float("nan"), float("nan"), -0.5, 1e-300, 1e300, None, None, *[x / 7 for x in range(50)]],
+    "string": ["", "\x00", "\x00\x00", "a", "ab", "ab\x00", "abcdefghijk", "abcdefghijkl", "é", "\U0001f600", None, *[f"common prefix {i}" for i in range(60)]],
+    "timestamp_ntz": [None, *[datetime(2020, 1, 1) + timedelta(microseconds=i * i) for i in range(80)], datetime(1900, 5, 5)],
+    "timestamp": [None, *[datetime(2020, 1, 1) + timedelta(seconds=i % 9) for i in range(80)]],
+    "date": [date(1960, 1, 1), None, *[date(2020, 1, 1) + timedelta(days=i) for i in range(40)]],
+    "boolean": [True, False, None, True, True],
+    "decimal(10,2)": [Decimal("1.25"), None, *[Decimal(i) / 4 for i in range(50)]],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+def test_order_statistics_of_every_kind(spark, monkeypatch, kind):
+    monkeypatch.setattr(prep, "SLOTS", 4)
+    values = KINDS[kind]
+
+    def rank(v):
+        if v is None:
+            return (0, 0, b"")
+        if isinstance(v, float) and v != v:
+            return (2, 0, b"")
+        return (1, 0, v.encode()) if isinstance(v, str) else (1, v, b"")
+
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}").repartition(3)
+    ranks = sorted({1, 2, len(values) // 3, len(values) // 2, len(values) - 1, len(values)})
+    got = prep.order_statistics(df, "v", ranks)
+    want = sorted(map(rank, values))
+    for k, r in zip(ranks, got):
+        assert rank(r.value) == want[k - 1]
+        assert (r.before, r.there) == (sum(w < want[k - 1] for w in want), want.count(want[k - 1]))
+
+
+def test_order_statistics_take_few_rounds_and_small_answers(spark, monkeypatch):
+    rounds = []
+    df = spark.range(0, 3_000_000, numPartitions=8).select((F.col("id") * F.col("id")).alias("v"))
+    count = prep.stored
+    monkeypatch.setattr(prep, "stored", lambda d, n: rounds.append(d) or count(d, n))
+    got = prep.order_statistics(df, "v", [1, 1_000_000, 2_000_000, 3_000_000])
+    assert [r.value for r in got] == [0, 999_999**2, 1_999_999**2, 2_999_999**2]
+    assert len(rounds) == 1 and rounds[0].count() < 50_000
+
+
+def test_splits_have_no_global_window_and_no_sorted_limit(spark, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+    collect = frame.collect
+
+    def seen(self):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return collect(self)
+
+    monkeypatch.setattr(frame, "collect", seen)
+    df = spark.range(5000).select((F.col("id") % 50).alias("t"), F.md5(F.col("id").cast("string")).alias("k"))
+    out = prep.chrono_splits(df, {"train": 0.7, "val": 0.15, "test": 0.15}, "t", ["k"])
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    plans.append(prep.permutation_split(df, ["k"])._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) > 4 and not any("Window" in p or "Limit" in p or "Sort" in p for p in plans)
+    monkeypatch.undo()
+    rows = sorted(out.collect(), key=lambda r: (r["t"], r["k"]))
+    assert [r["split"] for r in rows] == ["train"] * 3500 + ["val"] * 750 + ["test"] * 750
+
+
+def test_several_cuts_within_copies(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 90, 1).otherwise(2).alias("t"))
+    out = prep.ordered_splits(df, ["t"], [30, 30, 35], ["a", "b", "c", "d"])
+    assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"a": 30, "b": 30, "c": 35, "d": 5}
+    assert out.where("split IN ('a', 'b') AND t = 2").isEmpty()
+    assert prep.ordered_splits(df.limit(0), ["t"], [0], ["a", "b"]).isEmpty()
 
 
 @pytest.mark.parametrize("copies", [1, 7, 1000])

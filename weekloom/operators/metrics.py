@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.commits import CommitLog
 from .skew import left_join
 from .windows import positions
 
@@ -91,3 +93,31 @@ def next_versions(
 def latest_version(versions: DataFrame, name: str = "name", keep: Sequence[str] = ()) -> DataFrame:
     newest = versions.groupBy(name).agg(F.max(F.struct("version", *keep)).alias("r"))
     return newest.select(name, *[F.col("r")[c].alias(c) for c in ("version", *keep)])
+
+
+class ModelVersions:
+    """Registered versions in one folder: a file for each, written only if its number is free.
+
+    Two writers that see the same highest version both try the next one; one of them gets it and
+    the other tries on, so numbers have no gap and no number is given twice.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _log(self, name: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.folder}/model-{quote(name, safe='')}")
+
+    def register(self, name: str, run_id: str, tags: dict[str, str] | None = None) -> int:
+        """The new version of the model ``name``."""
+        return self._log(name).append(
+            lambda n: {"name": name, "version": n, "run_id": run_id, "tags": tags or {}}
+        )
+
+    def latest(self, name: str) -> dict | None:
+        return self._log(name).last()[1]
+
+    def frame(self) -> DataFrame:
+        """All versions of all models."""
+        schema = "name string, version bigint, run_id string, tags map<string,string>"
+        return self.spark.read.schema(schema).json(f"{self.folder}/model-*/*.json")

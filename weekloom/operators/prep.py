@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.literals import typed
-from ..session import durable
+from ..session import durable, stored
+from .skew import ordinal_of
 
 NOT_FEATURES = ("store_id", "dept_id", "event_timestamp", "date", "weekly_sales")
-SELECT_ROWS = 500_000
-SAMPLE_ROWS = 2_000
 
 
 def numeric_features(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) -> list[str]:
@@ -59,50 +58,164 @@ def _value(row: Row, schema: T.StructType) -> Column:
     return F.struct(*[typed(v, f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
 
 
-def kth_row(df: DataFrame, order: Sequence[str], k: int, n: int | None = None) -> Row:
-    """The k-th smallest (from 1) tuple of ``order`` without sorting the table.
+SLOTS = 1024
+PREFIX = 7  # characters' bytes of a string that one round looks at
 
-    Each pass samples the remaining candidates, counts them around sampled pivots and keeps
-    the interval that holds the k-th. What is left when small is sorted. Exact; counts and at
-    most about SAMPLE_ROWS sampled keys a pass reach the driver.
+
+@dataclass(frozen=True)
+class Ranked:
+    """The value at a rank, the rows before it and the rows that hold it."""
+
+    value: object
+    before: int
+    there: int
+
+
+def _ordinal(column: Column, dtype: T.DataType, skip: int) -> Column:
+    """A number that never falls as the value grows. Of text, ``PREFIX`` bytes after ``skip``."""
+    if isinstance(dtype, T.StringType):
+        digits = F.rpad(F.hex(F.substring(column.cast("binary"), skip + 1, PREFIX)), 2 * PREFIX, "0")
+        return F.conv(digits, 16, 10).cast("bigint")
+    if isinstance(dtype, T.BooleanType):
+        return column.cast("bigint")
+    if isinstance(dtype, T.FractionalType):
+        # Halved, so that no difference overflows; NaN is the greatest.
+        real, end = column.cast("double"), F.lit(1.7e308)
+        return F.when(F.isnan(real), end).otherwise(F.greatest(F.least(real, end), -end)) / 2
+    return ordinal_of(column, dtype).cast("decimal(20,0)")
+
+
+def _same(a, b) -> bool:
+    return a == b or (a != a and b != b)
+
+
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> list[Ranked]:
+    """The values at the given ranks (from 1, NULL first), found for all of them at once.
+
+    Every round cuts the range that still holds a rank into ``SLOTS`` slots, counts them with
+    partial sums and goes on in the slot of the rank, whose own least and greatest value bound
+    the next cut. Nothing is sorted; at most ``SLOTS`` counts a rank reach the driver. After the
+    first cut the remaining rows are written once, so a long plan is computed three times.
     """
-    left = df.select(*order)
-    key = F.struct(*order)
-    n = left.count() if n is None else n
-    if not 1 <= k <= n:
-        raise ValueError(f"k must be in 1..{n}")
-    seed = 0
-    while n > SELECT_ROWS:
-        # About SAMPLE_ROWS rows from all partitions; a limit would favour the first ones.
-        seed += 1
-        drawn = left.sample(fraction=min(1.0, SAMPLE_ROWS / n), seed=seed)
-        drawn = drawn.orderBy(*order).collect()
-        if not drawn:
-            continue
-        at = [(k / n + d) * len(drawn) for d in (-0.1, -0.03, -0.01, 0.0, 0.01, 0.03, 0.1)]
-        pivots = [drawn[min(max(int(i), 0), len(drawn) - 1)] for i in at]
-        pivots = list(dict.fromkeys(pivots))
-        values = [_value(p, left.schema) for p in pivots]
-        counts = left.agg(
-            *[F.count_if(key < v).alias(f"lt{i}") for i, v in enumerate(values)],
-            *[F.count_if(key <= v).alias(f"le{i}") for i, v in enumerate(values)],
-        ).first()
-        low, high, below, upto = None, None, 0, n
-        for i, pivot in enumerate(pivots):
-            lt, le = counts[f"lt{i}"], counts[f"le{i}"]
-            if lt < k <= le:
-                return pivot
-            if le < k:
-                low, below = values[i], le
-            else:
-                high, upto = values[i], lt
-                break
-        if low is not None:
-            left = left.where(key > low)
-        if high is not None:
-            left = left.where(key < high)
-        k, n = k - below, upto - below
-    return left.orderBy(*order).offset(k - 1).limit(1).first()
+    dtype = df.schema[column].dataType
+    value = F.col(column)
+    n, nulls, low, high = df.agg(
+        F.count(F.lit(1)), F.count_if(value.isNull()), F.min(value), F.max(value)
+    ).first()
+    if not all(1 <= k <= n for k in ranks):
+        raise ValueError(f"ranks must be in 1..{n}")
+    found = {k: Ranked(None, 0, nulls) for k in ranks if k <= nulls}
+    # Ranges still open: (least, greatest, rows before), each with its ranks.
+    open_ = {(low, high, nulls): [k for k in ranks if k > nulls]}
+    left, narrowed = df.select(column).where(value.isNotNull()), False
+    while open_ := {r: ks for r, ks in open_.items() if ks}:
+        bounds = list(open_)
+        slot, which = F.lit(None).cast("bigint"), F.lit(None).cast("int")
+        for i, (low, high, _) in enumerate(bounds):
+            lo, hi = typed(low, dtype), typed(high, dtype)
+            skip = 0
+            if isinstance(dtype, T.StringType):
+                skip = _common(low.encode(), high.encode())
+            at, first, last = (_ordinal(c, dtype, skip) for c in (value, lo, hi))
+            share = (at - first).cast("double") / F.greatest((last - first).cast("double"), F.lit(1e-300))
+            inside = (value >= lo) & (value <= hi)
+            # The least and the greatest value have slots of their own, so every round gets on.
+            place = F.when(value == lo, -1).when(value == hi, SLOTS + 1).otherwise(F.floor(share * SLOTS))
+            slot = F.when(inside, place).otherwise(slot)
+            which = F.when(inside, F.lit(i)).otherwise(which)
+        cut = left.withColumns({"__which": which, "__slot": slot.cast("bigint")}).where(F.col("__which").isNotNull())
+        counts = cut.groupBy("__which", "__slot").agg(
+            F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
+        ).collect()
+        again: dict[tuple, list[int]] = {}
+        for i, range_ in enumerate(bounds):
+            before = range_[2]
+            wanted = sorted(open_[range_])
+            for row in sorted((r for r in counts if r["__which"] == i), key=lambda r: r["__slot"]):
+                here = [k for k in wanted if before < k <= before + row["n"]]
+                if here and _same(row["low"], row["high"]):
+                    found |= {k: Ranked(row["low"], before, row["n"]) for k in here}
+                elif here:
+                    again[row["low"], row["high"], before] = here
+                before += row["n"]
+        if again and not narrowed:
+            kept = F.lit(False)
+            for low, high, _ in again:
+                kept = kept | value.between(typed(low, dtype), typed(high, dtype))
+            left, narrowed = stored(left.where(kept), "candidates"), True
+        open_ = again
+    return [found[k] for k in ranks]
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Bytes that two texts share at the start."""
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def kth_rows(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> list[tuple[Row, int, int]]:
+    """For each rank the tuple of ``order`` there, the rows before it and the copies of it.
+
+    Columns are settled one after the other: the next one only among rows equal so far.
+    """
+    keys = df.select(*order)
+    first = order_statistics(keys, order[0], ranks)
+    out = []
+    for k, at in zip(ranks, first):
+        values, before, there, left = [at.value], at.before, at.there, keys
+        for column in order[1:]:
+            settled = order[len(values) - 1]
+            left = left.where(F.col(settled).eqNullSafe(typed(values[-1], df.schema[settled].dataType)))
+            if len(values) == 1:
+                left = stored(left, "ties")
+            now = order_statistics(left, column, [k - before])[0]
+            values.append(now.value)
+            before, there = before + now.before, now.there
+        out.append((Row(*order)(*values), before, there))
+    return out
+
+
+def kth_row(df: DataFrame, order: Sequence[str], k: int) -> Row:
+    """The k-th smallest (from 1) tuple of ``order`` without sorting the table."""
+    return kth_rows(df, order, [k])[0][0]
+
+
+def ordered_splits(
+    df: DataFrame, order: Sequence[str], rows: Sequence[int], labels: Sequence[str], label: str = "split"
+) -> DataFrame:
+    """Mark rows by their place in ``order``: the first ``rows[0]`` with ``labels[0]``, and so on.
+
+    ``labels`` has one more entry than ``rows``. The cut rows are selected first; marking is then
+    a projection. Only copies of a cut row that lie on both sides of a cut are numbered.
+    """
+    n = df.count()
+    ends = [min(sum(rows[: i + 1]), n) for i in range(len(rows))]
+    cuts = sorted({k for k in ends if 0 < k < n})
+    found = dict(zip(cuts, kth_rows(df, order, cuts))) if cuts else {}
+    key, schema = F.struct(*order), df.select(*order).schema
+
+    def marked(frame: DataFrame, upto) -> DataFrame:
+        """``upto(k)``: whether a row is among the first k; None if no row is."""
+        mark = F.lit(labels[-1])
+        for k, name in reversed(list(zip(ends, labels))):
+            inside = F.lit(k >= n) if k in (0, n) else upto(k)
+            mark = F.when(inside, F.lit(name)).otherwise(mark)
+        return frame.withColumn(label, mark)
+
+    torn = {k: f for k, f in found.items() if f[1] + f[2] != k}
+    values = {k: _value(row, schema) for k, (row, _, _) in found.items()}
+    apart = F.lit(False)
+    for value in {tuple(torn[k][0]): values[k] for k in torn}.values():
+        apart = apart | (key == value)
+    out = marked(df.where(~apart) if torn else df, lambda k: key <= values[k])
+    for row in {tuple(f[0]) for f in torn.values()}:
+        before = next(f[1] for f in torn.values() if tuple(f[0]) == row)
+        copies = numbered(df.where(key == _value(Row(*order)(*row), schema)), "__at")
+        copies = marked(copies, lambda k: F.col("__at") <= k - before)
+        out = out.unionByName(copies.drop("__at"))
+    return out
 
 
 def ordered_split(
@@ -115,24 +228,9 @@ def ordered_split(
     """Mark the first ``int(n * fraction)`` rows in ``order`` as train, the others as val.
 
     ``rows`` gives their number instead.
-
-    The cut row is selected first; marking is then a projection. Only if copies of the cut
-    row lie on both sides of the cut are these copies numbered.
     """
-    n = df.count()
-    k = int(n * fraction) if rows is None else rows
-    train, val = F.lit("train"), F.lit("val")
-    if k == 0 or k == n:
-        return df.withColumn(label, train if k else val)
-    key = F.struct(*order)
-    cut = _value(kth_row(df, order, k, n), df.select(*order).schema)
-    lt, le = df.agg(F.count_if(key < cut), F.count_if(key <= cut)).first()
-    if le == k:
-        return df.withColumn(label, F.when(key <= cut, train).otherwise(val))
-    sided = df.where(key != cut).withColumn(label, F.when(key < cut, train).otherwise(val))
-    tied = numbered(df.where(key == cut), "__at")
-    tied = tied.withColumn(label, F.when(F.col("__at") <= k - lt, train).otherwise(val))
-    return sided.unionByName(tied.drop("__at"))
+    rows = int(df.count() * fraction) if rows is None else rows
+    return ordered_splits(df, order, [rows], ["train", "val"], label)
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
@@ -140,10 +238,13 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     # A checkpoint fixes which row is where; the ids hold partition and place in 33 bits.
     fixed = durable(df.withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftright("__id", 33)
-    sizes = fixed.groupBy(part.alias("__part")).count()
-    # One row per partition of the table.
-    before = F.sum("count").over(W.orderBy("__part")) - F.col("count")
-    offsets = sizes.select("__part", before.alias("__before"))
+    # One count a partition of the table reaches the driver, which adds them up.
+    sizes = sorted(tuple(r) for r in fixed.groupBy(part.alias("__part")).count().collect())
+    starts, total = [], 0
+    for p, size in sizes:
+        starts.append((p, total))
+        total += size
+    offsets = df.sparkSession.createDataFrame(starts, "__part bigint, __before bigint")
     place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before") + 1
     joined = fixed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
     return joined.withColumn(name, place).drop("__id", "__part", "__before")
@@ -155,47 +256,20 @@ def chrono_split(
     keys: Sequence[str] = ("store_id", "dept_id"),
     fraction: float = 0.8,
 ) -> DataFrame:
-    """Chronological split by row position; ties of one time are ordered by key.
+    """Chronological split by row position; ties of one time are ordered by key."""
+    return ordered_split(df, [ts, *keys], fraction)
 
-    Rows are counted per time, one small table; the running sum over it gives the time that
-    holds the cut. Only rows of that time are then ordered by key.
-    """
-    per_time = durable(df.groupBy(ts).agg(F.count(F.lit(1)).alias("n")))
-    n = per_time.agg(F.sum("n")).first()[0] or 0
-    k = int(n * fraction)
-    if k == 0 or k == n:
-        return df.withColumn("split", F.lit("train" if k else "val"))
-    cut, before, there = _time_of(per_time, ts, k)
-    at = typed(cut, df.schema[ts].dataType)
-    time = F.col(ts)
-    early = time.isNull() if cut is None else time.isNull() | (time < at)
-    here = time.isNull() if cut is None else time == at
-    if cut is None:
-        early = F.lit(False)
-    if before + there == k:
-        return df.withColumn("split", F.when(early | here, F.lit("train")).otherwise(F.lit("val")))
-    side = F.when(F.coalesce(early, F.lit(False)), F.lit("train")).otherwise(F.lit("val"))
-    rest = df.where(~F.coalesce(here, F.lit(False))).withColumn("split", side)
-    tied = ordered_split(df.where(here), list(keys), rows=k - before)
-    return rest.unionByName(tied)
-
-
-def _time_of(per_time: DataFrame, ts: str, k: int) -> tuple:
-    """(time, rows before it, rows at it) of the k-th row in time order, NULL first.
-
-    Days are added up first, then the times of one day, so no sum runs over all times.
-    """
-    day = F.col(ts).cast("date") if dict(per_time.dtypes)[ts] != "date" else F.trunc(ts, "month")
-    before = 0
-    left = per_time
-    for group in (day, F.col(ts)):
-        sums = left.groupBy(group.alias("g")).agg(F.sum("n").alias("n"))
-        running = F.sum("n").over(W.orderBy(F.col("g").asc_nulls_first()))
-        found = sums.withColumn("upto", running).where(F.col("upto") >= k - before)
-        row = found.orderBy(F.col("upto")).first()
-        before += row["upto"] - row["n"]
-        left = left.where(group.eqNullSafe(F.lit(row["g"])))
-    return row["g"], before, row["n"]
+
+def chrono_splits(
+    df: DataFrame,
+    shares: dict[str, float],
+    ts: str = "event_timestamp",
+    keys: Sequence[str] = ("store_id", "dept_id"),
+) -> DataFrame:
+    """Several chronological parts at once; the last one gets what rounding leaves."""
+    n = df.count()
+    names = list(shares)
+    return ordered_splits(df, [ts, *keys], [int(n * shares[x]) for x in names[:-1]], names)
 
 
 def hash_percent(keys: Sequence[str], seed: str = "") -> Column:

@@ -51,8 +51,11 @@ def without(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
+    return ordinal_of(F.col(column), df.schema[column].dataType)
+
+
+def ordinal_of(c: Column, dtype: T.DataType) -> Column:
     """Microseconds for times, the value itself for numbers; never decreases with the column."""
-    dtype, c = df.schema[column].dataType, F.col(column)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):

@@ -191,6 +191,45 @@ class Registry:
         )
 
 
+    def feature_edges_frame(self, spark: SparkSession) -> DataFrame:
+        """Edges between single features: (from_node, to_node), a node is ``kind:name``.
+
+        source -> feature of a view -> feature of an on-demand view -> service. An on-demand
+        feature depends on every input that its view declares.
+        """
+        edges = set()
+        for v in self.views():
+            edges |= {(f"source:{v.source.name}", f"feature:{v.name}.{c}") for c in v.feature_names}
+        for d in self.on_demand_views():
+            for v, columns in d.inputs:
+                edges |= {(f"feature:{v.name}.{c}", f"feature:{d.name}.{o}") for c in columns for o in d.feature_names}
+        for s in self.services():
+            for item in s.features:
+                owner, columns = self._expand(item)
+                edges |= {(f"feature:{owner.name}.{c}", f"service:{s.name}") for c in columns}
+        return spark.createDataFrame(sorted(edges), "from_node string, to_node string")
+
+
+def closure(edges: DataFrame, limit: int = 100) -> DataFrame:
+    """(from_node, to_node, hops): every pair that a path of edges joins, with its least hops.
+
+    Upwards or downwards is a filter on one end: what breaks if a node changes, or what a node
+    comes from. Paths of more than ``limit`` edges, as in a cycle, are an error.
+    """
+    name = f"lineage_edges_{uuid.uuid4().hex}"
+    edges.select("from_node", "to_node").distinct().createOrReplaceTempView(name)
+    spark = edges.sparkSession
+    try:
+        return spark.sql(f"""
+            WITH RECURSIVE walk(from_node, to_node, hops) MAX RECURSION LEVEL {limit} AS (
+              SELECT from_node, to_node, 1 FROM {name}
+              UNION ALL
+              SELECT w.from_node, e.to_node, w.hops + 1 FROM walk w JOIN {name} e ON e.from_node = w.to_node)
+            SELECT from_node, to_node, min(hops) AS hops FROM walk GROUP BY from_node, to_node""")
+    finally:
+        spark.catalog.dropTempView(name)
+
+
 def saved_objects(spark: SparkSession, path: str) -> DataFrame | None:
     """The registry saved last at ``path``, or None."""
     jvm = spark.sparkContext._jvm
