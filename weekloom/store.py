@@ -105,9 +105,9 @@ class FeatureStore:
     ) -> dict[str, int]:
         """Bring online tables up to ``end``, reading what came since the last time only.
 
-        The newest time of a table is its mark; source rows from the mark on (``late`` earlier,
-        for rows that come late) are reduced to one per key, and only the key buckets these fall
-        into are written anew. The log names the staged buckets before they are put in place, so
+        The newest time of a table is its mark; source rows after the mark are reduced to one per
+        key, and only the key buckets these fall into are written anew. ``late`` goes back by so
+        much, for rows that come late or come later at the mark itself. The log names the staged buckets before they are put in place, so
         the next run finishes what a broken one began. A view that was never materialized, or
         has outgrown its buckets, is written whole. Returns fresh keys by view.
         """
@@ -119,7 +119,7 @@ class FeatureStore:
                 done[view.name] = self._entry(view.name)["rows"]
                 continue
             ts = view.source.timestamp_field
-            since = datetime.fromisoformat(entry["mark"]) - late
+            since = datetime.fromisoformat(entry["mark"]) + (-late if late else timedelta(microseconds=1))
             fresh = online_ops.latest(scan_view(self.spark, view), view.join_keys, view.feature_names, ts, since, end)
             staged, done[view.name] = online_ops.stage_upsert(self.online(view.name), fresh, view.join_keys, ts)
             if done[view.name]:
