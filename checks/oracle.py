@@ -573,3 +573,4 @@ ORACLE["chrono_split_three"] = query(
       row_number() OVER (ORDER BY event_timestamp, store_id, dept_id) AS r FROM base)""",
     "base",
 ).replace("SELECT *, CASE", "SELECT * EXCLUDE (n, r), CASE", 1)
+ORACLE["pit_join_bucketed"] = ORACLE["pit_join"]

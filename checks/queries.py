@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 from functools import lru_cache
 
@@ -20,7 +21,7 @@ from weekloom.plans.incremental import FeatureLog
 from weekloom.plans.warehouse import Warehouse
 from weekloom.registry import closure
 from weekloom.session import fresh_path, stored
-from weekloom.sources import generator, tables
+from weekloom.sources import generator, layout, tables
 from weekloom import scoring
 
 KEYS = list(retail.KEYS)
@@ -343,6 +344,19 @@ def pit_join(spark, folder):
     return rounded(_shipment_join(spark, folder))
 
 
+def pit_join_bucketed(spark, folder):
+    """The same over views stored in buckets: only the requests are shuffled."""
+    store = feature_store(spark, folder)
+    stored_views = [
+        layout.store_view(spark, v, f"{v.name}_{uuid.uuid4().hex}", path=fresh_path(spark, v.name))
+        for v in store.registry.views()
+    ]
+    refs = ["sales_features:weekly_sales", "sales_features:lag_1", "sales_features:rolling_mean_4w"]
+    return rounded(
+        FeatureStore(spark, stored_views).get_historical_features(shipment_requests(spark, folder), refs)
+    )
+
+
 def pit_join_split(spark, folder):
     return rounded(_shipment_join(spark, folder, max_group_rows=60))
 

@@ -1,11 +1,16 @@
 import random
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from weekloom import Entity, FeatureStore, FeatureView, Field, Source
 from weekloom.operators import pit
 from weekloom.operators.pit import AsOf, point_in_time
+from weekloom.session import fresh_path
+from weekloom.sources.layout import store_view
 
 T0 = datetime(2023, 1, 1)
 DAY = timedelta(days=1)
@@ -161,3 +166,24 @@ def test_times_far_out_leave_no_large_bucket(spark):
     split = split_groups(rows.union(far), ["k"], "t", 100)
     sizes = split.table.groupBy("__bucket").agg(F.sum("n").alias("n")).agg(F.max("n"), F.sum("n")).first()
     assert sizes[0] <= 200 and sizes[1] == 5002
+
+
+def test_bucketed_views_are_not_shuffled(spark):
+    rows = [(i % 37, datetime(2024, 1, 1) + timedelta(hours=i), float(i)) for i in range(2000)] + [(None, datetime(2024, 1, 1), 0.0)]
+    frame = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, x double")
+    views = [
+        FeatureView(name, (Entity("k"),), (Field(c, T.DoubleType()),), Source(name, frame=lambda s, c=c: frame.withColumnRenamed("x", c), timestamp_field="ts"))
+        for name, c in (("one", "x"), ("two", "y"))
+    ]
+    kept = [store_view(spark, v, f"v_{uuid.uuid4().hex}", buckets=n, path=fresh_path(spark, "v")) for v, n in zip(views, (6, 6))]
+    asked = spark.createDataFrame([(i % 40, datetime(2024, 1, 1) + timedelta(hours=3 * i, minutes=5), i) for i in range(500)], "k bigint, event_timestamp timestamp_ntz, id int")
+    for limit in (2_000_000, 20):
+        got = FeatureStore(spark, kept).get_historical_features(asked, ["one:x", "two:y"], max_group_rows=limit)
+        want = FeatureStore(spark, views).get_historical_features(asked, ["one:x", "two:y"])
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = FeatureStore(spark, kept).get_historical_features(asked, ["one:x", "two:y"], strategy="window", bound_time=False)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Bucketed: true") == 2 and text.count("Exchange") == 1
+    mixed = [kept[0], store_view(spark, views[1], f"v_{uuid.uuid4().hex}", buckets=3, path=fresh_path(spark, "v"))]
+    got = FeatureStore(spark, mixed).get_historical_features(asked, ["one:x", "two:y"], strategy="window")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

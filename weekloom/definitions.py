@@ -30,9 +30,11 @@ class Field:
 
 @dataclass(frozen=True)
 class Source:
-    """A Parquet path, or a function of the session that returns a lazy DataFrame.
+    """A Parquet path, a catalog table, or a function of the session that returns a lazy DataFrame.
 
-    ``clustered`` says that this frame is already partitioned by the keys of its view.
+    ``clustered`` says that this frame is already partitioned by the keys of its view, ``buckets``
+    that the table is bucketed by them into so many buckets
+    (:func:`weekloom.sources.layout.write_bucketed`).
     """
 
     name: str
@@ -40,10 +42,19 @@ class Source:
     timestamp_field: str = "event_timestamp"
     frame: Callable[[SparkSession], DataFrame] | None = None
     clustered: bool = False
+    table: str | None = None
+    buckets: int | None = None
+
+    @property
+    def stored(self) -> bool:
+        """Whether rows lie in files, so that filters reach a scan."""
+        return self.frame is None
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.frame is not None:
             return self.frame(spark)
+        if self.table is not None:
+            return spark.table(self.table)
         return spark.read.parquet(self.path)
 
 

@@ -19,13 +19,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import durable, stored
-from .skew import MAX_GROUP_ROWS, hot_keys, left_join, only, split_groups, without
+from .skew import MAX_GROUP_ROWS, left_join, only, split_groups, without
 
 BROADCAST_BYTES = 64 << 20
 
@@ -35,7 +36,7 @@ class AsOf:
     """A feature table to join.
 
     ``clustered`` says that the frame comes partitioned by ``keys``, as after a window over
-    them; it is then not shuffled again.
+    them; it is then not shuffled again. ``buckets`` says the same of a table bucketed by them.
     """
 
     frame: DataFrame
@@ -44,6 +45,7 @@ class AsOf:
     ttl: timedelta | None = None
     ts: str = "event_timestamp"
     clustered: bool = False
+    buckets: int | None = None
 
 
 def point_in_time(
@@ -153,13 +155,16 @@ def _window(requests: DataFrame, keys, views, ts, clustered=False) -> DataFrame:
     # Next to a clustered side the others are partitioned alike: Spark then sees one
     # partitioning of the whole union and does not shuffle the clustered side again.
     alike = clustered or any(v.clustered for v in views)
+    buckets = max((v.buckets or 0 for v in views), default=0)
 
-    def placed(df: DataFrame, clustered: bool = False) -> DataFrame:
+    def placed(df: DataFrame, clustered: bool = False, own: int | None = None) -> DataFrame:
+        if buckets:  # where one side is bucketed, all others go into as many partitions
+            return df if own == buckets else df.repartition(buckets, *keys)
         return df.repartition(*keys) if alike and not clustered else df
 
     both = side(placed(requests, clustered), 1, None)
     for i, v in enumerate(views):
-        both = both.unionByName(side(placed(v.frame, v.clustered), 0, i))
+        both = both.unionByName(side(placed(v.frame, v.clustered, v.buckets), 0, i))
     hits = [f"f{i}" for i in range(len(views))]
     running = (
         W.partitionBy(*keys)
@@ -202,12 +207,13 @@ def _broadcast(requests: DataFrame, keys, views, ts, limit) -> DataFrame:
 
 
 def _splitting(requests: DataFrame, keys, views, ts, max_rows, clustered) -> DataFrame:
-    # Only keys are read here; Spark prunes the features from the plans of lazy views.
-    everything = requests.select(*keys)
-    for v in views:
-        everything = everything.union(v.frame.select(*keys))
-    hot = hot_keys(everything, keys, max_rows)
-    if hot is None:
+    # Only keys are read here. A lazy clustered view is not computed for it: the window it comes
+    # from already had every key in one task.
+    sides = [requests, *[v.frame for v in views if v.buckets or not v.clustered]]
+    counts = [side.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) for side in sides]
+    sums = reduce(DataFrame.union, counts).groupBy(*keys).agg(F.sum("n").alias("n"))
+    hot = durable(sums.where(F.col("n") > max_rows).select(*keys))
+    if hot.isEmpty():
         return _window(requests, keys, views, ts, clustered)
 
     def part(cut, df):

@@ -248,7 +248,7 @@ def _declared(obj) -> dict:
     if isinstance(obj, Entity):
         out = {"join_keys": list(obj.join_keys), "value_type": obj.value_type.simpleString()}
     elif isinstance(obj, Source):
-        out = {"path": obj.path, "timestamp_field": obj.timestamp_field, "frame": obj.frame is not None}
+        out = {"path": obj.path, "table": obj.table, "timestamp_field": obj.timestamp_field, "frame": obj.frame is not None}
     elif isinstance(obj, FeatureView):
         out = {
             "keys": list(obj.join_keys), "source": obj.source.name, "online": obj.online,

@@ -54,7 +54,7 @@ class FeatureStore:
         ``bound_time`` is on unless given.
         """
         selection = self.registry.select(features)
-        stored = all(view.source.path for view, _ in selection.views.values())
+        stored = all(view.source.stored for view, _ in selection.views.values())
         options.setdefault("bound_time", stored)
         views = [
             AsOf(
@@ -64,6 +64,7 @@ class FeatureStore:
                 view.ttl,
                 view.source.timestamp_field,
                 clustered=view.source.clustered,
+                buckets=view.source.buckets,
             )
             for view, columns in selection.views.values()
         ]
