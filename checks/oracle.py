@@ -574,3 +574,11 @@ ORACLE["chrono_split_three"] = query(
     "base",
 ).replace("SELECT *, CASE", "SELECT * EXCLUDE (n, r), CASE", 1)
 ORACLE["pit_join_bucketed"] = ORACLE["pit_join"]
+ORACLE["decode_mixed_requests"] = query(
+    """SELECT floor(pos / 16)::BIGINT AS request_id,
+      row_number() OVER (PARTITION BY floor(pos / 16) ORDER BY pos) - 1 AS pos,
+      CASE WHEN store_id <> 3 THEN store_id END AS store_id, CASE WHEN dept_id <> 7 THEN dept_id END AS dept_id,
+      CASE WHEN store_id = 3 AND dept_id = 7 THEN 'no usable store_id, dept_id' WHEN store_id = 3 THEN 'no usable store_id'
+        WHEN dept_id = 7 THEN 'no usable dept_id' END AS error FROM asked""",
+    "asked",
+)

@@ -636,6 +636,13 @@ def decode_requests(spark, folder):
     return scoring.request_rows(decoded).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def decode_mixed_requests(spark, folder):
+    """Entities with a key missing or of another type have an error; the others are read."""
+    mixed = F.replace(F.replace("payload", F.lit('"dept_id":7'), F.lit('"dept_id":"seven"')), F.lit('"store_id":3,'), F.lit('"shop":3,'))
+    rows = scoring.entity_rows(json_requests(spark, folder).withColumn("payload", mixed))
+    return rows.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 def decode_feature_rows(spark, folder):
     """Feature arrays in place of entities: account balance and nation of sixteen customers."""
     asked = at(spark, folder).table("customer").select(
@@ -709,6 +716,15 @@ def train_eval(spark, folder):
     return steps.unionByName(final)
 
 
+def train_early_stop(spark, folder):
+    """The loss of every boosting round and the round that is kept; no SQL fits trees."""
+    rows = _training_rows(spark, folder)
+    fit, check = rows.where("split = 'train'"), rows.where("split = 'val'")
+    model, log = scoring.train_to_best(fit, check, FORECAST, maxIter=6, maxDepth=4, stepSize=0.9, seed=42)
+    kept = F.lit(len(model.model.trees))
+    return log.withColumn("rounds_kept", kept.cast("int"))
+
+
 def _fit_all(spark, folder):
     rows = _training_rows(spark, folder)
     columns = prep.numeric_features(rows)

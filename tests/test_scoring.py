@@ -122,3 +122,40 @@ def test_other_keys(spark):
     df = spark.createDataFrame([(1, json.dumps(request("entities", [{"sku": "x"}])))], "request_id long, payload string")
     decoded = scoring.decode_requests(df, keys={"sku": "string"})
     assert [tuple(r) for r in scoring.request_rows(decoded).collect()] == [(1, 0, "x")]
+
+
+def test_one_bad_entity_leaves_the_others(spark):
+    payloads = [
+        '{"inputs":[{"name":"entities","data":[{"store_id":1,"dept_id":2},{"store_id":"x","dept_id":3},{"dept_id":4},7,null]}]}',
+        '{"inputs":[{"name":"entities","data":"[{\\"store_id\\":\\"5\\",\\"dept_id\\":6}]"}]}',
+        '{"inputs":[{"name":"entities","data":[]}]}', "not json", None, '{"inputs":[{"name":"features","data":[[1.0]]}]}',
+    ]
+    df = spark.createDataFrame(list(enumerate(payloads)), "request_id int, payload string")
+    got = sorted((tuple(r) for r in scoring.entity_rows(df).collect()), key=str)
+    bad, none = "no usable store_id, dept_id", "request holds no rows of entities"
+    assert got == sorted([
+        (0, 0, 1, 2, None), (0, 1, None, 3, "no usable store_id"), (0, 2, None, 4, "no usable store_id"), (0, 3, None, None, bad),
+        (0, 4, None, None, bad), (1, 0, 5, 6, None), *[(i, None, None, None, none) for i in (2, 3, 4, 5)],
+    ], key=str)
+
+
+def test_the_best_round_is_the_one_that_is_kept(spark):
+    import random
+
+    rng = random.Random(5)
+    noise = [(float(i % 40), 2000.0 + 50 * (i % 40) + rng.uniform(-900, 900)) for i in range(160)]
+    fit = spark.createDataFrame(noise[:80], "x double, weekly_sales double")
+    check = spark.createDataFrame(noise[80:], "x double, weekly_sales double")
+    model, log = scoring.train_to_best(fit, check, ["x"], maxIter=12, maxDepth=6, stepSize=0.8, seed=1)
+    steps = {r["step"]: r["val_loss"] for r in log.collect()}
+    best = log.where("best").first()["step"]
+    assert len(steps) == 12 and best == min(steps, key=steps.get) < 12
+    assert len(model.model.trees) == best
+    path = fresh_path(spark, "model")
+    model.save(spark, path)
+    loaded = scoring.SalesModel.load(spark, path)
+    assert len(loaded.model.trees) == best
+    assert loaded.predict(check).first()["prediction"] == pytest.approx(model.predict(check).first()["prediction"])
+    assert scoring.evaluate(model, check).first()["val_loss"] == pytest.approx(steps[best])
+    stopped, short = scoring.train_to_best(fit, check, ["x"], patience=0.01, maxIter=12, maxDepth=6, stepSize=0.8, seed=1)
+    assert short.count() < 12 and len(stopped.model.trees) <= short.count()

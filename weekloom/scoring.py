@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml import Model
@@ -80,16 +80,28 @@ def train(
     kind: str = "linear",
     target: str = TARGET,
     use_log_transform: bool = True,
+    validation: DataFrame | None = None,
     **params,
 ) -> SalesModel:
-    """Fit on the rows of ``training``: scaled features, scaled and by default log target."""
-    filled = fill_zero(training.select(target, *columns), columns)
+    """Fit on the rows of ``training``: scaled features, scaled and by default log target.
+
+    ``validation`` rows, for boosted trees, tell when to stop; scalers do not see them.
+    """
     goal = to_target(F.col(target)) if use_log_transform else F.col(target)
-    filled = filled.withColumn("__y", goal)
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        return fill_zero(rows.select(target, *columns), columns).withColumn("__y", goal)
+
+    filled = prepared(training)
     scaler = Scaler.fit(filled, [*columns, "__y"])
     scaler_x = Scaler(scaler.columns[:-1], scaler.means[:-1], scaler.stds[:-1])
     scaler_y = Scaler(scaler.columns[-1:], scaler.means[-1:], scaler.stds[-1:])
-    ready = assemble(scaler.transform(filled), columns).select("features", F.col("__y").alias("label"))
+    held = F.lit(False).alias("held")
+    rows = scaler.transform(filled).select("*", held)
+    if validation is not None:
+        rows = rows.unionByName(scaler.transform(prepared(validation)).select("*", F.lit(True).alias("held")))
+        params["validationIndicatorCol"] = "held"
+    ready = assemble(rows, columns).select("features", F.col("__y").alias("label"), "held")
     if kind == "linear":
         learner = LinearRegression(**params)
     elif kind == "gbt":
@@ -124,6 +136,37 @@ def loss_by_iteration(model: SalesModel, validation: DataFrame, target: str = TA
     return model.model.evaluateEachIteration(ready.select("features", "label"), "squared")
 
 
+def truncated(model: SalesModel, rounds: int) -> SalesModel:
+    """The boosted model after its first ``rounds`` rounds."""
+    if model.kind != "gbt":
+        raise ValueError("only boosted models have iterations")
+    old = model.model._java_obj
+    sc = SparkSession.active().sparkContext
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = old.trees()[i], old.treeWeights()[i]
+    new = sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(old.uid(), trees, weights, old.numFeatures())
+    return replace(model, model=GBTRegressionModel(old.copyValues(new, old.extractParamMap())))
+
+
+def train_to_best(
+    training: DataFrame, validation: DataFrame, columns: Sequence[str], target: str = TARGET, patience: float = 0.0, **params
+) -> tuple[SalesModel, DataFrame]:
+    """Boosted trees cut back to their best round, and the loss log (step from 1, val_loss, best).
+
+    With ``patience`` Spark itself stops once a round lowers the validation loss by less than that
+    share: the rows of both frames are then fitted together, told apart by an indicator column.
+    Of the rounds that were run the first one of least loss decides what is kept.
+    """
+    model = train(training, columns, "gbt", target, validation=validation if patience else None, validationTol=patience, **params)
+    losses = loss_by_iteration(model, validation, target)
+    best = min(range(len(losses)), key=lambda i: losses[i])
+    rows = [(i + 1, float(v), i == best) for i, v in enumerate(losses)]
+    log = validation.sparkSession.createDataFrame(rows, "step int, val_loss double, best boolean")
+    return truncated(model, best + 1), log
+
+
 # -- JSON requests -----------------------------------------------------------
 
 REQUEST = "inputs array<struct<name string, shape array<int>, datatype string, data string>>"
@@ -180,6 +223,31 @@ def request_rows(decoded: DataFrame, request_id: str = "request_id") -> DataFram
     ).select(request_id, "pos", "entity.*")
 
 
+def entity_rows(
+    df: DataFrame, payload: str = "payload", request_id: str = "request_id", keys: dict[str, str] | None = None
+) -> DataFrame:
+    """One row per requested entity, each with an error of its own: (request_id, pos, keys…, error).
+
+    Payloads are parsed as VARIANT, so an entity without usable keys gets an error and its
+    neighbours stay as they are. A payload that is no JSON, or has no entities, gives one row
+    without a place. ``data`` may be an array or the text of one.
+    """
+    keys = keys or KEYS
+    parsed = F.try_parse_json(payload)
+    inputs = F.try_variant_get(parsed, "$.inputs", "array<variant>")
+    named = F.filter(inputs, lambda i: F.try_variant_get(i, "$.name", "string") == "entities")
+    data = F.try_variant_get(F.try_element_at(named, F.lit(-1)), "$.data", "variant")
+    text = F.try_parse_json(F.try_variant_get(data, "$", "string"))
+    rows = F.coalesce(F.try_variant_get(data, "$", "array<variant>"), F.try_variant_get(text, "$", "array<variant>"))
+    each = df.select(request_id, F.posexplode_outer(rows).alias("pos", "entity"))
+    got = each.withColumns({k: F.try_variant_get("entity", f"$.{k}", t) for k, t in keys.items()})
+    lacking = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]))
+    error = F.when(F.col("pos").isNull(), F.lit("request holds no rows of entities")).when(
+        F.size(lacking) > 0, F.concat(F.lit("no usable "), F.array_join(lacking, ", "))
+    )
+    return got.select(request_id, "pos", *keys, error.alias("error"))
+
+
 def feature_rows(decoded: DataFrame, columns: Sequence[str], request_id: str = "request_id") -> DataFrame:
     """One row per supplied feature array, as named columns; short arrays give NULL."""
     return decoded.where(F.col("error").isNull()).select(
