@@ -140,7 +140,7 @@ def show(names, digits: int = 4) -> str:
     return ", ".join(f"round({n}, {digits}) AS {n}" if n in DOUBLES else n for n in names)
 
 
-def query(body: str, *blocks: str) -> str:
+def query(body: str, *blocks: str, once: tuple[str, ...] = ()) -> str:
     """Prefix ``body`` with the blocks it uses and the blocks those use."""
     order: list[str] = []
 
@@ -152,7 +152,8 @@ def query(body: str, *blocks: str) -> str:
 
     for b in blocks:
         add(b)
-    head = ",\n".join(f"{b} AS ({BLOCKS[b]})" for b in order)
+    # The blocks that a query names itself are computed once, however often it reads them.
+    head = ",\n".join(f"{b} AS {'MATERIALIZED ' if b in once else ''}({BLOCKS[b]})" for b in order)
     return f"WITH {head}\n{body}" if head else body
 
 
@@ -253,16 +254,17 @@ PREPARED = f"""SELECT *, CASE WHEN row_number() OVER (ORDER BY event_timestamp,
     FROM (SELECT store_id, dept_id, event_timestamp, weekly_sales, ln(1 + weekly_sales) AS y,
       {', '.join(f'coalesce({n}, 0) AS {n}' for n in [*SALES[1:], 'store_size'])}
     FROM ({TRAINING}) WHERE weekly_sales IS NOT NULL)"""
+BLOCKS["stats"] = f"SELECT {', '.join(f'avg({n}) AS m_{n}, stddev_pop({n}) AS s_{n}' for n in SALES)} FROM features"
 MATRIX = [*SALES[1:], "store_size"]
 TRAIN_STATS = ", ".join(
     f"avg({n}) AS m_{n}, stddev_pop({n}) AS s_{n}" for n in [*MATRIX, "y"]
 )
 # Least squares of the log target on one feature; scaling both does not change predictions.
 # Scoring takes features as 32 bit floats.
-ONE_FEATURE = f"""p AS ({PREPARED}),
-fit AS (SELECT regr_slope(y, rolling_mean_4w) AS b, regr_intercept(y, rolling_mean_4w) AS a,
+ONE_FEATURE = f"""p AS MATERIALIZED ({PREPARED}),
+fit AS MATERIALIZED (SELECT regr_slope(y, rolling_mean_4w) AS b, regr_intercept(y, rolling_mean_4w) AS a,
     avg(y) AS m_y, stddev_pop(y) AS s_y FROM p WHERE split = 'train'),
-scored AS (SELECT p.*, m_y, s_y, a + b * rolling_mean_4w::FLOAT::DOUBLE AS guess FROM p, fit)"""
+scored AS (SELECT p.*, m_y, s_y, a + b * rolling_mean_4w::FLOAT::DOUBLE AS guess FROM p JOIN fit ON true)"""
 
 
 REQUESTED = """SELECT floor(pos / 16)::BIGINT AS request_id, pos % 16 AS pos, a.store_id,
@@ -442,9 +444,8 @@ ORACLE = {
     ),
     "scaled_features": query(
         f"""SELECT store_id, dept_id, event_timestamp, {', '.join(standardized(n, 'f.') for n in SALES)}
-        FROM features f, (SELECT {', '.join(f'avg({n}) AS m_{n}, stddev_pop({n}) AS s_{n}' for n in SALES)}
-        FROM features)""",
-        "features",
+        FROM features f JOIN stats ON true""",
+        "features", "stats", once=("features", "stats"),
     ),
     "training_matrix": query(
         f"""SELECT p.store_id, p.dept_id, p.event_timestamp, p.weekly_sales, p.split,
