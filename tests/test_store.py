@@ -298,3 +298,27 @@ def test_a_broken_write_is_not_a_cached_table(spark):
     spark.range(3).write.parquet(f"{path}/_temporary/0")
     assert cached_table(spark, path, lambda: spark.range(5)).count() == 5
     assert cached_table(spark, path, lambda: 1 / 0).count() == 5
+
+
+def test_few_keys_skip_most_of_an_online_table(spark):
+    path = fresh_path(spark, "online")
+    assert online.write_online(spark.range(600_000).select((F.col("id") * 7).alias("k"), F.col("id").alias("x")), path, ["k"]) == 600_000
+    table = online.read_online(spark, path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def scanned(asked):
+            got = online.lookup(asked, table, ["k"], ["x"], strategy="buckets")
+            rows = {r["k"]: r["x"] for r in got.collect()}
+            leaves, n = got._jdf.queryExecution().executedPlan().collectLeaves(), 0
+            for i in range(leaves.size()):
+                if "key_bucket" in leaves.apply(i).toString():
+                    n += leaves.apply(i).metrics().apply("numOutputRows").value()
+            return rows, n
+
+        few, n_few = scanned(spark.createDataFrame([(7,), (70,), (1,)], "k bigint"))
+        assert few == {7: 1, 70: 10, 1: None} and 0 < n_few < 100_000
+        keys = [(7 * i,) for i in range(0, 600_000, 2000)]
+        many, n_many = scanned(spark.createDataFrame(keys, "k bigint"))
+        assert many == {k: k // 7 for (k,) in keys} and n_many == 600_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

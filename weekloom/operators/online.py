@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,8 @@ BUCKETS, BUCKET = "key_buckets", "key_bucket"
 BUCKET_FIELDS = (T.StructField(BUCKETS, T.IntegerType()), T.StructField(BUCKET, T.IntegerType()))
 MIN_BUCKETS = 16
 ROWS_PER_BUCKET = 2_000_000
-MAX_ASKED = 100_000
+ROW_GROUP_BYTES = 16 << 20
+MAX_NAMED = 200
 
 
 def latest(
@@ -67,7 +68,7 @@ def write_online(
         df = stored(df, "online-rows")
         rows = df.count()
     buckets = max(MIN_BUCKETS, -(-rows // rows_per_bucket))
-    _bucketed(df, keys, buckets).write.partitionBy(BUCKETS, BUCKET).parquet(path)
+    _writer(df, keys, buckets, rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the footers
 
 
@@ -76,6 +77,16 @@ def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return placed.repartitionById(buckets, BUCKET).sortWithinPartitions(BUCKET, *keys)
 
 
+def _writer(df: DataFrame, keys: Sequence[str], buckets: int, rows: int) -> DataFrameWriter:
+    """Sorted buckets in small row groups with Bloom filters on the keys: a read of few keys skips most."""
+    writer = _bucketed(df, keys, buckets).write.partitionBy(BUCKETS, BUCKET).option("parquet.block.size", ROW_GROUP_BYTES)
+    for k in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{k}", str(max(1, rows // buckets))
+        )
+    return writer
+
+
 def stage_upsert(current: DataFrame, fresh: DataFrame, keys: Sequence[str], ts: str) -> tuple[str, int]:
     """Write the new content of the buckets that ``fresh`` touches; (path, rows of ``fresh``).
 
@@ -100,8 +111,8 @@ def apply_upsert(staged: DataFrame, path: str, keys: Sequence[str]) -> None:
     known = staged.select(BUCKETS).first()
     if known is None:
         return
-    placed = _bucketed(staged.drop(BUCKETS, BUCKET), keys, known[0])
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKETS, BUCKET).parquet(path)
+    writer = _writer(staged.drop(BUCKETS, BUCKET), keys, known[0], staged.count())
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_online(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -123,9 +134,9 @@ def lookup(
     """Add the online columns to every request; unknown keys get NULL.
 
     ``join``, for any number of requests: an equi join on the keys that sends hot request
-    keys around the shuffle. ``buckets``, for a few: only their key buckets are read, and a
-    broadcast of their keys filters the scan, so the online table never shuffles; more than
-    MAX_ASKED distinct keys are an error.
+    keys around the shuffle. ``buckets``, for requests that touch a part of the table: only their
+    key buckets are read, of which Spark joins the asked keys by their measured size; up to
+    ``MAX_NAMED`` keys are named in the scan, which skips row groups and pages without them.
     """
     keys = list(keys)
     wanted = online.select(*keys, *columns)
@@ -134,13 +145,26 @@ def lookup(
     if strategy != "buckets":
         raise ValueError(f"unknown strategy {strategy!r}")
     asked = durable(requests.select(*keys).distinct())
-    if asked.count() > MAX_ASKED:
-        raise ValueError(f"more than {MAX_ASKED} keys: use strategy='join'")
     if BUCKET in online.columns:
         known = online.select(BUCKETS).first()
         number = key_bucket(keys, known[0] if known else 1)
-        # At most MAX_ASKED bucket numbers come to the driver.
+        # At most one number a bucket comes to the driver.
         hit = [r[0] for r in asked.select(number).distinct().collect()]
         wanted = online.where(F.col(BUCKET).isin(hit)).select(*keys, *columns)
-    hits = wanted.join(F.broadcast(asked), keys, "left_semi")
-    return requests.join(F.broadcast(hits), keys, "left")
+    few = asked.limit(MAX_NAMED + 1).collect()
+    if len(few) <= MAX_NAMED:  # at most so many rows are sent
+        hits = F.broadcast(wanted.where(_any_of(few, keys, wanted.schema)))
+    else:
+        hits = wanted.join(asked, keys, "left_semi")
+    return requests.join(hits, keys, "left")
+
+
+def _any_of(rows: Sequence[Row], keys: Sequence[str], schema: T.StructType) -> Column:
+    """Rows with one of these keys, as a filter that reaches the row groups of the scan."""
+    found = F.lit(False)
+    for row in rows:
+        same = F.lit(True)
+        for k in keys:
+            same = same & (F.col(k) == typed(row[k], schema[k].dataType))
+        found = found | same
+    return found
