@@ -435,16 +435,47 @@ def brute_search(rows, k):
     return out
 
 
-def test_multi_index(spark):
-    table = queries.table(spark, "/root/testdata/sf0.1", "embeddings")
-    want = brute_search([(r["vec_id"], r["embedding"]) for r in table.collect()], 20)
+def recall(got, want):
+    shared = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    return shared / sum(map(len, want.values()))
+
+
+def found_by(rows):
     got = {}
-    for r in multiindex.search(table, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+    for r in rows.orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    assert set(got) == set(want)
-    shared = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
-    assert shared >= 0.9 * sum(map(len, want.values()))
-    assert all(len(got[q]) == len(want[q]) for q in want)
+    return got
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_multi_index(spark, scale):
+    table = queries.table(spark, f"/root/testdata/{scale}", "embeddings")
+    want = brute_search([(r["vec_id"], r["embedding"]) for r in table.collect()], 20)
+    got = found_by(queries.op8_multi_index(spark, f"/root/testdata/{scale}"))
+    assert set(got) == set(want) and all(len(got[q]) == len(want[q]) for q in want)
+    assert 0.9 <= recall(got, want) < 1
+
+
+def test_multi_index_of_clustered_vectors_reads_a_small_share(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(200, 32))
+    rows = [(i, (centres[i % 200] + 0.15 * rng.normal(size=32)).tolist()) for i in range(6000)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = {q: v for q, v in brute_search([r for r in rows], 20).items()}
+    got = found_by(multiindex.search(table, F.col("vec_id") % 20 == 0, 20, share=0.03, chunk=256))
+    assert recall(got, want) >= 0.9
+
+
+def test_only_the_cells_of_the_walk_are_read(spark):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(3000, 8))
+    books = multiindex.kmeans(rows[:, :4], 32), multiindex.kmeans(rows[:, 4:], 32)
+    cell = multiindex.nearest(rows[:, :4], books[0]) * 32 + multiindex.nearest(rows[:, 4:], books[1])
+    sizes = np.bincount(cell, minlength=1024)
+    read = [sizes[multiindex.cells_for(q, books, sizes, 600)].sum() for q in rows[:50]]
+    assert min(read) >= 600 and max(read) <= 600 + sizes.max()
+    tiles, parts = multiindex.tiled(np.array([3, 0, 500, 4, 90, 20, 1]), 100)
+    assert parts.tolist() == [1, 1, 5, 1, 1, 1, 1] and tiles.tolist() == [0, 0, 2, 0, 0, 0, 1]
 
 
 def test_multi_index_of_awkward_vectors(spark):
