@@ -1,6 +1,6 @@
 """URL filter by a Bloom filter cascade: exact membership without a join.
 
-Keys are the hosts of all pages (the universe), some of them listed. Level 1 is a Bloom
+Keys are the addresses of all pages (the universe), some of them listed. Level 1 is a Bloom
 filter of the listed keys. Level 2 holds the unlisted keys that level 1 lets through, level 3
 the listed ones that level 2 lets through, and so on until none is left over. A key's level
 of first absence then tells exactly whether it is listed, for every key of the universe.
@@ -8,8 +8,8 @@ of first absence then tells exactly whether it is listed, for every key of the u
 The universe is one table of distinct keys in the shared folder; levels are built by counting
 bits there, and only the filters themselves reach the driver. Their size is known before they
 are built, about 1.44 log2(keys / listed) bits for each listed key, and a cascade over
-``MAX_BYTES`` is refused. Pages are read once more and judged where they are; a host with a
-third of all pages is no heavier than another.
+``MAX_BYTES`` is refused. Pages are read once more and judged where they are; a host or an
+address with a third of all pages is no heavier than another.
 
 Rules (host, path, verdict) come first: a rule fits its host and all subdomains if the path
 starts with the rule's; the longest wins. Rules are code-sized literals.
@@ -18,7 +18,7 @@ starts with the rule's; the longest wins. Rules are code-sized literals.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -156,23 +156,25 @@ def _depth(sent):
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[Rule], listed_domains: Sequence[str], url: str = "url",
+    pages: DataFrame, rules: Sequence[Rule], is_listed: Callable[[Column], Column], url: str = "url",
     max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """Every row with host, path, rule, listed and verdict.
 
-    ``verdict`` is the rule's, else block for a listed host and allow for any other. A NULL
-    url, or one without ``://``, has an empty host and path, is under no rule and not listed.
-    Input columns of these names give way.
+    The universe are the distinct addresses, host and path in one. ``is_listed`` tells of each
+    whether the cascade is to encode it as listed; pages are then judged by the filters alone.
+
+    ``verdict`` is the rule's, else block for a listed address and allow for any other. A NULL
+    url, or one without ``://``, has an empty host and path and is under no rule.
+    Repeated rows give equal rows, a table without rows gives none. Input columns of these names
+    give way.
     """
     pages = pages.drop("host", "path", "rule", "listed", "verdict", "by_rule")
     link = F.coalesce(F.col(url).cast("string"), F.lit(""))
     found = pages.withColumns({"host": host_of(link), "path": path_of(link)})
-    bad = F.lit(False)
-    for domain in listed_domains:
-        bad = bad | in_domain(F.col("host"), domain)
-    universe = found.select("host").distinct()
-    cascade = build(universe.select(*both_hashes(F.col("host")), bad.alias("listed")), max_bytes)
+    bad = F.coalesce(is_listed(F.col("__key")), F.lit(False))
+    universe = found.select(F.concat("host", "path").alias("__key")).distinct()
+    cascade = build(universe.select(*both_hashes(F.col("__key")), bad.alias("listed")), max_bytes)
     sent = pages.sparkSession.sparkContext.broadcast(cascade)
 
     @F.pandas_udf("boolean")
@@ -180,6 +182,6 @@ def judge(
         return pd.Series(sent.value.listed(h1.to_numpy(), h2.to_numpy()))
 
     name, verdict = longest_rule(rules)
-    judged = found.withColumns({"rule": name, "listed": listed(*both_hashes(F.col("host"))), "by_rule": verdict})
+    judged = found.withColumns({"rule": name, "listed": listed(*both_hashes(F.concat("host", "path"))), "by_rule": verdict})
     fallback = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.withColumn("verdict", F.coalesce("by_rule", fallback)).drop("by_rule")

@@ -5,14 +5,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import backoff, bpe, cascade, convtrie, decontam, divergence, kdshard, langid, linedup, multiindex, repeats, simhash, triecount
 
 SHARDS = 24
 
-# The rules (host, path, verdict), and the hosts listed as bad.
+# The rules (host, path, verdict).
 RULES = (
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -20,7 +20,13 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-LISTED = ("spam-farm.example.org", "cheap-pills.example.com")
+# The listed share of all addresses: those whose MD5 begins with one of these digits (one in eight).
+LISTED = "01"
+
+
+def listed_address(address: Column) -> Column:
+    """A list that grows with the addresses and has no pattern a filter could use."""
+    return F.substring(F.md5(address), 1, 1).isin(*LISTED)
 
 
 def reachable(spark: SparkSession) -> None:
@@ -64,7 +70,7 @@ def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return cascade.judge(pages, RULES, LISTED).select("page_id", "host", "path", "rule", "verdict")
+    return cascade.judge(pages, RULES, listed_address).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,9 +175,7 @@ r(d, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), (
 m AS (
   SELECT page_id, arg_max(d || p, length(d || p)) AS rule, arg_max(v, length(d || p)) AS v
   FROM h JOIN r ON (host = d OR ends_with(host, '.' || d)) AND starts_with(path, p) GROUP BY page_id)
-SELECT page_id, host, path, rule, coalesce(v, CASE
-    WHEN host = 'spam-farm.example.org' OR ends_with(host, '.spam-farm.example.org')
-      OR host = 'cheap-pills.example.com' OR ends_with(host, '.cheap-pills.example.com') THEN 'block' ELSE 'allow' END) AS verdict
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN md5(host || path)[1] IN ('0', '1') THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN m USING (page_id)""",
     "op5_backoff_scores": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),

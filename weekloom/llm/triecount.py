@@ -32,7 +32,8 @@ from .text import pieces, raw_texts
 MARK = "▁".encode()
 LONG = 64
 INPUT_BYTES = 8 << 20
-# A value holds a score and, below it, minus the number of tokens, so that sums keep both.
+# A value holds a score and, below it, minus the number of tokens, so that sums keep both. It
+# holds pre-tokens of up to ``LONG`` bytes; longer ones keep the two apart.
 SHIFT = 24
 
 
@@ -42,7 +43,8 @@ class Pieces:
     def __init__(self, scores: dict[bytes, int]) -> None:
         """``scores``: whole numbers; use scaled ones if a model's are fractions."""
         self.fallback = (min(scores.values(), default=0) - 1 << SHIFT) - 1
-        self.values = {p: (s << SHIFT) - 1 for p, s in scores.items() if p}
+        self.scores = {p: s for p, s in scores.items() if p}
+        self.values = {p: (s << SHIFT) - 1 for p, s in self.scores.items()}
         self.longest = max(map(len, self.values), default=1)
         states, edges, ends = {b"": 0}, [], [None]
         for piece in sorted(self.values):
@@ -70,18 +72,22 @@ def tokens_of(value):
 
 
 def alone(word: bytes, model: Pieces) -> int:
-    """Token count of one pre-token, keeping as many forward values as a piece has bytes."""
-    known = [0]
+    """Token count of one pre-token, keeping as many forward values as a piece has bytes.
+
+    Score and count are kept apart here: a long pre-token may have more tokens than ``SHIFT`` bits.
+    """
+    known = [(0, 0)]
+    fallback = model.fallback + 1 >> SHIFT
     for end in range(1, len(word) + 1):
-        value = known[-1] + model.fallback
+        value = (known[-1][0] + fallback, known[-1][1] - 1)
         for size in range(1, min(model.longest, end) + 1):
-            piece = model.values.get(word[end - size : end])
-            if piece is not None and known[-size] + piece > value:
-                value = known[-size] + piece
+            piece = model.scores.get(word[end - size : end])
+            if piece is not None:
+                value = max(value, (known[-size][0] + piece, known[-size][1] - 1))
         known.append(value)
         if len(known) > model.longest:
             del known[0]
-    return tokens_of(known[-1])
+    return -known[-1][1]
 
 
 def counts(words: list[bytes], model: Pieces) -> np.ndarray:
