@@ -473,7 +473,7 @@ def test_multi_index_of_clustered_vectors_reads_a_small_share(spark):
     rows = [(i, (centres[i % 200] + 0.15 * rng.normal(size=32)).tolist()) for i in range(6000)]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     want = {q: v for q, v in brute_search([r for r in rows], 20).items()}
-    got = found_by(multiindex.search(table, F.col("vec_id") % 20 == 0, 20, share=0.03, chunk=256))
+    got = found_by(multiindex.search(table, F.col("vec_id") % 20 == 0, 20, share=0.03, tiles=5, block=100))
     assert recall(got, want) >= 0.9
 
 
@@ -499,7 +499,7 @@ def test_multi_index_of_awkward_vectors(spark):
     usable = [(i, np.float32(v).astype(float).tolist()) for i, v in rows if v and len(v) == 6 and None not in v]
     want = brute_search(usable, 20)
     got = {}
-    for r in multiindex.search(vectors, F.col("vec_id") % 20 == 0, 20, share=1.0, chunk=16).orderBy("query_id", "rank").collect():
+    for r in multiindex.search(vectors, F.col("vec_id") % 20 == 0, 20, share=1.0, tiles=30, block=7).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     assert got == want
     assert multiindex.search(vectors.limit(0), F.col("vec_id") % 20 == 0).isEmpty()

@@ -10,11 +10,13 @@ against brute force in the tests and stated in the README.
 Codebooks grow with the cube root of the table up to ``MAX_CODES`` and are fitted on a sample of
 at most ``SAMPLE`` vectors; the index holds every vector. The sizes of the cells, at most
 MAX_CODES ** 2 numbers, are all that is sent to the tasks beside the codebooks. Neighbouring
-cells make a tile of about ``chunk`` vectors; a cell with more, such as one with many copies of
-a vector, is dealt in parts to several tiles. A query goes once to each tile that holds some of
-its cells, with their list. A task holds one tile and streams queries past it, so no cell is held
-whole, and nothing is cut off. Work grows with queries times share: it is a search of the
-stated part of the table for each query, not of a number of entries fixed for all tables.
+cells make one of about ``TILES`` tiles of equal size; a larger cell, such as one with many
+copies of a vector, is dealt in parts to several tiles. Queries are dealt to blocks of about
+``BLOCK`` and go to each tile that holds some of their cells, with one bit a cell. A task holds
+the queries of one block and streams the entries of one tile past them, cell by cell, so its
+memory grows with neither; entries go to every block. It sends on the best of each query, a
+number of rows in proportion to the queries. Work grows with queries times share: it is a search
+of the stated part of the table for each query, not of a number of entries fixed for all tables.
 
 Vectors that are NULL, zero, of another length than most, or that hold a NULL or a number
 that is not finite take no part, nor do rows without an id. Rows that share an id count once.
@@ -37,8 +39,10 @@ from ..session import stored
 MIN_CODES, MAX_CODES = 16, 128
 SAMPLE = 16_384
 SHARE = 0.5
-CHUNK = 2_048
+TILES = 16
+BLOCK = 4_096
 QUERIES = 256
+HELD = 200_000  # candidates kept before they are cut down to the best
 
 
 def valid(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -79,7 +83,10 @@ def codes_for(total: int) -> int:
 
 
 def tiled(sizes: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each cell's first tile and how many tiles it has; small neighbouring cells share one."""
+    """Each cell's first tile and how many tiles it has; small neighbouring cells share one.
+
+    Tiles of large cells come last, so a tile's cells are neighbours among the small ones.
+    """
     parts = np.maximum(1, -(-sizes // chunk))
     small = parts == 1
     before = np.cumsum(np.where(small, sizes, 0)) - np.where(small, sizes, 0)
@@ -116,58 +123,93 @@ def cells_for(query: np.ndarray, books, sizes: np.ndarray, wanted: int) -> list[
     return out
 
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` greatest scores, ties by smaller id."""
-    return np.lexsort((ids, -scores))[:k]
-
+class Best:
+    """The ``k`` best answers of each query so far, and the score below which none can come in."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.floor = k, np.full(queries, -np.inf)
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.held.append((query, ids, scores))
+        self.size += len(query)
+        if self.size > HELD + 2 * self.k * len(self.floor):
+            self.cut()
+
+    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keep the best, ties by smaller id."""
+        if not self.held:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        query, ids, scores = (np.concatenate(c) for c in zip(*self.held))
+        order = np.lexsort((ids, -scores, query))
+        query, ids, scores = query[order], ids[order], scores[order]
+        n = np.bincount(query, minlength=len(self.floor))
+        place = np.arange(len(query)) - np.repeat(np.cumsum(n) - n, n)
+        last = place == self.k - 1
+        self.floor[query[last]] = scores[last]
+        keep = place < self.k
+        self.held = [(query[keep], ids[keep], scores[keep])]
+        self.size = int(keep.sum())
+        return self.held[0]
+
+
+def _rerank(k: int, lows: np.ndarray):
+    """Best ``k`` of each query of a (tile, block). Rows come by these, queries before entries.
+
+    ``lows``: each tile's first cell, from which the bits of ``cells`` count.
+    """
 
-def _rerank(k: int):
-    """Best ``k`` of each (query, tile). Rows come by tile, entries before queries."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, names, vectors, wants, found = None, [], [], [], None
 
-    def nearest_of(ids, vectors, q, qv):
-        rough = vectors @ qv
-        # The matrix product may round otherwise than the exact measure: look a little below its
-        # k-th value, then measure what is left one vector at a time.
-        at = np.flatnonzero(ids != q)
-        if len(at) > k:
-            floor = np.partition(rough[at], -k)[-k] - 1e-9 * (1 + np.abs(rough).max())
-            at = at[rough[at] >= floor]
-        exact = (vectors[at] * qv).sum(axis=1)
-        top = best(exact, ids[at], k)
-        return ids[at][top], exact[top]
+        def answers() -> Iterator[pa.RecordBatch]:
+            if found is not None:
+                query, ids, scores = found.cut()
+                if len(query):
+                    yield pa.RecordBatch.from_arrays([pa.array(names[query]), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_tile, ids, cells, vectors = None, np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros((0, 0))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tile, row_ids = batch.column("tile").to_numpy(), batch.column("id").to_numpy()
-            kind, lists = batch.column("query").to_numpy(zero_copy_only=False), batch.column("cells")
-            begin, listed = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy()
-            all_vectors = matrix(batch.column("v"))
-            edge = np.flatnonzero(tile[1:] != tile[:-1]) + 1
-            out = []
+            tile, block = batch.column("tile").to_numpy(), batch.column("block").to_numpy()
+            ids, cell = batch.column("id").to_numpy(), batch.column("cell").to_numpy()
+            every = matrix(batch.column("v"))
+            edge = np.flatnonzero((tile[1:] != tile[:-1]) | (block[1:] != block[:-1])) + 1
             for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(tile)]):
-                entries, asks = np.flatnonzero(~kind[a:b]) + a, np.flatnonzero(kind[a:b]) + a
-                if tile[a] != held_tile:
-                    held_tile, ids, cells, vectors = tile[a], row_ids[entries], listed[begin[entries]], all_vectors[entries]
-                elif len(entries):
-                    ids, cells = np.concatenate([ids, row_ids[entries]]), np.concatenate([cells, listed[begin[entries]]])
-                    vectors = np.concatenate([vectors, all_vectors[entries]])
-                for i in asks.tolist():
-                    mine = np.flatnonzero(np.isin(cells, listed[begin[i] : begin[i + 1]]))
-                    if len(mine):
-                        found, scores = nearest_of(ids[mine], vectors[mine], row_ids[i], all_vectors[i])
-                        out.append((np.full(len(found), row_ids[i]), found, scores))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "vec_id", "score"])
+                if (tile[a], block[a]) != key:
+                    yield from answers()
+                    key, names, vectors, wants, found = (tile[a], block[a]), [], [], [], None
+                asks = a + int(np.searchsorted(cell[a:b], 0))  # queries have the cell -1
+                if asks > a:
+                    names.append(ids[a:asks])
+                    vectors.append(every[a:asks])
+                    wants += [np.unpackbits(np.frombuffer(w, np.uint8)) for w in batch.column("cells").slice(a, asks - a).to_pylist()]
+                if asks == b or not len(wants):
+                    continue
+                if found is None:
+                    names, vectors, want = np.concatenate(names), np.concatenate(vectors), np.stack(wants).astype(bool)
+                    found = Best(len(names), k)
+                inner = np.flatnonzero(cell[asks + 1 : b] != cell[asks : b - 1]) + asks + 1
+                for c, d in zip([asks, *inner.tolist()], [*inner.tolist(), b]):
+                    who = np.flatnonzero(want[:, cell[c] - lows[key[0]]])
+                    for i in range(0, len(who), QUERIES):
+                        some = who[i : i + QUERIES]
+                        rough = vectors[some] @ every[c:d].T
+                        # The product may round otherwise than the exact measure: look a little lower.
+                        near = rough >= (found.floor[some] - 1e-9 * (1 + np.abs(rough).max()))[:, None]
+                        q, e = np.nonzero(near & (names[some][:, None] != ids[None, c:d]))
+                        if len(q):
+                            exact = (every[c + e] * vectors[some[q]]).sum(axis=1)
+                            found.add(some[q], ids[c + e], exact)
+        yield from answers()
 
     return rows
 
 
 def search(
     vectors: DataFrame, is_query: Column, k: int = 20, codes: int | None = None, share: float = SHARE,
-    chunk: int = CHUNK, key: str = "vec_id", column: str = "embedding",
+    tiles: int = TILES, block: int = BLOCK, key: str = "vec_id", column: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its ``k`` nearest found, itself left out.
 
@@ -205,41 +247,48 @@ def search(
     sizes = np.zeros(len(books[0]) * len(books[1]), np.int64)
     for r in counted:
         sizes[r["cell"]] = r["count"]
-    tiles, parts = tiled(sizes, chunk)
+    first, parts = tiled(sizes, -(-total // tiles))
+    last = first + parts - 1
+    numbers = np.arange(int(last.max()) + 1)
+    lows = np.array([np.flatnonzero((first <= t) & (t <= last))[0] for t in numbers])
+    highs = np.array([np.flatnonzero((first <= t) & (t <= last))[-1] for t in numbers])
     wanted = max(k + 1, int(np.ceil(share * total)))
-    plan = spark.sparkContext.broadcast((books, sizes, tiles, parts))
+    plan = spark.sparkContext.broadcast((books, sizes, first, parts, lows, highs))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books, sizes, tiles, parts = plan.value
+        books, sizes, first, parts, lows, highs = plan.value
         for batch in batches:
             for start in range(0, batch.num_rows, QUERIES):
                 piece = batch.slice(start, QUERIES)
-                row, tile, cells = [], [], []
+                row, tile, bits = [], [], []
                 for i, q in enumerate(matrix(piece.column("v"))):
-                    cell = np.array(cells_for(q, books, sizes, wanted), np.int32)
-                    n = parts[cell]
-                    every = np.repeat(tiles[cell], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    cell = np.repeat(cell, n)
-                    order = np.argsort(every, kind="stable")
-                    here, first = np.unique(every[order], return_index=True)
-                    row += [i] * len(here)
-                    tile += here.tolist()
-                    cells += np.split(cell[order], first[1:])
+                    cells = np.array(cells_for(q, books, sizes, wanted))
+                    chosen = np.zeros(len(sizes), bool)
+                    chosen[cells] = True
+                    n = parts[cells]
+                    every = np.repeat(first[cells], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    for t in np.unique(every).tolist():
+                        row.append(i)
+                        tile.append(t)
+                        bits.append(np.packbits(chosen[lows[t] : highs[t] + 1]).tobytes())
                 take = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tile, pa.int32()), pa.array(cells, pa.list_(pa.int32())), piece.column("id").take(take), piece.column("v").take(take)],
+                    [pa.array(tile, pa.int32()), pa.array(bits, pa.binary()), piece.column("id").take(take), piece.column("v").take(take)],
                     names=["tile", "cells", "id", "v"],
                 )
 
-    queries = rows.withColumnRenamed("id", key).where(is_query).withColumnRenamed(key, "id")
-    asked = queries.mapInArrow(ask, "tile int, cells array<int>, id bigint, v array<double>")
-    where = pd.DataFrame({"cell": np.arange(len(parts), dtype=np.int32), "first": tiles, "parts": parts})
+    queries = stored(rows.withColumnRenamed("id", key).where(is_query).withColumnRenamed(key, "id"), "queries")
+    blocks = max(1, -(-queries.count() // block))
+    asked = queries.mapInArrow(ask, "tile int, cells binary, id bigint, v array<double>").select(
+        "tile", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(-1).alias("cell"), "cells", "id", "v"
+    )
+    where = pd.DataFrame({"cell": np.arange(len(parts), dtype=np.int32), "first": first, "parts": parts})
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     entries = index.join(F.broadcast(spark.createDataFrame(where)), "cell").select(
-        (F.col("first") + part).alias("tile"), F.array("cell").alias("cells"), F.lit(False).alias("query"), "id", "v"
+        (F.col("first") + part).alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "cell",
+        F.lit(None).cast("binary").alias("cells"), "id", "v",
     )
-    both = entries.unionByName(asked.withColumn("query", F.lit(True)))
-    dealt = both.repartition("tile").sortWithinPartitions("tile", "query")
-    found = dealt.mapInArrow(_rerank(k), "query_id bigint, vec_id bigint, score double")
+    dealt = asked.unionByName(entries).repartition("tile", "block").sortWithinPartitions("tile", "block", "cell")
+    found = dealt.mapInArrow(_rerank(k, lows), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
