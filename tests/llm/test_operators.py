@@ -162,6 +162,23 @@ def test_substring_dedup(awkward, n, base):
             assert (r["n_words"], r["n_removed"], r["kept_text"]) == want[r["doc_id"]]
 
 
+def test_substring_dedup_of_rows_that_share_an_id(spark):
+    copy = " ".join(f"w{i}" for i in range(30))
+    rows = [(2, f"{copy} and more of it"), (2, "short text here"), (2, "short text here"), (3, f"x {copy}"), (2, f"y {copy} {copy}"), (1, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r["doc_id"], r["text"]): r["kept_text"] for r in repeats.without_repeats(docs, 20).collect()}
+    assert repeats.without_repeats(docs, 20).count() == len(rows)
+    hashes = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, want = {}, {}
+    for doc, text in sorted(set(rows), key=lambda r: (r[0], hashes[r[1]])):
+        w, gone = text.split(), set()
+        for i in range(len(w) - 19):
+            if seen.setdefault(tuple(w[i : i + 20]), (doc, text, i)) != (doc, text, i):
+                gone.update(range(i, i + 20))
+        want[doc, text] = " ".join(x for i, x in enumerate(w) if i not in gone)
+    assert got == want
+
+
 def test_substring_dedup_without_rows(empty):
     assert repeats.without_repeats(empty).isEmpty()
 

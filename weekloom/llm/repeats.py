@@ -77,6 +77,7 @@ def _places(words: int, length: int, before: int | None):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             ids = longs(batch, "__doc")
+            copies = longs(batch, "__row") if "__row" in batch.schema.names else None
             h, counts = word_hashes([t.split() for t in raw_texts(batch)])
             if len(h) < words:
                 continue
@@ -97,16 +98,17 @@ def _places(words: int, length: int, before: int | None):
             doc = owner[at]
             place = at - firsts[doc]
             # By id and place, so that the first of each run is its earliest here.
-            order = np.lexsort((place, ids[doc], other, key))
+            rank = np.arange(len(ids)) * 0 if copies is None else copies
+            order = np.lexsort((place, rank[doc], ids[doc], other, key))
             k, o = key[order], other[order]
             new = np.ones(len(order), bool)
             new[1:] = (k[1:] != k[:-1]) | (o[1:] != o[:-1])
             if last:  # a row that repeats its document is not an earlier start
                 same = np.zeros(len(order), bool)
-                d, p = ids[doc[order]], place[order]
+                d, r, p = ids[doc[order]], rank[doc[order]], place[order]
                 group = np.cumsum(new) - 1
                 head = np.flatnonzero(new)
-                same = (d == d[head][group]) & (p == p[head][group])
+                same = (d == d[head][group]) & (r == r[head][group]) & (p == p[head][group])
             head = order[new]
             times = np.diff(np.append(np.flatnonzero(new), len(order)))
             later = np.sort(order[~new & ~same] if last else order[~new])
@@ -116,16 +118,19 @@ def _places(words: int, length: int, before: int | None):
             extra = other[head].view(np.uint32)[::2].view(np.int32) if last else times.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(key[head])), pa.array(extra), pa.array(ids[doc[head]]),
-                 pa.array(place[head].astype(np.int32)), pa.nulls(len(head), pa.list_(pa.int32()))],
-                names=NAMES,
+                 pa.array(place[head].astype(np.int32)), pa.nulls(len(head), pa.list_(pa.int32())),
+                 *([] if copies is None else [pa.array(copies[doc[head]])])],
+                names=NAMES if copies is None else [*NAMES, "__row"],
             )
             if len(later):
-                own, places, offsets = _packed(ids, doc[later], place[later].astype(np.int32))
+                text, places, offsets = _packed(np.arange(len(ids)), doc[later], place[later].astype(np.int32))
+                own = ids[text]
                 salt = signed(mixed(own.astype(np.uint64) ^ SECOND))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(salt), pa.array(np.full(len(own), 2, np.int32)), pa.array(own),
-                     pa.nulls(len(own), pa.int32()), lists(places, offsets)],
-                    names=NAMES,
+                     pa.nulls(len(own), pa.int32()), lists(places, offsets),
+                     *([] if copies is None else [pa.array(copies[text])])],
+                    names=NAMES if copies is None else [*NAMES, "__row"],
                 )
 
     return rows
@@ -136,32 +141,47 @@ NAMES = ["key", "extra", "__doc", "start", "more"]
 PLACES = "key bigint, extra int, __doc bigint, start int, more array<int>"
 
 
+def _own(frame: DataFrame) -> list[str]:
+    """What tells a text apart: its id, and a hash of it where rows share ids."""
+    return ["__doc", "__row"] if "__row" in frame.columns else ["__doc"]
+
+
 def _gathered(found: DataFrame) -> DataFrame:
     """One row per document with all its places."""
     one = F.when(F.col("start").isNotNull(), F.array("start")).otherwise(F.col("more"))
-    return found.groupBy("__doc").agg(F.flatten(F.collect_list(one)).alias("at"))
+    return found.groupBy(*_own(found)).agg(F.flatten(F.collect_list(one)).alias("at"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, shared: bool) -> DataFrame:
     """Documents with an id, under ``__doc``; every level and the end read them in this one
-    form, so they are shuffled once."""
-    return docs.withColumn("__doc", F.col("doc_id").cast("bigint")).where("__doc IS NOT NULL")
+    form, so they are shuffled once. With ``shared`` ids also a hash of the text, ``__row``."""
+    docs = docs.withColumn("__doc", F.col("doc_id").cast("bigint")).where("__doc IS NOT NULL")
+    return docs.withColumn("__row", F.xxhash64(F.coalesce("text", F.lit("")))) if shared else docs
+
 
+def shares_ids(docs: DataFrame) -> bool:
+    """Whether an id stands for several texts: one count over ids and hashes, combined before the shuffle."""
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    ends = _keyed(docs, False).groupBy("__doc").agg(F.min(text).alias("a"), F.max(text).alias("b"))
+    return not ends.where("a <> b").isEmpty()
 
-def repeated_windows(docs: DataFrame, words: int = 20, base: int | None = None) -> DataFrame:
+
+def repeated_windows(docs: DataFrame, words: int = 20, base: int | None = None, shared: bool = False) -> DataFrame:
     """(__doc, at): the starts of all windows whose words also start earlier."""
     base = base or (words // 2 if words % 2 == 0 else words)
-    texts = _keyed(docs)
+    texts = _keyed(docs, shared)
+    schema = f"{PLACES}, __row bigint" if shared else PLACES
     before, left = None, texts
     for length in levels(words, base):
-        rows = left.mapInArrow(_places(words, length, before), PLACES)
+        rows = left.mapInArrow(_places(words, length, before), schema)
         if length < words:
             times = F.sum("extra").over(W.partitionBy("key"))
             found = rows.withColumn("n", times).where("n > 1 OR more IS NOT NULL")
-            left = texts.join(_gathered(found).hint("shuffle_hash"), "__doc")
+            left = texts.join(_gathered(found).hint("shuffle_hash"), _own(texts))
             before = length
     # Rows of one place have one rank: only a truly earlier start makes it greater than 1.
-    rank = F.rank().over(W.partitionBy("key", "extra").orderBy("__doc", "start"))
+    place = [*_own(rows), "start"]
+    rank = F.rank().over(W.partitionBy("key", "extra").orderBy(*place))
     return _gathered(rows.withColumn("rank", rank).where("more IS NOT NULL OR rank > 1"))
 
 
@@ -170,14 +190,19 @@ def without_repeats(docs: DataFrame, words: int = 20, base: int | None = None) -
 
     Columns: the input's own, then n_words, n_removed, removed (array of the removed word
     ranges as [from, to) pairs, flat) and kept_text (kept words joined by one space). Input
-    columns of these names, or named at or __doc, give way.
+    columns of these names, or named at, __doc or __row, give way.
+
+    Ids are whole numbers. Rows that share an id are texts of their own, earlier by a hash of the
+    text; equal rows are one text and each keep what it keeps. Rows without an id are left whole.
+    A NULL text has no words; a table without rows gives none.
     """
     made = {"n_words": LongType(), "n_removed": LongType(), "removed": ArrayType(IntegerType()), "kept_text": StringType()}
-    docs = docs.drop(*made, "at", "__doc")
+    docs = docs.drop(*made, "at", "__doc", "__row")
     columns = docs.columns
     given = docs if dict(docs.dtypes)["text"] == "string" else docs.withColumn("text", F.col("text").cast("string"))
-    found = repeated_windows(given, words, base).hint("shuffle_hash")
-    joined = _keyed(given).join(found, "__doc", "left").select(*columns, "at")
+    shared = shares_ids(given)
+    found = repeated_windows(given, words, base, shared).hint("shuffle_hash")
+    joined = _keyed(given, shared).join(found, _own(found), "left").select(*columns, "at")
     alone = given.where(F.col("doc_id").cast("bigint").isNull()).withColumn("at", F.lit(None).cast("array<int>"))
     schema = StructType(list(given.schema.fields))
     for name, kind in made.items():
