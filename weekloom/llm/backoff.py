@@ -1,8 +1,9 @@
 """Stupid-backoff scores of documents under a bigram model of the whole corpus.
 
 The vocabulary is open: every word of every document counts. Score of a word after another:
-c(ab) / c(a) if the pair was counted ``least`` times or more, otherwise ``alpha`` c(b) / N; the
-first word of a document scores c(b) / N. A document's score is the sum of log10 over its words.
+c(ab) / c(a) if the pair also stands in another document, otherwise ``alpha`` c(b) / N; the first
+word of a document scores c(b) / N. Counts are those of all documents, none is cut off: a pair
+that no other document has is unseen to a model that leaves the scored document out. A document's score is the sum of log10 over its words.
 
 Relational form. Each document's pairs are exploded and meet the table of pair counts on the
 pair; scores are summed per document. Pairs and counts are partitioned by hash, so
@@ -36,10 +37,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.prep import order_statistics
 from ..session import stored
 from .text import lists, mixed, owners, pieces, raw_texts, signed, word_hashes
 
@@ -48,7 +51,6 @@ _TOP = np.uint64(1 << 63)
 FREQUENT = 65_535
 DENSE = 256
 ALPHA = 0.4
-LEAST = 2
 
 
 @dataclass
@@ -91,12 +93,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def frequent(counts: DataFrame, size: int = FREQUENT) -> Frequent:
     if not 1 <= size <= FREQUENT:
         raise ValueError(f"the table holds 1 to {FREQUENT} words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "h").limit(size).toPandas()
+    known, total = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if known > size:  # words above the count at that rank; words of that very count stay out
+        cut = order_statistics(counts, "n", [known - size])[0].value
+        counts = counts.where(F.col("n") > cut)
+    top = counts.toPandas().sort_values(["n", "h"], ascending=[False, True])  # at most ``size`` rows
     h = top["h"].to_numpy(np.int64).view(np.uint64)
     n = top["n"].to_numpy(np.int64)
     order = np.argsort(h)
-    return Frequent(h[order], order + 1, np.concatenate([[0], n]), int(total))
+    return Frequent(h[order], order + 1, np.concatenate([[0], n]), int(total or 0))
 
 
 def _pairs(batch: pa.RecordBatch, words: Frequent):
@@ -111,25 +116,36 @@ def _near(a: np.ndarray, b: np.ndarray, dense: int) -> np.ndarray:
     return (a > 0) & (b > 0) & (a < dense) & (b < dense)
 
 
-def square(docs: DataFrame, words: Frequent, dense: int) -> np.ndarray:
-    """Counts of all pairs of the words with ids below ``dense``."""
+NO_ID = -(2**63)
+
+
+def square(docs: DataFrame, words: Frequent, dense: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all pairs of the words with ids below ``dense``, and whether two documents have them."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(dense * dense, np.int64)
+        least, most = np.full(len(n), 2**63 - 1), np.full(len(n), -(2**63))
         for batch in pieces(batches):
-            ids, _, _, at, _ = _pairs(batch, sent.value)
+            ids, _, _, at, owner = _pairs(batch, sent.value)
+            doc = pc.fill_null(batch.column("doc_id"), NO_ID).to_numpy()
             a, b = ids[at], ids[at + 1]
             hot = _near(a, b, dense)
-            n += np.bincount(a[hot] * dense + b[hot], minlength=dense * dense)
+            pair, doc = a[hot] * dense + b[hot], doc[owner[hot]]
+            n += np.bincount(pair, minlength=dense * dense)
+            np.minimum.at(least, pair, doc)
+            np.maximum.at(most, pair, doc)
         at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, n[at], least[at], most[at])], names=["pair", "n", "least", "most"])
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(rows, "pair bigint, n bigint")
-    made = counted.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most dense ** 2 rows
-    out = np.zeros(dense * dense, np.int64)
-    out[made["pair"].to_numpy(np.int64)] = made["n"].to_numpy(np.int64)
-    return out
+    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    counted = given.mapInArrow(rows, "pair bigint, n bigint, least bigint, most bigint")
+    counted = counted.groupBy("pair").agg(F.sum("n").alias("n"), (F.min("least") != F.max("most")).alias("shared"))
+    made = counted.toPandas()  # at most dense ** 2 rows
+    out, shared = np.zeros(dense * dense, np.int64), np.zeros(dense * dense, bool)
+    at = made["pair"].to_numpy(np.int64)
+    out[at], shared[at] = made["n"].to_numpy(np.int64), made["shared"].to_numpy(bool)
+    return out, shared
 
 
 def bucket_names(spark: SparkSession) -> np.ndarray:
@@ -142,7 +158,7 @@ def bucket_names(spark: SparkSession) -> np.ndarray:
 
 
 def score(
-    docs: DataFrame, size: int = FREQUENT, alpha: float = ALPHA, least: int = LEAST, dense: int = DENSE
+    docs: DataFrame, size: int = FREQUENT, alpha: float = ALPHA, dense: int = DENSE
 ) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score)."""
     spark = docs.sparkSession
@@ -156,7 +172,7 @@ def score(
     sent = spark.sparkContext.broadcast((words, hot))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, hot = sent.value
+        words, (hot, shared) = sent.value
         for batch in pieces(batches):
             ids, h, counts, at, owner = _pairs(batch, words)
             doc = batch.column("doc_id")
@@ -167,10 +183,10 @@ def score(
             base[full] = np.where(ids[begin] > 0, log_one[ids[begin]] - log_total, 0.0)
             near = _near(a, b, dense)
             x, y = a[near], b[near]
-            n = hot[x * dense + y]
+            n, seen = hot[x * dense + y], shared[x * dense + y]
             base += np.bincount(
                 owner[near],
-                np.where(n >= least, np.log10(np.maximum(n, 1)) - log_one[x], back + log_one[y] - log_total),
+                np.where(seen, np.log10(np.maximum(n, 1)) - log_one[x], back + log_one[y] - log_total),
                 len(counts),
             )
             yield _rows(buckets[np.arange(len(counts)) % len(buckets)], doc, base=pa.array(base), n=pa.array(counts))
@@ -210,11 +226,13 @@ def score(
     pair = F.col("pair").cast("bigint").bitwiseAND(0xFFFFFFFF)
     under = F.coalesce(pair, F.when(F.col("b") < 0, F.col("b")).otherwise(F.col("a")))
     # The tables of counts and the exploded pairs meet where both are, in one partition.
-    counted = pairs.withColumn("word", under).drop("pair").withColumn(
-        "c", F.count("word").over(W.partitionBy("word", "bucket", "a", "b"))
-    ).withColumn("alone", F.count(F.when(F.col("b") < 0, 1)).over(W.partitionBy("word", "bucket")))
+    one_pair = W.partitionBy("word", "bucket", "a", "b")
+    doc = F.coalesce("doc_id", F.expr("CAST(-9223372036854775808 AS BIGINT)"))
+    counted = pairs.withColumn("word", under).drop("pair").withColumns({
+        "c": F.count("word").over(one_pair), "shared": F.min(doc).over(one_pair) != F.max(doc).over(one_pair),
+    }).withColumn("alone", F.count(F.when(F.col("b") < 0, 1)).over(W.partitionBy("word", "bucket")))
     begins = F.col("b").isNotNull() & F.col("a").isNull()
-    seen = (F.col("c") >= least) & ~begins
+    seen = F.col("shared") & ~begins & F.col("word").isNotNull()
     # The one word whose count the score needs: the first if the pair was seen, else the second.
     first, second = F.shiftrightunsigned("word", 16), F.col("word").bitwiseAND(0xFFFF)
     counted = counted.withColumns({

@@ -183,10 +183,11 @@ word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d
 uni AS MATERIALIZED (SELECT x, count(*) AS n FROM word GROUP BY x),
 c AS MATERIALIZED (SELECT sum(n) AS n FROM uni),
 pair AS MATERIALIZED (SELECT doc_id, p, x AS b, lag(x) OVER (PARTITION BY doc_id ORDER BY p) AS a FROM word),
-bi AS MATERIALIZED (SELECT a, b, count(*) AS n FROM pair WHERE a IS NOT NULL GROUP BY a, b),
+bi AS MATERIALIZED (
+  SELECT a, b, count(*) AS n, min(doc_id) <> max(doc_id) AS shared FROM pair WHERE a IS NOT NULL GROUP BY a, b),
 s AS (
   SELECT doc_id, CASE WHEN pair.a IS NULL THEN log10(ub.n) - log10((SELECT sum(n) FROM c))
-    WHEN bi.n >= 2 THEN log10(bi.n) - log10(ua.n)
+    WHEN bi.shared THEN log10(bi.n) - log10(ua.n)
     ELSE log10(0.4) + log10(ub.n) - log10((SELECT sum(n) FROM c)) END AS l
   FROM pair LEFT JOIN bi ON bi.a = pair.a AND bi.b = pair.b JOIN uni ub ON ub.x = pair.b LEFT JOIN uni ua ON ua.x = pair.a),
 t AS (SELECT doc_id, sum(l) AS l, count(*) AS n FROM s GROUP BY doc_id)
