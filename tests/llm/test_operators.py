@@ -221,6 +221,52 @@ def test_one_value_everywhere_is_still_split_evenly(spark):
     assert len(counts) == 8 and max(counts) - min(counts) <= 2
 
 
+def test_copies_of_one_row_are_divided_evenly(spark):
+    same = spark.range(3000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("same text").alias("text"))
+    others = spark.range(998).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("text "), F.col("id") + 1000).alias("text"))
+    docs = same.union(others).select("*", F.lit("en").alias("lang"), F.length("text").cast("bigint").alias("n_chars"))
+    rows = kdshard.shard(docs, 24).collect()
+    assert len(rows) == 3998
+    sizes = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(24)]
+    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in rows)
+    for s in range(24):
+        mine = sorted(r["slot"] for r in rows if r["shard"] == s)
+        assert mine == list(range(len(mine)))
+
+
+def brute_tree(points, shards):
+    """The k-d tree in memory: (id, tie, weight, values) -> leaf numbers from left to right."""
+    span = [max(1, max(p[3][d] for p in points) - min(p[3][d] for p in points)) for d in range(len(points[0][3]))]
+
+    def split(mine, n):
+        if n == 1 or not mine:
+            return [mine] + [[]] * (n - 1)
+        wide = [(max(p[3][d] for p in mine) - min(p[3][d] for p in mine)) / span[d] for d in range(len(span))]
+        dim = wide.index(max(wide))
+        mine = sorted(mine, key=lambda p: (p[3][dim], p[1], p[0]))
+        goal = sum(p[2] for p in mine) * (n // 2) / n
+        left = 0
+        for i, p in enumerate(mine):
+            if left + p[2] >= goal:
+                at = i if goal - left < left + p[2] - goal else i + 1
+                return split(mine[:at], n // 2) + split(mine[at:], n - n // 2)
+            left += p[2]
+
+    return split(points, shards)
+
+
+@pytest.mark.parametrize("shards", [2, 7, 24])
+def test_sharding_equals_a_tree_in_memory(spark, documents, shards):
+    texts = documents.select("doc_id", "text", "n_chars", "lang", F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2).alias("tie"))
+    points = [
+        (r["doc_id"], r["tie"], len((r["text"] or "").encode()) + 8, (r["n_chars"], int.from_bytes((r["lang"] or "").encode()[:6].ljust(6, b"\0"), "big")))
+        for r in texts.collect()
+    ]
+    want = {p[0]: i for i, leaf in enumerate(brute_tree(points, shards)) for p in leaf}
+    got = {r["doc_id"]: r["shard"] for r in kdshard.shard(documents, shards).collect()}
+    assert sum(got[d] == want[d] for d in want) >= 0.99 * len(want)
+
+
 # 4
 
 

@@ -6,7 +6,7 @@ for an odd number of leaves is split in proportion. Splitting goes on until ever
 shard of the target bytes. All nodes of a depth are split in the same jobs.
 
 Median. Points have a total order along each dimension: the dimension, then a hash of the
-text, then the id. The cut is found by counting weights in up to 4,096 slots a node (sums
+text, then the id, then a row number. The cut is found by counting weights in up to 4,096 slots a node (sums
 combined before the shuffle), then again inside the slot that holds the median, until the
 rest is under a ten-thousandth of a shard or a single value. No sort, no sample; what comes
 back to the driver is one row a node. A value that holds a third of all rows is cut by the
@@ -53,7 +53,7 @@ def as_number(df: DataFrame, column: str) -> Column:
     return clipped(c)
 
 
-Cut = tuple[int, int, int, int]  # dimension (-1: none), value, hash, id
+Cut = tuple[int, int, int, int, int]  # dimension (-1: none), value, hash, id, row
 
 
 def clipped(x: Column) -> Column:
@@ -74,11 +74,12 @@ def value_of(dims: int, dim: Column) -> Column:
 
 
 def descend(points: DataFrame, cuts: dict[int, Cut], dims: int) -> DataFrame:
-    """Every point one depth down; right of a cut lie a greater value, or hash, or id."""
-    names = ("dim", "key", "c_tie", "c_id")
+    """Every point one depth down; right of a cut lie a greater value, or hash, or id, or row."""
+    names = ("dim", "key", "c_tie", "c_id", "c_row")
     found = points.join(rows_of(points.sparkSession, cuts, names), "node")
     value = value_of(dims, F.col("dim"))
-    later = (F.col("tie") > F.col("c_tie")) | ((F.col("tie") == F.col("c_tie")) & (F.col("id") > F.col("c_id")))
+    copy = (F.col("id") == F.col("c_id")) & (F.col("row") > F.col("c_row"))
+    later = (F.col("tie") > F.col("c_tie")) | ((F.col("tie") == F.col("c_tie")) & ((F.col("id") > F.col("c_id")) | copy))
     right = (F.col("dim") >= 0) & ((value > F.col("key")) | ((value == F.col("key")) & later))
     return found.withColumn("node", F.col("node") * 2 + right.cast("int")).select(*points.columns)
 
@@ -92,7 +93,7 @@ def _leaves(shards: int) -> list[list[int]]:
 
 
 def build(points: DataFrame, dims: int, shards: int, slots: int = SLOTS) -> DataFrame:
-    """``points`` (id, tie, weight, d0.. and others) with ``node``, the leaf of each.
+    """``points`` (id, tie, row, weight, d0.. and others) with ``node``, the leaf of each.
 
     The table of points is written anew at each depth, a few numbers a document.
     """
@@ -107,7 +108,8 @@ def build(points: DataFrame, dims: int, shards: int, slots: int = SLOTS) -> Data
         boxes = points.groupBy("node").agg(
             F.sum("weight").alias("w"),
             F.min("tie").alias("tie_lo"), F.max("tie").alias("tie_hi"),
-            F.min("id").alias("id_lo"), F.max("id").alias("id_hi"), *spans,
+            F.min("id").alias("id_lo"), F.max("id").alias("id_hi"),
+            F.min("row").alias("row_lo"), F.max("row").alias("row_hi"), *spans,
         ).collect()  # one row a node
         nodes = {}
         for box in boxes:
@@ -117,14 +119,17 @@ def build(points: DataFrame, dims: int, shards: int, slots: int = SLOTS) -> Data
                 dim = sizes.index(max(sizes))
                 nodes[box["node"]] = _Cut(
                     dim, box["w"] * (n // 2) / n, (box[f"s{dim}"]["lo"], box[f"s{dim}"]["hi"]),
-                    (box["tie_lo"], box["tie_hi"]), (box["id_lo"], box["id_hi"]),
+                    (box["tie_lo"], box["tie_hi"]), (box["id_lo"], box["id_hi"]), (box["row_lo"], box["row_hi"]),
                 )
         _search(points, nodes, dims, room, slots)
-        cuts = {i: nodes[i].keys() if i in nodes else (-1, 0, 0, 0) for i in range(len(leaves))}
+        cuts = {i: nodes[i].keys() if i in nodes else (-1, 0, 0, 0, 0) for i in range(len(leaves))}
         points = stored(descend(points, cuts, dims), "points")
     return points
 
 
+STAGES = ("value", "tie", "ident", "row")
+
+
 @dataclass
 class _Cut:
     """A cut being narrowed down: fixed keys so far, and the range of the next one."""
@@ -134,48 +139,44 @@ class _Cut:
     value: tuple[int, int]
     tie: tuple[int, int]
     ident: tuple[int, int]
+    row: tuple[int, int]
     stage: int = 0
     left: float = 0.0  # weight left of the current range
     done: bool = False
 
     def range(self) -> tuple[int, int]:
-        return (self.value, self.tie, self.ident)[self.stage]
+        return getattr(self, STAGES[self.stage])
 
     def narrow(self, lo: int, hi: int) -> None:
-        name = ("value", "tie", "ident")[self.stage]
-        setattr(self, name, (lo, hi))
+        setattr(self, STAGES[self.stage], (lo, hi))
         if lo == hi:
-            if self.stage < 2:
+            if self.stage < len(STAGES) - 1:
                 self.stage += 1
             else:
                 self.done = True
 
     def keys(self) -> Cut:
-        big = MOST
-        if self.stage == 0:
-            return self.dim, self.value[1], big, big
-        if self.stage == 1:
-            return self.dim, self.value[1], self.tie[1], big
-        return self.dim, self.value[1], self.tie[1], self.ident[1]
+        ends = [getattr(self, name)[1] if i <= self.stage else MOST for i, name in enumerate(STAGES)]
+        return self.dim, *ends
 
     def close_before(self, lo: int) -> None:
         """End with everything below ``lo`` of the current stage on the left."""
-        name = ("value", "tie", "ident")[self.stage]
-        setattr(self, name, (lo - 1, lo - 1))
+        setattr(self, STAGES[self.stage], (lo - 1, lo - 1))
         self.done = True
 
 
 def _search(points: DataFrame, nodes: dict[int, _Cut], dims: int, room: int, slots: int) -> None:
     while open_ := {i: c for i, c in nodes.items() if not c.done}:
-        names = ("dim", "stage", "at_value", "at_tie", "from_", "to_", "step", "goal")
+        names = ("dim", "stage", "at_value", "at_tie", "at_id", "from_", "to_", "step", "goal")
         rows = {
-            i: (c.dim, c.stage, c.value[1], c.tie[1], *c.range(), _step(c, slots), math.ceil(c.target - c.left))
+            i: (c.dim, c.stage, c.value[1], c.tie[1], c.ident[1], *c.range(), _step(c, slots), math.ceil(c.target - c.left))
             for i, c in open_.items()
         }
         at = points.join(rows_of(points.sparkSession, rows, names), "node")
         value, stage = value_of(dims, F.col("dim")), F.col("stage")
-        key = F.when(stage == 0, value).when(stage == 1, F.col("tie")).otherwise(F.col("id"))
+        key = F.when(stage == 0, value).when(stage == 1, F.col("tie")).when(stage == 2, F.col("id")).otherwise(F.col("row"))
         fixed = ((stage < 1) | (value == F.col("at_value"))) & ((stage < 2) | (F.col("tie") == F.col("at_tie")))
+        fixed = fixed & ((stage < 3) | (F.col("id") == F.col("at_id")))
         at = at.where(fixed).select("node", "weight", "goal", "step", "from_", "to_", key.alias("key"))
         sums = (
             at.where("key BETWEEN from_ AND to_")
@@ -198,7 +199,7 @@ def _search(points: DataFrame, nodes: dict[int, _Cut], dims: int, room: int, slo
                 cut.narrow(s["hi"], s["hi"])
                 cut.done = True
                 continue
-            if s["lo"] == s["hi"] and cut.stage == 2:
+            if s["lo"] == s["hi"] and cut.stage == len(STAGES) - 1:
                 # A single point: on the side that leaves the smaller error.
                 if cut.target - before < before + s["w"] - cut.target:
                     cut.close_before(s["lo"])
@@ -221,7 +222,8 @@ def shard(
     """(doc_id, size, text_crc32, shard, slot) for every row.
 
     NULL in a dimension is the least value, NULL text an empty one, a NULL id the least id.
-    Rows that share an id and a text cannot be told apart by a cut and stay together.
+    Rows that share an id and a text are told apart by a number each row gets in the one stored
+    table that all cuts read, so copies of a row are divided as evenly as others.
     ``slot`` numbers a shard's rows from 0 without gaps: rows are numbered in blocks, and the
     blocks' counts are added up, so no task orders a whole shard.
     """
@@ -233,6 +235,7 @@ def shard(
             F.shiftrightunsigned(F.xxhash64(text), 2).alias("tie"),
             size_of().alias("weight"),
             F.crc32(text).alias("text_crc32"),
+            F.monotonically_increasing_id().alias("row"),
             *[as_number(docs, d).alias(f"d{i}") for i, d in enumerate(dimensions)],
         ),
         "points",
