@@ -38,6 +38,11 @@ HEADLINE = (
     "training_matrix",
     "generate_sales",
     "batch_score",
+    "sales_features_incremental",
+    "materialize_incremental",
+    "pit_join_bucketed",
+    "chrono_split_three",
+    "permutation_split",
 )
 
 
@@ -66,6 +71,11 @@ def main() -> None:
         for name in names:
             run(name, small)
 
+    # A fixed piece of work, so that rounds on machines of different speed can be compared.
+    began = time.perf_counter()
+    spark.range(0, 100_000_000, 1, int(cpus)).selectExpr("sum(hash(id, id + 1))").collect()
+    calibration = round(time.perf_counter() - began, 3)
+
     seconds, rows = {}, {}
     for name in names:
         began = time.perf_counter()
@@ -83,6 +93,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_sec": {n: round(r / seconds[n]) for n, r in rows.items()},
+                "calibration_sec": calibration,
                 "sf": os.path.basename(folder.rstrip("/")),
             }
         )

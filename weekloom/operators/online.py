@@ -130,9 +130,12 @@ def lookup(
     columns: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
     strategy: str = "join",
+    hot: DataFrame | bool | None = True,
 ) -> DataFrame:
     """Add the online columns to every request; unknown keys get NULL.
 
+    ``hot`` gives the hot keys of the requests where they were counted before.
+
     ``join``, for any number of requests: an equi join on the keys that sends hot request
     keys around the shuffle. ``buckets``, for requests that touch a part of the table: only their
     key buckets are read, of which Spark joins the asked keys by their measured size; up to
@@ -141,7 +144,7 @@ def lookup(
     keys = list(keys)
     wanted = online.select(*keys, *columns)
     if strategy == "join":
-        return left_join(requests, wanted, keys, max_group_rows)
+        return left_join(requests, wanted, keys, max_group_rows, hot)
     if strategy != "buckets":
         raise ValueError(f"unknown strategy {strategy!r}")
     asked = durable(requests.select(*keys).distinct())

@@ -138,11 +138,13 @@ def left_join(
     right: DataFrame,
     keys: Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
+    hot: DataFrame | bool | None = True,
 ) -> DataFrame:
     """Left join with a ``right`` that has one row per key, also when few keys hold most of ``left``.
 
     Rows of hot keys meet a broadcast of the few right rows they can match and never
-    shuffle; all others take the join Spark picks. NULL keys match nothing.
+    shuffle; all others take the join Spark picks. NULL keys match nothing. ``hot`` gives what
+    :func:`hot_keys` found for the keyed rows of ``left``, if that is known.
     """
     keys = list(keys)
     loose = F.lit(False)
@@ -153,7 +155,8 @@ def left_join(
         F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys
     ]
     unmatched = left.where(loose).select("*", *empty)
-    hot = hot_keys(keyed, keys, max_rows)
+    if hot is True:
+        hot = hot_keys(keyed, keys, max_rows)
     if hot is None:
         return keyed.join(right, keys, "left").unionByName(unmatched)
     hot_right = durable(only(right, hot, keys))

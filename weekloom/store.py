@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from .definitions import FeatureService, FeatureView
 from .operators import online as online_ops
 from .operators.pit import AsOf, point_in_time
+from .operators.skew import MAX_GROUP_ROWS, hot_keys
 from .registry import Registry, Selection
 from .session import fresh_path
 from .sources.commits import CommitLog
@@ -203,10 +204,12 @@ class FeatureStore:
         ``strategy`` goes to :func:`weekloom.operators.online.lookup`.
         """
         selection = self.registry.select(features)
-        out = requests
+        out, counted = requests, {}
         for view, columns in selection.views.values():
-            table = self.online(view.name)
-            out = online_ops.lookup(out, table, view.join_keys, columns, strategy=strategy)
+            table, keys = self.online(view.name), view.join_keys
+            if strategy == "join" and keys not in counted:  # once for all views of these keys
+                counted[keys] = hot_keys(requests.dropna(subset=list(keys)), keys, MAX_GROUP_ROWS)
+            out = online_ops.lookup(out, table, keys, columns, strategy=strategy, hot=counted.get(keys, True))
         out = finish(out, selection, requests.columns)
         return out.orderBy(order_by) if order_by else out
 
