@@ -613,6 +613,46 @@ def test_language_sample_is_bounded_where_one_id_holds_many_rows(spark):
     assert langid.sample(copies, F.lit(1 << 30), 20).count() == 20
 
 
+def test_every_text_a_landmark_is_dense_kernel_ridge():
+    rng = np.random.default_rng(3)
+    words_of = {"aa": "abcde", "bb": "cdefgh", "cc": "ghxyz"}
+    texts, labels = [], []
+    for lang, letters in words_of.items():
+        for _ in range(12):
+            texts.append(" ".join("".join(rng.choice(list(letters), 4)) for _ in range(6)))
+            labels.append(lang)
+
+    def grams(text):
+        b = text.encode()
+        return {b[i : i + n] for n in (1, 2, 3) for i in range(len(b) - n + 1)}
+
+    every = set().union(*map(grams, texts))
+
+    def kernel(x, y):
+        a, b = grams(x) & every, grams(y) & every
+        return len(a & b) / (max(len(a), 1) * max(len(b), 1)) ** 0.5
+
+    ridge, n = 0.01, len(texts)
+    K = np.array([[kernel(x, y) for y in texts] for x in texts])
+    names = sorted(words_of)
+    y = np.array([[1.0 if lang == name else -1.0 for name in names] for lang in labels])
+    H = np.eye(n) - 1 / n
+    alpha = np.linalg.solve(H @ K @ H + ridge * n * np.eye(n), y - y.mean(axis=0))
+    new = ["abcd edcb", "xyzg hhxy", "cdef", "qqq unseen", *texts[:3]]
+    k = np.array([[kernel(x, t) for t in texts] for x in new])
+    want = (k - k.mean(axis=1, keepdims=True) - K.mean(axis=0) + K.mean()) @ alpha + y.mean(axis=0)
+    model = langid.fit([langid.presence(t.encode()) for t in texts], labels, landmarks=n, ridge=ridge)
+    assert model.languages == names
+    assert model.values([t.encode() for t in new], model.table()) == pytest.approx(want, abs=2e-3)
+
+
+def test_equal_values_go_to_the_first_language(spark):
+    model = langid.Model(["bb", "cc"], np.array([97], np.int32), np.zeros((1, 2)), np.array([0.5, 0.5]))
+    docs = spark.createDataFrame([(1, "a text"), (2, "1234"), (3, None)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    assert got == {1: ("bb", 0.75), 2: ("und", 0.0), 3: ("und", 0.0)}
+
+
 def test_presence_of_long_texts_in_slices(monkeypatch):
     text = bytes(np.random.default_rng(0).integers(97, 105, 5000).astype(np.uint8))
     whole = langid.presence(text)
