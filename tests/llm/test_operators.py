@@ -486,6 +486,25 @@ def test_streaming_equals_encoding_at_once(model):
             assert short == model._merged_long([model.inner[b] for b in word[:40]])
 
 
+def test_long_pre_tokens_are_emitted_in_portions_before_their_end(model, monkeypatch):
+    monkeypatch.setattr(bpe, "PORTION", 64)
+    word = "tionheas" * 400
+    got = list(model.portions(f"a {word} b"))
+    assert len(got) > 10 and max(n for _, _, n in got) <= 64
+    assert b"".join(p for p, _, _ in got) == bpe.pack(list(model.encode(f"a {word} b")))
+    read = []
+
+    class Watched(bytes):
+        def __getitem__(self, at):
+            if isinstance(at, slice) and at.stop is not None:
+                read.append(at.stop)
+            return bytes.__getitem__(self, at)
+
+    tokens = model.stream(Watched(word.encode()))
+    next(tokens)
+    assert max(read) <= 2 * model.reach < len(word) / 5  # the first token came after one window
+
+
 def test_decoding_gives_the_prepared_text_back(awkward, model):
     rows = bpe.encode_decode(awkward.where("doc_id IN (4, 9, 11)"), queries.vocabulary_file("word_bpe_49k.json")).collect()
     for r in rows:

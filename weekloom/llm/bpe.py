@@ -41,6 +41,7 @@ from .text import pieces
 
 REMEMBERED = 300_000
 BATCH = 4096
+PORTION = 1_024  # bytes of a pre-token beyond which it is streamed, and ids of one portion
 SHORT = 48
 
 
@@ -175,6 +176,19 @@ class Bpe:
         return found
 
 
+    def portions(self, text: str) -> Iterator[tuple[bytes, bytes, int]]:
+        """A text's tokens as :meth:`known` gives them, long pre-tokens in portions as they are final."""
+        known = self.known
+        for word in self.pretokens(text):
+            if isinstance(word, int):
+                yield pack([word]), self.names[word].encode(), 1
+            elif len(word) <= PORTION:
+                yield known(word)
+            else:
+                for ids in batched(self.stream(word.encode()), PORTION):
+                    yield pack(ids), " ".join([self.names[t] for t in ids]).encode(), len(ids)
+
+
 NONE = (1 << 62, -1)
 
 
@@ -262,17 +276,16 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Every row with n_tokens and the SHA-256 of its ids and of its tokens joined by spaces.
 
-    Ids and names go into the digests as they are emitted; neither is kept.
+    Ids and names go into the digests as they are emitted. The table keeps those of short
+    pre-tokens; a long one is streamed in portions and never held whole.
     """
 
     def make(model: Bpe, text: str):
         ids, names, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
-        known = model.known
-        for some in batched(model.pretokens(text), BATCH):
-            found = [known(w) if isinstance(w, str) else (pack([w]), model.names[w].encode(), 1) for w in some]
-            ids.update(b"".join([f[0] for f in found]))
-            names.update((b"" if first else b" ") + b" ".join([f[1] for f in found]))
-            n += sum([f[2] for f in found])
+        for some in batched(model.portions(text), BATCH):
+            ids.update(b"".join([f[0] for f in some]))
+            names.update((b"" if first else b" ") + b" ".join([f[1] for f in some]))
+            n += sum([f[2] for f in some])
             first = False
         return n, ids.hexdigest(), names.hexdigest()
 
