@@ -430,6 +430,15 @@ def test_first_of_groups(awkward, empty):
     assert simhash.first_of_groups(empty).isEmpty() and simhash.near_duplicates(empty).isEmpty()
 
 
+def test_which_row_of_one_id_stays_does_not_depend_on_the_order(spark):
+    rows = [(1, f"text number {i} of the id {'x y z ' * i}", i) for i in range(12)] + [(2, "alone", 0)]
+    kept = set()
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows[::-1] if parts == 3 else rows, "doc_id bigint, text string, n int").repartition(parts)
+        kept.add(tuple(sorted(map(tuple, simhash.first_of_groups(docs).collect()))))
+    assert len(kept) == 1 and [r[0] for r in kept.pop()] == [1, 2]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 300), (300, 200), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in components(edges).collect()}

@@ -259,7 +259,8 @@ def near_duplicates(
 def first_of_groups(docs: DataFrame, **options) -> DataFrame:
     """The row of least doc_id of each group, unchanged; rows without an id stay.
 
-    Of rows that share that id one stays.
+    Of rows that share that id the one with the least hash of its text stays (of equal texts the
+    first by its columns as JSON), so the result does not depend on how the rows lie.
     """
     groups = near_duplicates(docs, **options).where("doc_id IS NOT NULL")
     groups = stored(groups.select("doc_id", "component_id"), "groups")
@@ -271,5 +272,8 @@ def first_of_groups(docs: DataFrame, **options) -> DataFrame:
     if twice.isEmpty():
         return kept
     twice = twice.withColumnRenamed("doc_id", "__twice")
-    one = kept.join(twice, key == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(F.xxhash64(F.coalesce("text", F.lit(""))), F.to_json(whole))
+    one = kept.join(twice, key == F.col("__twice"), "left_semi").groupBy(key).agg(F.min_by(whole, order).alias("__row"))
+    one = one.select("__row.*")
     return kept.join(twice, key == F.col("__twice"), "left_anti").unionByName(one)
