@@ -37,12 +37,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group; rows without an id stay."""
+    """The document of least id of each group; rows without an id stay.
+
+    Of rows that share that id one stays, the same however they lie. NULL and empty texts are alike
+    and so are one group; a table without rows stays empty.
+    """
     return simhash.first_of_groups(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the words that stand earlier in a window of 20."""
+    """Every document without the words that stand earlier in a window of 20.
+
+    A text that loses nothing stays as it is, NULL too; rows that share an id are texts of their
+    own, rows without an id are left whole, equal rows stay equal. No row goes.
+    """
     found = repeats.without_repeats(docs, WORDS)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars"))
@@ -50,12 +58,18 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item."""
+    """Documents that hold no test item.
+
+    NULL and empty texts hold none; rows without an id are judged like others; equal rows stay or go together.
+    """
     return decontam.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token count and the digests of its ids and decoded text."""
+    """Every document with its token count and the digests of its ids and decoded text.
+
+    NULL is an empty text of no tokens. No row goes, also not copies or rows without an id.
+    """
     return bpe.digests(docs, vocabulary_file("word_bpe_49k.json"))
 
 
