@@ -153,6 +153,30 @@ def test_identical_texts_are_tokenized_once(spark):
     assert got == {"en": [("s0", 11), ("s1", 10), ("s2", 10)], "de": [("s0", 1)]}
 
 
+def test_counts_of_all_sources_of_a_term_are_shuffled_once_together(spark, monkeypatch, capsys):
+    texts = [("en", f"s{i}", f"alpha beta w{i}") for i in range(40)]
+    docs = spark.createDataFrame(texts * 2, "lang string, source string, text string")
+    plans = {}
+
+    def explained(df, name):
+        capsys.readouterr()
+        df.explain()
+        plans[name] = capsys.readouterr().out
+        return stored(df, name)
+
+    stored = divergence.stored
+    monkeypatch.setattr(divergence, "stored", explained)
+    got = divergence.audit(docs, 3)
+    assert "term-counts" not in plans
+    assert plans["kept-counts"].split("MapInArrow")[0].count("Exchange") == 1
+    assert sorted(map(tuple, got.select("lang", "source", "part", "item", "value", "rank").collect())) == brute_audit(texts * 2, 3, 50)
+    columns = [pa.array(c) for c in (["en"] * 40, [t for _, _, t in texts], [[s] for _, s, _ in texts], [[2]] * 40)]
+    rows = next(divergence._count(iter([pa.RecordBatch.from_arrays(columns, ["lang", "text", "sources", "copies"])]))).to_pylist()
+    assert sorted(r["term"] for r in rows) == ["alpha", "beta", "w"]
+    alpha = next(r for r in rows if r["term"] == "alpha")
+    assert alpha["docs"] == 80 and dict(zip(alpha["sources"], alpha["counts"])) == {s: 2 for _, s, _ in texts}
+
+
 # 11
 
 

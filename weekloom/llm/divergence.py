@@ -2,9 +2,10 @@
 
 Identical texts of a language are one: a text is told by two 64-bit hashes, counted for each
 source with partial sums, shuffled once and tokenized once, and its words count as often as it
-occurs in each source. Terms in enough documents of the language are kept. A source gives every
-kept term a smoothed share in billionths, and two sources are as far apart as the sum of the
-differences of their shares.
+occurs in each source. Terms in enough documents of the language are kept: the counts of a term
+in all sources are one row for each piece of texts, so one shuffle tells which terms are kept
+and adds up their counts. A source gives every kept term a smoothed share in billionths, and two
+sources are as far apart as the sum of the differences of their shares.
 
 Pairs are evaluated on counted terms only. Terms are dealt to buckets by hash and sources to
 blocks, so a task sees the counts of few terms in two blocks of sources: it fills one small
@@ -14,6 +15,7 @@ absent shares, times their number.
 
 All numbers are whole. Groups are not collected: a hot source is spread over the buckets of its
 terms, a hot text over the partial counts, and the top terms of a group over partial top lists.
+A term's rows, one for each piece of texts that has it, meet in one task, as a window that spills.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ BLOCK = 512  # sources whose pairs one task evaluates
 TERMS = 4096  # terms of one bucket, on average
 MIN_BUCKETS = 32
 CELLS = 1 << 20
+COUNT_BYTES = 16 << 20  # text whose terms are counted together: the more, the fewer rows are shuffled
 
 # Bytes to 0x40, 0x5B to 0x60 and 0x7B to 0x7F end a term; A-Z becomes lower case.
 _PLAIN = bytes(
@@ -67,8 +70,11 @@ def collapsed(docs: DataFrame) -> DataFrame:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, docs, n) of each piece of texts; every text weighs as its copies."""
-    for batch in pieces(batches):
+    """(lang, term, docs, sources, counts): a row for each term of a language in a piece of texts.
+
+    Every text weighs as its copies. ``docs`` is over all sources, ``counts`` has one for each of ``sources``.
+    """
+    for batch in pieces(batches, limit=COUNT_BYTES):
         lists = terms_of(batch.column("text"))
         row = owners(np.diff(lists.offsets.to_numpy()))
         flat = lists.flatten()
@@ -89,24 +95,42 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = np.diff(begin)[row]
         at = np.repeat(begin[row] - first - np.concatenate([[0], np.cumsum(each)[:-1]]), each) + np.arange(each.sum())
         line = np.repeat(np.arange(len(row)), each)
-        group = lang.indices.to_numpy()[row[line]].astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()[at]
-        key, where = np.unique(group * size + term[line], return_inverse=True)
+        width = len(source.dictionary)
+        word = lang.indices.to_numpy()[row[line]].astype(np.int64) * size + term[line]
+        key, where = np.unique(word * width + source.indices.to_numpy()[at], return_inverse=True)
         docs, total = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
         np.add.at(docs, where, weight[at])
         np.add.at(total, where, weight[at] * n[line])
-        group, term = key // size, key % size
+        # Keys of one word follow each other.
+        word, start = np.unique(key // width, return_index=True)
+        offsets = pa.array(np.concatenate([start, [len(key)]]), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [
-                lang.dictionary.take(pa.array(group // len(source.dictionary))).cast(pa.string()),
-                source.dictionary.take(pa.array(group % len(source.dictionary))).cast(pa.string()),
-                coded.dictionary.take(pa.array(term)).cast(pa.string()),
-                pa.array(docs),
-                pa.array(total),
+                lang.dictionary.take(pa.array(word // size)).cast(pa.string()),
+                coded.dictionary.take(pa.array(word % size)).cast(pa.string()),
+                pa.array(np.add.reduceat(docs, start)),
+                pa.ListArray.from_arrays(offsets, source.dictionary.take(pa.array(key % width)).cast(pa.string())),
+                pa.ListArray.from_arrays(offsets, pa.array(total)),
             ],
-            ["lang", "source", "term", "docs", "n"],
+            ["lang", "term", "docs", "sources", "counts"],
         )
 
 
+def kept_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, source, term, n, n_lang): counts of the terms in at least ``min_docs`` documents of the language.
+
+    Counts are shuffled once, by term and language: the same partitions tell which terms are
+    kept and add up the counts of those alone. Terms come first, as sorting by them is cheaper.
+    """
+    found = collapsed(docs).mapInArrow(
+        _count, "lang string, term string, docs bigint, sources array<string>, counts array<bigint>"
+    )
+    kept = found.withColumn("docs", F.sum("docs").over(W.partitionBy("term", "lang"))).where(F.col("docs") >= min_docs)
+    each = kept.select("lang", "term", F.inline(F.arrays_zip("sources", "counts")).alias("source", "n"))
+    counts = each.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    return counts.select("lang", "source", "term", "n", F.sum("n").over(W.partitionBy("term", "lang")).alias("n_lang"))
+
+
 def _share_of(count: Column, total: Column, terms: Column) -> Column:
     """1 + floor(SCALE * (count + SMOOTH) / (total + SMOOTH * terms)), whole and exact."""
     above = (count + SMOOTH).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
@@ -167,17 +191,8 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, block: int = BLOCK
     of ``docs`` are not read.
     """
     every = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    counts = stored(
-        collapsed(docs)
-        .mapInArrow(_count, "lang string, source string, term string, docs bigint, n bigint")
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")),
-        "term-counts",
-    )
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n_lang"))
-    kept = kept.where(F.col("docs") >= min_docs).drop("docs")
-    entries = stored(counts.drop("docs").join(kept, ["lang", "term"]), "kept-counts")
-
+    entries = stored(kept_counts(docs, min_docs), "kept-counts")
+    kept = entries.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"))
     langs = stored(
         kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("n_lang").alias("total_lang")), "languages"
     )
