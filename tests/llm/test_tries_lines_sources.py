@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekloom.llm import convtrie, divergence, linedup
+from weekloom.llm.text import pieces
 
 BLANKS = " \t\n\x0b\x0c\r"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_lines int, term string"
@@ -174,6 +175,8 @@ def test_counts_of_all_sources_of_a_term_are_shuffled_once_together(spark, monke
     rows = next(divergence._count(iter([pa.RecordBatch.from_arrays(columns, ["lang", "text", "sources", "copies"])]))).to_pylist()
     assert sorted(r["term"] for r in rows) == ["alpha", "beta", "w"]
     alpha = next(r for r in rows if r["term"] == "alpha")
+    wide = pa.RecordBatch.from_arrays([pa.array(["a b", "b", "c", "dd"]), pa.array([["s"], ["s", "t", "u"], ["s"], ["s"]])], ["text", "sources"])
+    assert [p.num_rows for p in pieces([wide], limit=4, times="sources")] == [1, 2, 1]
     assert alpha["docs"] == 80 and dict(zip(alpha["sources"], alpha["counts"])) == {s: 2 for _, s, _ in texts}
 
 

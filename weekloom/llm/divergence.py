@@ -38,7 +38,7 @@ BLOCK = 512  # sources whose pairs one task evaluates
 TERMS = 4096  # terms of one bucket, on average
 MIN_BUCKETS = 32
 CELLS = 1 << 20
-COUNT_BYTES = 16 << 20  # text whose terms are counted together: the more, the fewer rows are shuffled
+COUNT_BYTES = 16 << 20  # text, for each of its sources, whose terms are counted together: the more, the fewer rows are shuffled
 
 # Bytes to 0x40, 0x5B to 0x60 and 0x7B to 0x7F end a term; A-Z becomes lower case.
 _PLAIN = bytes(
@@ -74,7 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Every text weighs as its copies. ``docs`` is over all sources, ``counts`` has one for each of ``sources``.
     """
-    for batch in pieces(batches, limit=COUNT_BYTES):
+    for batch in pieces(batches, limit=COUNT_BYTES, times="sources"):
         lists = terms_of(batch.column("text"))
         row = owners(np.diff(lists.offsets.to_numpy()))
         flat = lists.flatten()

@@ -23,12 +23,17 @@ _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def pieces(
-    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES, times: str | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """The batches' rows in slices of at most ``limit`` bytes of text (or of one row)."""
+    """The batches' rows in slices of at most ``limit`` bytes of text (or of one row).
+
+    With ``times`` a text counts as often as that list of its row is long.
+    """
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes.astype(np.int64))
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if times is not None:
+            sizes *= pc.fill_null(pc.list_value_length(batch.column(times)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:
             before = int(ends[start - 1]) if start else 0
