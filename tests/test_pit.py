@@ -158,6 +158,28 @@ def test_broadcast_beyond_its_limit_fails(spark):
         run(spark, [(1, 1, T0)], [(1, T0, 1, "a")], strategy="broadcast", broadcast_bytes=3)
 
 
+@pytest.mark.parametrize("ttl", [None, 3 * DAY])
+def test_more_than_one_broadcast_may_hold_goes_in_blocks(spark, ttl):
+    rng = random.Random(3)
+
+    def moment():
+        return T0 + timedelta(hours=rng.randint(0, 24 * 20))
+
+    keys = [*range(30), None]
+    requests = [(i, rng.choice(keys), moment()) for i in range(240)]
+    requests += [(300 + i, 5, T0 + 9 * DAY) for i in range(20)] + [(400, 1, None)]
+    features = [(rng.choice([*keys, 77]), moment(), rng.randint(0, 9), rng.choice("ab")) for _ in range(400)]
+    want = brute(requests, features, ttl)
+    view = AsOf(spark.createDataFrame(features, FEAT), ("k",), ("v", "w"), ttl)
+    # Keys of 32 bits are in the block of equal keys of 64 bits.
+    asked = spark.createDataFrame(requests, REQ).withColumn("k", F.col("k").cast("int"))
+    out = point_in_time(asked, [view], strategy="broadcast", broadcast_bytes=900)
+    assert out.columns == [*asked.columns, "v", "w"] and out.schema["k"].dataType == T.IntegerType()
+    rows = out.collect()
+    assert len(rows) == len(requests)
+    assert {r["id"]: (r["v"], r["w"]) for r in rows} == want
+
+
 def test_times_far_out_leave_no_large_bucket(spark):
     from weekloom.operators.skew import split_groups
 

@@ -10,13 +10,14 @@ Three plans give the same result:
   One shuffle per key set, linear in the rows, whatever the number of views.
 * broadcast: on demand only, for few requests. Feature rows find their next request time in
   a broadcast table and are reduced per (key, time) before the shuffle. The features never
-  shuffle. What is sent is measured in bytes first; too much fails the job.
+  shuffle. What is sent is measured in bytes first; too much is sent in blocks of keys, one
+  after the other, each side written in these blocks by the tasks that have its rows.
 * split: window in time buckets for keys with too many rows for one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import timedelta
 from functools import reduce
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import durable, stored
+from ..session import durable, fresh_path, stored
 from .skew import MAX_GROUP_ROWS, left_join, only, split_groups, without
 
 BROADCAST_BYTES = 64 << 20
@@ -62,8 +63,9 @@ def point_in_time(
 
     ``auto`` is the window plan at every size, with the keys of more than
     ``max_group_rows`` rows cut along time. ``window`` skips the measurement; use it where
-    the grain of both sides bounds the rows per key. ``broadcast`` asks for that plan; it
-    raises beyond ``broadcast_bytes``. ``bound_time`` filters features to the
+    the grain of both sides bounds the rows per key. ``broadcast`` asks for that plan; it sends
+    blocks of at most ``broadcast_bytes`` and raises if one key, with the times it is asked for,
+    is larger. ``bound_time`` filters features to the
     time range of the requests; for stored views the filter reaches the Parquet scan.
     ``requests_clustered`` says that the requests come partitioned by the keys.
     """
@@ -177,33 +179,90 @@ def _window(requests: DataFrame, keys, views, ts, clustered=False) -> DataFrame:
     return filled.select(*keys, ts, *[f"__row.`{c}`" for c in own], *_unpacked(views, hits))
 
 
-def _sized(df: DataFrame, limit: int) -> DataFrame:
-    """Mark a stored table for broadcast if its rows, as text, stay under the limit."""
-    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
-    if size > limit:
-        raise ValueError(f"{size} bytes to broadcast, at most {limit}: use strategy='auto'")
-    return F.broadcast(df)
+def _block(keys: Sequence[str], types: dict, count: int) -> Column:
+    """Block of a row by the hash of its keys; ``types`` is what both sides compare them as."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast(types[k]) for k in keys]), F.lit(count)).cast("int")
+
+
+def _types(keys: Sequence[str], frames: Sequence[DataFrame]) -> dict:
+    """Key types of a union of the frames: a 32 and a 64 bit key that are equal hash alike."""
+    return {f.name: f.dataType for f in reduce(DataFrame.union, [d.select(*keys) for d in frames]).schema}
+
+
+def _blocks(df: DataFrame, keys: Sequence[str], types: dict, limit: int) -> int:
+    """How many blocks leave none of a stored table with more bytes, as text, than the limit.
+
+    ``keys`` are unique in it. A row that alone is over the limit fails the job.
+    """
+    sized = df.select(*keys, F.length(F.to_json(F.struct("*"))).cast("bigint").alias("__size"))
+    total, longest = sized.agg(F.sum("__size"), F.max("__size")).first()
+    if (longest or 0) > limit:
+        raise ValueError(f"{longest} bytes to broadcast in a row, at most {limit}: use strategy='auto'")
+    count = 1
+    if (total or 0) > limit:
+        count = -(-5 * total // (4 * limit))  # a quarter more than needed, as blocks differ
+        while True:
+            largest = sized.groupBy(_block(keys, types, count).alias("b")).agg(F.sum("__size").alias("s"))
+            if largest.agg(F.max("s")).first()[0] <= limit:
+                break
+            count *= 2
+    return count
+
+
+def _cut(df: DataFrame, keys: Sequence[str], types: dict, count: int, name: str) -> Callable[[int], DataFrame]:
+    """Write a frame in blocks, each task its own rows, without a shuffle; gives the reader of one."""
+    path = fresh_path(df.sparkSession, name)
+    cut = df.withColumn("__block", _block(keys, types, count))
+    cut.write.partitionBy("__block").parquet(path)
+    whole = df.sparkSession.read.schema(cut.schema).parquet(path)
+    return lambda b: whole.where(F.col("__block") == b).drop("__block")
+
+
+def _each_block(count: int, one: Callable[[int], DataFrame], name: str) -> DataFrame:
+    """The rows of all blocks. One is computed and written at a time, so one broadcast is held."""
+    for b in range(count):
+        made = one(b)
+        path = fresh_path(made.sparkSession, name) if b == 0 else path
+        made.write.mode("append").parquet(path)
+    return made.sparkSession.read.schema(made.schema).parquet(path)
 
 
 def _broadcast(requests: DataFrame, keys, views, ts, limit) -> DataFrame:
     requests = stored(requests, "requests")
     # One array of distinct request times per key.
     moments = durable(requests.groupBy(*keys).agg(F.array_sort(F.collect_set(ts)).alias("__at")))
-    sent_moments = _sized(moments, limit)
-    grid = moments.select(*keys, F.explode("__at").alias(ts))
-    for i, v in enumerate(views):
-        slot = F.array_min(F.filter("__at", lambda at: at >= F.col(ts)))
-        found = v.frame.join(sent_moments, list(keys)).withColumn("__slot", slot)
-        found = found.where(F.col("__slot").isNotNull())
-        if v.ttl is not None:
-            found = found.where(F.col(ts) >= F.col("__slot") - F.lit(v.ttl))
-        found = found.groupBy(*keys, "__slot").agg(F.max(_packed(v, ts)).alias(f"f{i}"))
-        grid = grid.join(found.withColumnRenamed("__slot", ts), [*keys, ts], "left")
-    running = W.partitionBy(*keys).orderBy(ts).rowsBetween(W.unboundedPreceding, W.currentRow)
-    hits = [f"f{i}" for i in range(len(views))]
-    grid = grid.select(*keys, ts, *[_carried(v, h, running, ts) for h, v in zip(hits, views)])
-    grid = grid.select(*keys, ts, *_unpacked(views, hits))
-    return requests.join(_sized(durable(grid), limit), [*keys, ts], "left")
+
+    def found_grid(moments: DataFrame, frames: Sequence[DataFrame]) -> DataFrame:
+        grid = moments.select(*keys, F.explode("__at").alias(ts))
+        for i, (v, frame) in enumerate(zip(views, frames)):
+            slot = F.array_min(F.filter("__at", lambda at: at >= F.col(ts)))
+            found = frame.join(F.broadcast(moments), list(keys)).withColumn("__slot", slot)
+            found = found.where(F.col("__slot").isNotNull())
+            if v.ttl is not None:
+                found = found.where(F.col(ts) >= F.col("__slot") - F.lit(v.ttl))
+            found = found.groupBy(*keys, "__slot").agg(F.max(_packed(v, ts)).alias(f"f{i}"))
+            grid = grid.join(found.withColumnRenamed("__slot", ts), [*keys, ts], "left")
+        running = W.partitionBy(*keys).orderBy(ts).rowsBetween(W.unboundedPreceding, W.currentRow)
+        hits = [f"f{i}" for i in range(len(views))]
+        grid = grid.select(*keys, ts, *[_carried(v, h, running, ts) for h, v in zip(hits, views)])
+        return grid.select(*keys, ts, *_unpacked(views, hits))
+
+    types = _types(keys, [requests, *[v.frame for v in views]])
+    count = _blocks(moments, keys, types, limit)
+    if count == 1:
+        grid = durable(found_grid(moments, [v.frame for v in views]))
+    else:
+        sent = _cut(moments, keys, types, count, "moments")
+        parts = [_cut(v.frame, keys, types, count, "features") for v in views]
+        grid = _each_block(count, lambda b: found_grid(sent(b), [part(b) for part in parts]), "grid")
+
+    moment = [*keys, ts]
+    types = _types(moment, [requests])
+    count = _blocks(grid, moment, types, limit)
+    if count == 1:
+        return requests.join(F.broadcast(grid), moment, "left")
+    asked, sent_grid = (_cut(df, moment, types, count, name) for df, name in ((requests, "asked"), (grid, "moments")))
+    return _each_block(count, lambda b: asked(b).join(F.broadcast(sent_grid(b)), moment, "left"), "joined")
 
 
 def _splitting(requests: DataFrame, keys, views, ts, max_rows, clustered) -> DataFrame:
