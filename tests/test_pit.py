@@ -180,6 +180,28 @@ def test_more_than_one_broadcast_may_hold_goes_in_blocks(spark, ttl):
     assert {r["id"]: (r["v"], r["w"]) for r in rows} == want
 
 
+def test_more_hot_keys_than_a_broadcast_may_hold(spark, monkeypatch):
+    from weekloom.operators import skew, windows
+
+    monkeypatch.setattr(skew, "MAX_BROADCAST_BYTES", 1000)
+    rng = random.Random(11)
+
+    def moment():
+        return T0 + timedelta(hours=rng.randint(0, 24 * 20))
+
+    # Key 0 has most rows, all but a few of the others are hot too.
+    keys = [0] * 30 + [*range(40), None]
+    requests = [(i, rng.choice(keys), moment()) for i in range(900)] + [(1000, 99, T0), (1001, 1, None)]
+    features = [(rng.choice([*keys, 98]), moment(), rng.randint(0, 9), rng.choice("ab")) for _ in range(700)]
+    want = brute(requests, features, 3 * DAY)
+    assert run(spark, requests, features, 3 * DAY, max_group_rows=12) == want
+
+    rows = [(k, T0 + timedelta(hours=h), float(h * h % 17)) for k in range(40) for h in range(30)]
+    series = spark.createDataFrame(rows, "k long, at timestamp_ntz, x double")
+    one, cut = (windows.sales_windows(series, ["k"], "at", "x", max_group_rows=n) for n in (None, 20))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, cut.collect()))
+
+
 def test_times_far_out_leave_no_large_bucket(spark):
     from weekloom.operators.skew import split_groups
 
