@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekloom import scoring
-from weekloom.session import fresh_path
+from weekloom.session import fresh_path, stored
 
 COLUMNS = ["lag_1", "size"]
 
@@ -159,3 +159,40 @@ def test_the_best_round_is_the_one_that_is_kept(spark):
     assert scoring.evaluate(model, check).first()["val_loss"] == pytest.approx(steps[best])
     stopped, short = scoring.train_to_best(fit, check, ["x"], patience=0.01, maxIter=12, maxDepth=6, stepSize=0.8, seed=1)
     assert short.count() < 12 and len(stopped.model.trees) <= short.count()
+
+
+@pytest.mark.parametrize("n,params", [
+    (300, {"maxIter": 3, "maxDepth": 3}),
+    (30_000, {"maxIter": 4, "maxDepth": 4, "stepSize": 0.9}),
+    (30_000, {"maxIter": 2, "maxDepth": 6, "maxBins": 300, "minInstancesPerNode": 40, "minInfoGain": 0.001}),
+])
+def test_rows_beyond_the_cache_give_the_trees_of_spark(spark, monkeypatch, n, params):
+    from weekloom import boosting
+
+    made = spark.range(0, n, 1, 5).select(
+        (F.hash("id") % 977).cast("double").alias("a"),
+        F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.hash("id", F.lit(1)) % 5000 / 7).alias("b"),
+        (F.col("id") % 2).alias("c"), F.lit(3).alias("constant"), (F.hash("id", F.lit(2)) % 9).alias("d"),
+    ).withColumn("weekly_sales", F.exp(F.col("a") / 400 + F.sin(F.col("b") / 100) + F.col("c") * F.col("d") / 9 + 8))
+    rows, columns = stored(made, "boosted"), ["a", "b", "c", "constant", "d"]
+    want = scoring.train(rows, columns, "gbt", seed=42, **params)
+
+    def never(self, rows):
+        raise AssertionError("rows beyond the cache went to Spark's learner")
+
+    monkeypatch.setattr(boosting, "CACHED_ROWS", n - 1)
+    monkeypatch.setattr(boosting, "PASS_CELLS", 700)  # a few nodes a pass
+    monkeypatch.setattr(boosting.GBTRegressor, "_fit", never)
+    got = scoring.train(rows, columns, "gbt", seed=42, **params)
+    assert got.model.treeWeights == want.model.treeWeights
+
+    def splits(model):
+        return [line.split("Predict")[0] for line in model.model.toDebugString.splitlines()[1:]]
+
+    assert splits(got) == splits(want)
+    assert got.model.featureImportances.toArray() == pytest.approx(want.model.featureImportances.toArray(), rel=1e-6)
+    assert scoring.loss_by_iteration(got, rows) == pytest.approx(scoring.loss_by_iteration(want, rows), rel=1e-9)
+    path = fresh_path(spark, "model")
+    got.save(spark, path)
+    again = scoring.SalesModel.load(spark, path)
+    assert scoring.loss_by_iteration(again, rows) == pytest.approx(scoring.loss_by_iteration(want, rows), rel=1e-9)

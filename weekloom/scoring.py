@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegres
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import boosting
 from .functions.scalar import from_target, to_target
 from .operators import metrics
 from .operators.prep import Scaler, feature_matrix, fill_zero
@@ -85,7 +86,8 @@ def train(
 ) -> SalesModel:
     """Fit on the rows of ``training``: scaled features, scaled and by default log target.
 
-    ``validation`` rows, for boosted trees, tell when to stop; scalers do not see them.
+    ``validation`` rows, for boosted trees, tell when to stop; scalers do not see them. More rows
+    than can be cached are boosted by :mod:`weekloom.boosting`, with the same result.
     """
     goal = to_target(F.col(target)) if use_log_transform else F.col(target)
 
@@ -102,6 +104,10 @@ def train(
         rows = rows.unionByName(scaler.transform(prepared(validation)).select("*", F.lit(True).alias("held")))
         params["validationIndicatorCol"] = "held"
     ready = assemble(rows, columns).select("features", F.col("__y").alias("label"), "held")
+    if kind == "gbt" and params.keys() <= boosting.PARAMS and (n := training.count()) > boosting.CACHED_ROWS:
+        doubles = rows.select(*[F.col(c).cast("double").alias(c) for c in (*columns, "__y")])
+        model = boosting.fit(doubles, columns, "__y", GBTRegressor(**params), n)
+        return SalesModel(kind, model, tuple(columns), scaler_x, scaler_y, use_log_transform)
     if kind == "linear":
         learner = LinearRegression(**params)
     elif kind == "gbt":
