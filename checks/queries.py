@@ -677,8 +677,12 @@ def prediction_report(spark, folder):
     return scoring.prediction_report(found, ["request_id", "pos", *KEYS])
 
 
-def _training_rows(spark, folder):
-    return training.prepare(stored(training_table(spark, folder), "training-set"))
+def _training_rows(spark, folder, features=None):
+    """All rows of the training table, with all its features or only the ones that a model reads."""
+    table = training_table(spark, folder)
+    if features is not None:
+        table = table.select(*KEYS, TS, scoring.TARGET, *features)
+    return training.prepare(stored(table, "training-set"))
 
 
 def _fit_one(spark, folder):
@@ -718,7 +722,7 @@ def train_eval(spark, folder):
 
 def train_early_stop(spark, folder):
     """The loss of every boosting round and the round that is kept; no SQL fits trees."""
-    rows = _training_rows(spark, folder)
+    rows = _training_rows(spark, folder, FORECAST)
     fit, check = rows.where("split = 'train'"), rows.where("split = 'val'")
     model, log = scoring.train_to_best(fit, check, FORECAST, maxIter=6, maxDepth=4, stepSize=0.9, seed=42)
     kept = F.lit(len(model.model.trees))

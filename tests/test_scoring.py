@@ -196,3 +196,25 @@ def test_rows_beyond_the_cache_give_the_trees_of_spark(spark, monkeypatch, n, pa
     got.save(spark, path)
     again = scoring.SalesModel.load(spark, path)
     assert scoring.loss_by_iteration(again, rows) == pytest.approx(scoring.loss_by_iteration(want, rows), rel=1e-9)
+
+
+def test_the_best_round_of_rows_beyond_the_cache(spark, monkeypatch):
+    from weekloom import boosting
+
+    made = spark.range(0, 4000, 1, 3).select(
+        (F.hash("id") % 40).cast("double").alias("x"), (F.hash("id", F.lit(1)) % 900 + 3000.0).alias("noise")
+    ).withColumn("weekly_sales", 50 * F.col("x") + F.col("noise"))
+    fit, check = stored(made.where("noise < 3500"), "fit"), stored(made.where("noise >= 3500"), "check")
+    # Nodes of few rows have several splits of equal gain, of which either learner may take another.
+    params = {"maxIter": 6, "maxDepth": 4, "stepSize": 0.9, "seed": 1, "minInstancesPerNode": 30}
+    want, log = scoring.train_to_best(fit, check, ["x", "noise"], **params)
+
+    def never(self, rows):
+        raise AssertionError("rows beyond the cache went to Spark's learner")
+
+    monkeypatch.setattr(boosting, "CACHED_ROWS", 100)
+    monkeypatch.setattr(boosting.GBTRegressor, "_fit", never)
+    got, again = scoring.train_to_best(fit, check, ["x", "noise"], **params)
+    assert len(got.model.trees) == len(want.model.trees)
+    for one, two in zip(log.orderBy("step").collect(), again.orderBy("step").collect()):
+        assert one["best"] == two["best"] and one["val_loss"] == pytest.approx(two["val_loss"], rel=1e-9)

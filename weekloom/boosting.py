@@ -26,8 +26,9 @@ from .session import stored
 CACHED_ROWS = 5_000_000
 # Cells (node, feature, bin) of one pass; more open nodes take more passes.
 PASS_CELLS = 1 << 18
-# Parameters that are followed here; with any other one Spark's learner is used at every size.
-PARAMS = {"maxIter", "maxDepth", "maxBins", "minInstancesPerNode", "minInfoGain", "stepSize", "seed"}
+# Parameters that are followed here; with any other one Spark's learner is used at every size. The
+# tolerance means nothing without a validation column.
+PARAMS = {"maxIter", "maxDepth", "maxBins", "minInstancesPerNode", "minInfoGain", "stepSize", "seed", "validationTol"}
 # Bytes of blocks that one batch brings to a task, and rows that a task takes at a time.
 BATCH_BYTES = 32 << 20
 PIECE_ROWS = 1 << 15
